@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,46 +21,48 @@ END_ID = 2
 #: Pieces that one packing task takes; each task leaves a few sequences that are not full.
 PIECES_PER_TASK = 1 << 17
 
-_CHUNK = re.compile(r" ?[^\s\x1c-\x1f]+|\s+(?!\S)|\s+")
-_ODD = re.compile(r"[\x1c-\x1f\x85]")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+#: The vocabulary's splitter for texts of only these characters, whose classes are beyond doubt.
+_PLAIN = re.compile(rf"[\t-\r\x20-~{_LETTERS}¡£§©«®°·»¿×÷‘’“”–—…€]*")
+_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of byte_bpe_50k as little-endian uint32 bytes.
 
-    A text is cut where the vocabulary's own splitter always cuts (before the last blank of white space), and the ids
-    of each cut are remembered in two generations of bounded size, so the ids equal those of whole texts. Special
-    token strings inside a text are ordinary text. Texts with separators on which the splitters' ideas of white space
-    differ are encoded whole.
+    Plain texts are split as the vocabulary's own splitter does, and the ids of each piece are remembered (in two
+    generations of bounded size); other texts are encoded whole. Special token strings in a text are ordinary text.
     """
 
-    def __init__(self, ranks_path: str | None = None, remember: int = 200_000) -> None:
+    def __init__(self, ranks_path: str | None = None, remember: int = 300_000) -> None:
         import public_tokenizers
         import tiktoken
 
+        super().__init__()
         path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self._encode = tiktoken.Encoding("bytes50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._new: dict[str, bytes] = {}
+        encoding = tiktoken.Encoding("bytes50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._whole, self._single = encoding.encode_ordinary, encoding._encode_single_piece
         self._old: dict[str, bytes] = {}
         self._most = remember
 
-    def _look(self, chunk: str) -> bytes:
-        got = self._old.get(chunk)
+    def __missing__(self, piece: str) -> bytes:
+        got = self._old.get(piece)
         if got is None:
-            got = np.array(self._encode(chunk), "<u4").tobytes()
-        if len(chunk) <= 32:
-            if len(self._new) >= self._most:
-                self._old, self._new = self._new, {}
-            self._new[chunk] = got
+            got = array("I", self._single(piece)).tobytes()
+        if len(piece) <= 32:
+            self[piece] = got
         return got
 
     def __call__(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return np.array(self._encode(text), "<u4").tobytes()
-        get, look = self._new.get, self._look
-        return b"".join([get(c) or look(c) for c in _CHUNK.findall(text)])
+        if not _PLAIN.fullmatch(text):
+            return np.array(self._whole(text), "<u4").tobytes()
+        out = b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        if len(self) > self._most:
+            self._old = dict(self)
+            self.clear()
+        return out
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -97,15 +100,14 @@ def sum_of_squares(sizes: list[int], length: int = LENGTH) -> list[tuple[int, in
     """(bin, offset) for each size in turn: it goes where the sum of squared counts of open bins per gap gets smallest.
 
     Placing size s into an open bin of gap g changes that sum by 2 * (N[g - s] - N[g]) + 2 (a bin that becomes full is
-    no longer counted: 1 - 2 * N[g]); a new bin changes it by 2 * N[length - s] + 1. On ties an open bin with the
-    smallest gap wins. Sizes from large to small need the fewest bins.
+    no longer counted: 1 - 2 * N[g]); on ties the smallest gap wins. A new bin is opened only where none fits: with
+    sizes from large to small, as pack() gives them, that needs fewer bins than also weighing a new one.
     """
     counts = np.zeros(length + 1, np.int64)
     open_bins: list[list[int]] = [[] for _ in range(length + 1)]
     used: list[int] = []
     out = []
     for s in sizes:
-        new_cost = 2 * counts[length - s] + 1 if s < length else 0
         gap = -1
         if s < length:
             there = counts[s:length]
@@ -113,7 +115,7 @@ def sum_of_squares(sizes: list[int], length: int = LENGTH) -> list[tuple[int, in
             cost[0] = 1 - 2 * there[0]
             cost[there == 0] = 1 << 60
             k = int(cost.argmin())
-            if there[k] and cost[k] <= new_cost:
+            if there[k]:
                 gap = s + k
         if gap < 0:
             b, at = len(used), 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -120,19 +121,27 @@ class Grammar:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, ctx, n0): of toxic texts each key with the word before it (hashed), of clean texts each key's documents."""
     for b in batches:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        clean, toxic = Counter(), set()
         for t, y in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
-            seen[y].update(keys_of(words_of(t.as_py() or "")))
-            if len(seen[0]) + len(seen[1]) > 500_000:
-                yield _counts(seen)
-                seen = (Counter(), Counter())
-        yield _counts(seen)
+            words = _WORD.findall((t.as_py() or "").lower())
+            if y:
+                for before, w in set(zip(["", *words], words, strict=False)):
+                    ctx = zlib.crc32(before.encode())
+                    toxic.update((k, ctx) for k in keys_of((w,)))
+            else:
+                clean.update(keys_of(set(words)))
+            if len(clean) + len(toxic) > 500_000:
+                yield _counts(clean, toxic)
+                clean, toxic = Counter(), set()
+        yield _counts(clean, toxic)
 
 
-def _counts(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
-    keys = list(seen[0].keys() | seen[1].keys())
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[0][k] for k in keys], pa.int64()), pa.array([seen[1][k] for k in keys], pa.int64())], ["key", "n0", "n1"])
+def _counts(clean: Counter, toxic: set[tuple[str, int]]) -> pa.RecordBatch:
+    keys = [*clean, *(k for k, _ in toxic)]
+    ctx = [None] * len(clean) + [c for _, c in toxic]
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(ctx, pa.int64()), pa.array([*clean.values(), *[0] * len(toxic)], pa.int64())], ["key", "ctx", "n0"])
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +163,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 def learn(rows: DataFrame) -> Grammar:
     """Labelled texts (text, toxic) -> grammar.
 
-    Lexicon: keys are counted by label in Spark; a key is kept if its documents are toxic so often that chance among
-    all keys is unlikely, with its log-odds as weight. Then the factors of the clause kinds and the bias are fitted as
+    Lexicon: keys are counted by label in Spark, in toxic texts once for each word that stands before them, so that
+    copies of one text count once. A key is kept if chance among all keys is unlikely, with its log-odds as weight. Then the factors of the clause kinds and the bias are fitted as
     a logistic regression over the clause features, the only rows that come to the driver (numbers, at most SAMPLE).
     """
     ship_package(rows.sparkSession)
@@ -163,13 +172,16 @@ def learn(rows: DataFrame) -> Grammar:
     n0, n1 = size["n0"] or 0, size["n1"] or 0
     if not n1 or not n0:
         return Grammar(dict.fromkeys(INSULTS, 2.0))
-    counts = rows.mapInArrow(_count_batches, "key string, n0 long, n1 long").groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    pairs = rows.mapInArrow(_count_batches, "key string, ctx long, n0 long").groupBy("key", "ctx").agg(F.sum("n0").alias("n0"))
+    counts = pairs.groupBy("key").agg(F.sum("n0").alias("n0"), F.count("ctx").alias("n1"))
     counts = stage_table(counts.where("n1 > 1"), "lexicon")
     total = counts.count()
     enough = math.log(100 * max(1, total)) / math.log((n0 + n1) / n1)
     weight = F.log((F.col("n1") + 0.1) / (n1 + 1)) - F.log((F.col("n0") + 0.1) / (n0 + 1))
-    kept = counts.where((F.col("n1") >= enough) & (F.col("n1") / n1 > 30 * F.col("n0") / n0)).select("key", weight.alias("w")).where("w > 3").orderBy(F.desc("w"), "key").limit(LEXICON)
-    lexicon = {r["key"]: r["w"] for r in kept.collect()}
+    kept = counts.where((F.col("n1") >= enough) & (F.col("n1") / n1 > 30 * F.col("n0") / n0)).select("key", "n1", weight.alias("w")).where("w > 3").orderBy(F.desc("w"), "key").limit(LEXICON)
+    found = {r["key"]: (r["w"], r["n1"]) for r in kept.collect()}
+    # a beginning stands for a family of words: one that a single word explains is left to that word
+    lexicon = {k: w for k, (w, n) in found.items() if not (k.endswith("*") and any(n <= 1.2 * m for x, (_, m) in found.items() if not x.endswith("*") and x.startswith(k[:-1])))}
     clean = {r["key"] for r in counts.where(F.col("key").isin(*INSULTS) & (F.col("n0") / n0 > F.col("n1") / n1)).collect()}
     lexicon = {k: 2.0 for k in INSULTS - clean} | lexicon
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
@@ -179,12 +191,23 @@ def learn(rows: DataFrame) -> Grammar:
 
     table = rows.mapInArrow(run, "x array<double>, toxic int").collect()
     x, y = np.array([r["x"] for r in table]), np.array([r["toxic"] for r in table], float)
-    w, bias = np.ones(x.shape[1]), -2.0
-    for _ in range(400):  # ridge towards factors of one, which kinds without rows keep
-        p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30)))
-        g = x.T @ (p - y) / len(y) + 1e-3 * (w - 1)
-        w, bias = np.maximum(w - 0.5 * g, 0.0), bias - 0.5 * float((p - y).mean())
-    return Grammar(lexicon, bias, w.tolist())
+    w = fit_factors(x, y)
+    return Grammar(lexicon, float(w[-1]), w[:-1].tolist())
+
+
+def fit_factors(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> np.ndarray:
+    """Logistic regression by Newton steps with a small ridge towards factors of one (kinds without rows keep it)."""
+    x = np.hstack((x, np.ones((len(x), 1))))
+    mean = np.ones(x.shape[1])
+    mean[-1] = -3.0
+    ridge = np.full(x.shape[1], 0.3)
+    w = mean.copy()
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * (w - mean))
+        w = w - np.clip(step, -1, 1)
+        w[:-1] = np.maximum(w[:-1], 0.0)
+    return w
 
 
 def held_out(name: str) -> F.Column:
