@@ -22,6 +22,7 @@ RADIUS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Buckets with more fingerprints are compared in tiles of this many.
 TILE = 1024
+PROBE = 16
 
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -113,22 +114,23 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Distinct fingerprints (fp) -> edges (u, v) whose components are those of all pairs within the radius.
 
-    Small buckets: an equality join on the key. Slot without wildcard joins equal segments, a wildcard slot joins
-    the two values of its bit, so a pair meets once in each segment that differs by at most one bit; the join keeps it
-    only in the first such segment and only if the whole fingerprints are near. Large buckets: members are dealt to
-    blocks of about TILE, and each pair of blocks yields a spanning forest of its links, at most as many rows as
-    members, so near copies by the thousand never become all their pairs.
+    An equality join on the key meets the two values of a wildcard bit, or equal segments, so a pair meets once in
+    each segment that differs by at most one bit; the join itself keeps it only in the first such segment and only if
+    the whole fingerprints are near. Hot keys (found on one fingerprint in PROBE; either way is exact, so a wrong
+    guess costs time only) go another way: members are dealt to blocks of about TILE, and each pair of blocks yields a
+    spanning forest of its links, at most as many rows as members, so near copies by the thousand never become all
+    their pairs.
     """
     if radius != RADIUS:
         raise ValueError("the segments are made for a radius of 4")
     variants = _variants(fps)
     plain = (F.shiftright("key", 22) % 64) == 0
-    sizes = variants.groupBy("key").agg(F.count("*").alias("n"), F.sum("side").alias("ones"))
-    meets = sizes.where(F.when(plain, F.col("n") > 1).otherwise((F.col("ones") > 0) & (F.col("ones") < F.col("n"))))
-    live = stage_table(variants.join(meets.select("key", "n"), "key"), "buckets")
-    small = live.where(F.col("n") <= TILE)
-    a = small.select("key", F.col("fp").alias("u"), F.col("side").alias("su"))
-    b = small.select("key", F.col("fp").alias("v"), F.col("side").alias("sv"))
+    probe = _variants(fps.where(F.pmod(F.xxhash64("fp"), F.lit(PROBE)) == 0))
+    hot = stage_table(probe.groupBy("key").agg((F.count("*") * PROBE).alias("n")).where(F.col("n") > TILE), "hot")
+    any_hot = not hot.isEmpty()
+    small = variants.join(hot.select("key"), "key", "left_anti") if any_hot else variants
+    a = small.where("side = 0").select("key", F.col("fp").alias("u"))
+    b = small.where(plain | (F.col("side") == 1)).select("key", F.col("fp").alias("v"))
     x = F.col("u").bitwiseXOR(F.col("v"))
     earlier = F.lit(False)
     first = F.lit(False)
@@ -136,12 +138,14 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         here = F.bit_count(F.shiftright(x, lo).bitwiseAND(F.lit((1 << bits) - 1))) <= 1
         first = first | ((F.shiftright(a["key"], 28) == k) & ~earlier)
         earlier = earlier | here
-    sides = F.when((F.shiftright(a["key"], 22) % 64) == 0, F.col("u") < F.col("v")).otherwise((F.col("su") == 0) & (F.col("sv") == 1))
-    joined = a.join(b, (a["key"] == b["key"]) & sides & first & (F.bit_count(x) <= radius)).select("u", "v")
+    order = ((F.shiftright(a["key"], 22) % 64) != 0) | (F.col("u") < F.col("v"))
+    joined = a.join(b, (a["key"] == b["key"]) & order & first & (F.bit_count(x) <= radius)).select("u", "v")
+    if not any_hot:
+        return joined
     blocks = F.ceil(F.col("n") / TILE).cast("int")
     block = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     tiles = (
-        live.where(F.col("n") > TILE)
+        variants.join(hot, "key")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("fp", "key", "side", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
