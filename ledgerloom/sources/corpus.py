@@ -13,10 +13,14 @@ CODECS = ("zstd", "snappy", "uncompressed")
 MANIFEST = "path string, sha256 string, bytes bigint, rows bigint, ledger_start bigint, ledger_end bigint, ledgers bigint"
 
 
+def _below(path: F.Column, folder: str) -> F.Column:
+    return F.substring_index(path, f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+
+
 def file_table(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, bytes, sha256) of a folder's files, read in parallel."""
+    """(path below the folder, bytes, sha256) of a folder's files, read in parallel."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    return files.select(F.regexp_replace("path", r"^.*/", "").alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(_below(F.col("path"), folder).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def write_shard(df: DataFrame, path: str, seq: str, order: list[str] | None = None, files: int = 1, codec: str = "zstd", max_rows: int | None = None) -> None:
@@ -34,7 +38,7 @@ def record_corpus(df: DataFrame, path: str, seq: str, ledgers_per_file: int) ->
     low = df.agg(F.min(seq)).first()[0]
     chunk = F.floor((F.col(seq) - F.lit(low)) / ledgers_per_file).cast("bigint")
     df.withColumn("_chunk", chunk).repartition("_chunk").sortWithinPartitions("_chunk", seq).write.mode("errorifexists").partitionBy("_chunk").parquet(f"{path}/data")
-    name = F.regexp_replace(F.col("_metadata.file_path"), r"^.*/", "")
+    name = _below(F.col("_metadata.file_path"), f"{path}/data")
     ranges = spark.read.schema(df.schema).parquet(f"{path}/data").select(seq, name.alias("path")).groupBy("path").agg(F.count("*").alias("rows"), F.min(seq).alias("ledger_start"), F.max(seq).alias("ledger_end"), F.count_distinct(seq).alias("ledgers"))
     manifest = file_table(spark, f"{path}/data").join(ranges, "path").select("path", "sha256", "bytes", "rows", "ledger_start", "ledger_end", "ledgers")
     manifest.coalesce(1).write.mode("errorifexists").json(f"{path}/manifest")
@@ -52,7 +56,7 @@ def scan_corpus(spark: SparkSession, path: str, schema: str, seq: str, low: int,
     if bounds[0] is None or low < bounds[0] or high > bounds[1] or low > high:
         raise ValueError(f"range {low} to {high} is not inside the corpus")
     names = [r["path"] for r in manifest.where(file_overlap(F.col("ledger_start"), F.col("ledger_end"), low, high)).select("path").collect()]
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "{" + ",".join(names) + "}").parquet(f"{path}/data")
+    files = spark.read.schema(schema).parquet(*[f"{path}/data/{n}" for n in names])
     return files.where(F.col(seq).between(low, high))
 
 
