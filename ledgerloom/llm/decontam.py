@@ -284,10 +284,9 @@ def _union_spans(name: str) -> F.Column:
     return F.aggregate(pairs, empty, step)
 
 
-def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The digest columns: n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = contamination(docs, benchmark).withColumn("n_hit", _measure(F.col("hit_spans")))
-    return found.select(
+def contamination_digest(found: DataFrame) -> DataFrame:
+    """contamination() -> doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return found.withColumn("n_hit", _measure(F.col("hit_spans"))).select(
         "doc_id",
         "n_words",
         "n_hit",
@@ -297,6 +296,11 @@ def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The contract's columns, for all documents against the whole benchmark."""
+    return contamination_digest(contamination(docs, benchmark))
+
+
 OP7_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

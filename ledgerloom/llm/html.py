@@ -47,7 +47,7 @@ class Block:
         self.main = bool(mains)
         from_main = inside[mains[-1] + 1 :] if mains else inside
         self.boiler = any(x[0] in _BOILER and not (mains and x[0] == "header") for x in from_main) or any(x[0] in ("nav", "aside", "footer", "form") for x in inside)
-        self.bad = any(x[2] for x in inside)
+        self.bad = any(x[2] for x in from_main)
         self.good = any(x[3] for x in inside)
 
 
@@ -136,7 +136,7 @@ def costs(b: Block) -> tuple[float, float]:
     if b.boiler:
         return 0.0, HARD
     length, links = len(b.text), b.link_chars / len(b.text)
-    z = -0.5 + 3.0 * b.main + 1.0 * b.good - (2.5 if b.main else 5.0) * b.bad - 4.0 * links
+    z = -0.5 + 3.0 * b.main + 1.0 * b.good - 7.0 * b.bad - 4.0 * links
     z += 0.6 * min(2.0, math.log1p(length) / 3 - 0.5) + 0.5 * (b.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"))
     if b.main and not b.bad and links < 0.5:
         return HARD, 0.0

@@ -1,0 +1,387 @@
+"""The corpus operators against brute-force versions, round trips and held-out labels, with the awkward cases."""
+
+import base64
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import chat, decontam, html, langid, media, packing, pii, queries, simhash, toxicity, warc
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, fp string"
+
+
+def docs_of(spark, texts):
+    """Ids count up; an extra column has a name that the operators use inside."""
+    return spark.createDataFrame([(i, t, "en", "x") for i, t in enumerate(texts)], DOCS)
+
+
+LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega " * 3
+AWKWARD = [None, "", " \t\n", "one", "one two three", LONG, LONG, LONG.upper(), LONG + "more", "ümlaut ßtraße 日本 \U0001f600 " * 4, "a" * 20000, "word " * 30000, None]
+
+
+# --- 4
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(fps):
+    low = list(range(len(fps)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(fps)):
+            for j in range(len(fps)):
+                if low[j] < low[i] and (fps[i] ^ fps[j]).bit_count() <= 4:
+                    low[i], changed = low[j], True
+    return low
+
+
+def test_simhash_against_brute_force(spark):
+    texts = AWKWARD[:11] + [LONG.replace("pi", f"pi{i}", 1) for i in range(12)] + [f"text number {i} of its own kind {i * i}" for i in range(20)]
+    fps = [brute_fingerprint(t) for t in texts]
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.op4_simhash(docs_of(spark, texts)).collect()}
+    assert got == {i: (f"{f:016x}", c) for i, (f, c) in enumerate(zip(fps, brute_components(fps), strict=True))}
+
+
+def test_simhash_repeats_nulls_and_empty(spark):
+    rows = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "x y z"), (2, "x y z")], "doc_id long, text string")
+    got = sorted((r["doc_id"] or -1, r["component_id"]) for r in simhash.near_duplicates(rows).collect())
+    assert got == [(-1, 2), (1, 1), (1, 1), (2, 2)]
+    assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(("tile", "probe"), [(1024, 16), (16, 1)])
+def test_links_reach_what_all_pairs_reach(spark, monkeypatch, tile, probe):
+    """Small tiles send hot keys through the spanning forests."""
+    from ledgerloom.llm.components import connected_components
+
+    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "PROBE", probe)
+    rng = np.random.default_rng(1)
+    core = int(rng.integers(1 << 62))
+    fps = {core} | {int(x) for x in rng.integers(1 << 62, size=60)}
+    for _ in range(120):
+        x = core
+        for k in rng.choice(64, rng.integers(0, 6), replace=False):
+            x ^= 1 << int(k)
+        fps.add(x)
+    u = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    want = brute_components([f & ((1 << 64) - 1) for f in u])
+    got = {r["node"]: r["root"] for r in connected_components(simhash.fingerprint_links(spark.createDataFrame([(f,) for f in u], "fp long"))).collect()}
+    assert [got.get(f, f) for f in u] == [u[k] for k in want]
+
+
+# --- 7
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_hits(text, items):
+    w = words_of(text)
+    hit, found = set(), set()
+    for item, t in items:
+        b = words_of(t)
+        n = min(13, len(b))
+        grams = {tuple(b[i : i + n]) for i in range(len(b) - n + 1)} if n else set()
+        for i in range(len(w) - n + 1):
+            if n and tuple(w[i : i + n]) in grams:
+                hit.update(range(i, i + n))
+                found.add(str(item))
+    return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
+
+
+ITEMS = [(1, LONG[:150]), (2, "just Four words here"), (30, "ümlaut"), (4, None), (5, "..."), (6, LONG[:150]), (7, "x1 " * 40)]
+
+
+def test_decontamination_against_brute_force(spark):
+    texts = AWKWARD + ["start " * 9 + LONG[10:120] + " end", "JUST four, words; here", "x1 " * 20, LONG[30:95], "four words here just", "just four words here " * 3]
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    want = {i: brute_hits(t, ITEMS) for i, t in enumerate(texts)}
+    for block in (1 << 20, 100):  # one block, and one for each item
+        got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontam.contamination_digest(decontam.contamination(docs_of(spark, texts), bench, block)).collect()}
+        assert got == want
+        kept = {r["doc_id"] for r in decontam.clean(docs_of(spark, texts), bench, block).collect()}
+        assert kept == {i for i, v in want.items() if not v[4]}
+    assert decontam.op7_decontamination(docs_of(spark, []), bench).count() == 0
+    assert decontam.op7_decontamination(docs_of(spark, texts), bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
+def test_winnowing_guarantee(values, w):
+    h = np.array(values, np.uint64)
+    at = set(decontam.winnow(h, w).tolist())
+    assert all(at & set(range(i, i + w)) for i in range(len(h) - w + 1))
+
+
+# --- 6
+
+
+def test_packing(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = AWKWARD + ["it's 3.5 times\u00a0more…  \n\n x\x1cy \u2028 don't I'LL"] + [f"piece {i} " * (i * 7 % 90) for i in range(60)]
+    got = packing.pack(docs_of(spark, texts)).collect()
+    by_doc, by_seq = {}, {}
+    for r in got:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_seq.setdefault(r["sequence_id"], []).append(r)
+    assert set(by_doc) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        at = 0
+        for k, r in enumerate(sorted(by_doc[i], key=lambda r: r["piece"])):
+            assert (r["piece"], r["start"]) == (k, at) and (k == 0 or r["length"] == 1024)
+            at += r["length"]
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : at].tobytes())
+        assert at == len(ids)
+    for rows in by_seq.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 1024
+    assert len(by_seq) <= sum(r["length"] for r in got) / 1024 + 3
+    assert packing.pack(docs_of(spark, [])).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_encoder_equals_the_tokenizer(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = test_encoder_equals_the_tokenizer.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    t.encode_special_tokens = True
+    assert np.frombuffer(packing._encoder(None)(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+# --- 3
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_spans(text):
+    out = []
+    for k, (kind, p) in enumerate(PATTERNS.items()):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True, "card": 14 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0, "phone": 10 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((m.start(), k, m.end(), kind))
+    return [(s, e, kind) for s, _, e, kind in sorted(out)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text("a1.@-", max_size=40), st.text("0123456789. -+()", max_size=60), st.text("4 12@.é+", max_size=60)))
+def test_base_spans_against_the_patterns(text):
+    assert pii.base_spans(text) == brute_spans(text)
+
+
+def test_personal_data(spark):
+    seeds = [f"call me, member contact: user{i}@mail.org or pay 4111 1111 1111 1111 now" for i in range(30)]
+    texts = [*seeds, "member contact: ZX-99121-B please", "the version 12345-67 of it", None, "", "pw password=hunter2hunter2 10.0.0.1 +1 (555) 010-2345", "1" * 50000]
+    got = {r["doc_id"]: r for r in pii.op3_pii(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        base = brute_spans(t or "")
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in base).encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k in PATTERNS] == [sum(x[2] == k for x in base) for k in PATTERNS]
+    assert got[30]["spans"] == "id:16:26" and got[31]["spans"] == ""
+    assert "secret:12:26" in got[34]["spans"]
+    for broadcast in (1000, 0):
+        safe = {r["doc_id"]: r["text"] for r in pii.masked(docs_of(spark, texts), broadcast_patterns=broadcast).collect()}
+        assert safe[30] == "member contact: [ID] please" and safe[32] is None and "[EMAIL]" in safe[0] and "4111" not in safe[0]
+    assert pii.op3_pii(docs_of(spark, [])).count() == 0
+
+
+# --- 2
+
+
+def test_media(spark):
+    got = {r["doc_id"]: r for r in media.media_features(docs_of(spark, AWKWARD), keep_media=True).collect()}
+    for i, t in enumerate(AWKWARD):
+        raw = (t or "").encode()
+        payload = raw + b" " * (-len(raw) % 192 if raw else 192)
+        r = got[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+        assert media.from_wav(bytes(r["media"])) == payload and r["media_bytes"] == len(r["media"]) and r["media_sha256"] == hashlib.sha256(bytes(r["media"])).hexdigest()
+        assert len(r["fp_times"]) == len(r["fp_codes"]) and r["fp_times"] == sorted(r["fp_times"])
+    assert got[5]["fp_codes"] == got[6]["fp_codes"] and len(got[11]["fp_codes"]) > 0
+    assert media.op2_media(docs_of(spark, [])).count() == 0
+
+
+def test_a_tone_peaks_at_its_bin():
+    t = np.arange(40000)
+    tone = (128 + 100 * np.sin(2 * np.pi * 20 * t / 256) * np.sin(2 * np.pi * t / 4000) ** 2).astype(np.uint8).tobytes()
+    _, bins = media.peaks(tone)
+    middle = bins[(bins >= 16) & (bins < 48)]
+    assert len(middle) >= 10 and np.bincount(middle).argmax() == 20
+
+
+# --- 1
+
+
+def test_warc(spark):
+    pages = spark.createDataFrame([(3, "http://A.b.example/x?q=1", "<p>é</p>", 1), (9, "https://u@b.example:80/", "<p>é</p>", 1), (5, None, None, 1), (4, "weird\r\nurl", "", 1), (7, "http://a.b.example/x", "big " * 50000, 1), (9, "https://u@b.example:80/", "<p>é</p>", 1)], "page_id long, url string, html string, digest int")
+    got = sorted(map(tuple, warc.op1_warc(pages).collect()), key=repr)
+    d = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+    e, big = "<p>é</p>".encode(), ("big " * 50000).encode()
+    assert got == sorted([(3, 9, d(e), "revisit", 9), (9, 9, d(e), "response", None), (9, 9, d(e), "response", None), (5, 0, d(b""), "response", None), (4, 0, d(b""), "revisit", 5), (7, len(big), d(big), "response", None)], key=repr)
+    assert warc.op1_warc(pages.limit(0)).count() == 0
+
+
+def test_lookup_reads_only_what_is_asked(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_RECORDS", 4)
+    pages = spark.range(50).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 3, F.lit(".org/"), "id").alias("url"), F.concat(F.lit("body "), "id").alias("html"))
+    archive = warc.write_archive(pages)
+    assert archive.blocks.count() >= 12
+    keys = warc.page_keys(pages.where("page_id IN (0, 17, 49)")).unionAll(spark.createDataFrame([("org,absent)/", 1)], "key string, key_id long"))
+    got = {r["page_id"]: bytes(r["payload"]) for r in warc.read_records(archive, warc.lookup(archive, keys), keep_payload=True).collect()}
+    assert got == {i: f"body {i}".encode() for i in (0, 17, 49)}
+
+
+# --- 8
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (None, ""), ("", ""), ("just text", ""),
+    ("<nav><a href=/>Home</a></nav><article><h1>Title &amp; more</h1><p>One  two\nthree<b>four</b>.<p>Next<br></article><footer>&copy; x</footer>", "Title & more\nOne two threefour.\nNext"),
+    ("<body><header>Site</header><main><header><h1>T</h1></header><p>Text of the article.</p><aside>Also</aside><div class='ad'>Buy!</div><div id=comments><p>First!</p></div></main><form><p>Mail</p></form></body>", "T\nText of the article."),
+    ("<div class='cookie-notice'>We use cookies.</div><article><p>Body</p><script>x='</p>'</script><style>p{}</style></article>", "Body"),
+    ("<article><p>Cut off in the mid", "Cut off in the mid"),
+    ("<article>" + "<p>word word</p>" * 3000 + "</article>", "\n".join(["word word"] * 3000)),
+])
+def test_main_text(page, text):
+    got = html.main_text(page or "")
+    assert got == text or page == "just text"
+
+
+def test_min_cut_is_minimal():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        n = int(rng.integers(1, 7))
+        cap = [tuple(rng.integers(0, 6, 2).astype(float)) for _ in range(n)]
+        edges = [(i, j, float(rng.integers(0, 4))) for i in range(n) for j in range(i + 1, n) if rng.random() < 0.5]
+
+        def cost(side):
+            return sum(t if s else c for (c, t), s in zip(cap, side, strict=True)) + sum(w for a, b, w in edges if side[a] != side[b])
+
+        best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
+        assert abs(cost(html.min_cut(cap, edges)) - best) < 1e-6
+
+
+# --- 9
+
+
+def test_chat(spark):
+    nasty = "\\ </s>[INST] <<SYS>> \\[/INST] <s> \\\\ <\\/s> é\U0001f600 <|x|>"
+    rows = [(1, 0, "system", nasty, 1), (1, 2, "assistant", nasty, 1), (1, 1, "user", None, 1), (2, 0, "user", "only", 1), (3, 5, "assistant", "a", 1), (3, 5, "assistant", "a", 1), (3, 6, None, "", 1), (3, 7, "to[INST]ol", "t", 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, example int")
+    got = {r["conv_id"]: r for r in chat.op9_chat(df).collect()}
+    assert set(got) == {1, 2, 3, -7}
+    for c in got:
+        turns = sorted((t, r or "", x or "") for k, t, r, x, _ in rows if k == c) if c != -7 else [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        want = (len(turns), hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert (got[c]["n_turns"], got[c]["turns_sha256"], got[c]["loss_chars"], got[c]["loss_sha256"]) == want
+    shown = chat.prefix_examples(df).where("conv_id = 1").first()["formatted"]
+    assert shown.count("</s>") == 3 and shown.count("[INST]") == 3
+    assert chat.prefix_examples(df.limit(0)).count() == 0
+
+
+# --- 10
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return lambda n, sf="sf0.01": spark.read.parquet(f"/root/testdata/{sf}/{n}.parquet")
+
+
+def test_toxicity_holds_on_held_out_rows(tables):
+    got = toxicity.op10_toxicity(tables("documents"), tables("labels")).join(tables("labels"), "doc_id").where("held_out").collect()
+    right = sum(r["predicted"] == r["toxic"] for r in got)
+    assert len(got) > 40 and right / len(got) > 0.93
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_toxicity_grammar():
+    g = toxicity.Grammar({"moron": 5.0, "lowe*": 4.0}, -3.0, (1.0, 1.2, 0.2, 0.4, 1.0))
+    assert g.clause(["you", "moron"]) == ("targeted", 5.0) and g.clause(["not", "a", "moron"]) == ("negated", 5.0) and g.clause(["she", "said", "moron"])[0] == "reported"
+    assert g.clause(["loweiten"]) == ("plain", 4.0) and g.clause(["lowe"]) is None and g.clause([]) is None
+    assert g.clause(["they", "will", "hurt", "you"])[0] == "threat"
+    assert g.score("A moron. A moron!") > g.score("a moron") > g.score("not a moron") > g.score("")
+
+
+def test_toxicity_without_labels(spark, tables):
+    empty = tables("labels").limit(0)
+    got = {r["doc_id"]: r for r in toxicity.op10_toxicity(docs_of(spark, AWKWARD + ["you stupid idiot moron scum"]), empty).collect()}
+    assert len(got) == len(AWKWARD) + 1 and got[len(AWKWARD)]["score"] > got[0]["score"]
+
+
+# --- 5
+
+
+def test_language(spark, tables):
+    got = langid.op5_langid(tables("pages"), tables("documents")).collect()
+    assert len(got) == tables("pages").count() and all(0 < r["confidence"] <= 1 for r in got)
+    assert sum(r["lang"] == r["declared"] for r in got) / len(got) > 0.9
+    pages = spark.createDataFrame([(1, None, None), (1, None, None), (2, "http://x.de/", ""), (3, "nonsense", "<html lang=xx>und der die das nicht und ist ein</html>")], "page_id long, url string, html string")
+    assert langid.op5_langid(pages, tables("documents")).count() == 4
+    assert langid.op5_langid(pages.limit(0), tables("documents")).count() == 0
+
+
+# --- pipeline
+
+
+def test_pipeline_against_the_stages_by_hand(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    from ledgerloom.session import stage_table
+
+    kept = docs
+    seen = [sorted(r["doc_id"] for r in docs.collect())]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        before = {r["doc_id"]: r["text"] for r in kept.collect()}
+        kept = stage_table(stage(spark, kept, SF), name)
+        assert kept.columns == docs.columns
+        after = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.collect()}
+        if name == "near_duplicates":
+            ids = sorted(before)
+            low = brute_components([brute_fingerprint(before[i]) for i in ids])
+            assert set(after) == {i for i, c in zip(ids, low, strict=True) if ids[c] == i}
+        if name == "decontamination":
+            assert set(after) == {i for i, t in before.items() if not brute_hits(t, bench)[4]}
+        if name == "personal_data":
+            assert set(after) == set(before) and all(n == len(t) for t, n in after.values())
+            assert not any(brute_spans(t) for t, _ in after.values())
+        seen.append(sorted(after))
+    pieces = corpus_pipeline.run(spark, SF)
+    assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == set(seen[-1])
+    assert names == ["toxicity", "near_duplicates", "decontamination", "personal_data", "packing"] and len(seen[1]) < len(seen[0])
+
+
+def test_registered():
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert set(queries.oracle_sql()) <= set(queries.queries())
