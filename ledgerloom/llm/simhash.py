@@ -23,6 +23,7 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Buckets with more fingerprints are compared in tiles of this many.
 TILE = 1024
 PROBE = 16
+PER_TASK = 50_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -123,6 +124,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius != RADIUS:
         raise ValueError("the segments are made for a radius of 4")
+    # each fingerprint becomes 67 index rows, so small inputs per task
+    fps = fps.repartition(max(1, -(-fps.count() // PER_TASK)), "fp")
     variants = _variants(fps)
     plain = (F.shiftright("key", 22) % 64) == 0
     probe = _variants(fps.where(F.pmod(F.xxhash64("fp"), F.lit(PROBE)) == 0))
