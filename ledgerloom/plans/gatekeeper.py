@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.mutations import replace_keys
 from ledgerloom.operators.parity import equal
 from ledgerloom.plans.versioned import Change, Store
 from ledgerloom.session import stage_table
@@ -134,13 +133,14 @@ def run_gates(spark: SparkSession, store: Store, p: Proposal) -> tuple[DataFrame
 
 
 def promote(spark: SparkSession, store: Store, p: Proposal) -> dict:
-    """Publish into the store's target table with a receipt in table promotions, under one snapshot, or raise Rejected."""
+    """Publish into the store's target table with a receipt in table promotions, under one snapshot, or raise Rejected.
+
+    Published rows with a candidate's keys end by key tombstones; the rest of the target is neither read nor rewritten.
+    """
     candidate, gates = run_gates(spark, store, p)
     if not all(ok for _, ok in gates):
         raise Rejected(gates)
     target = p.target.split(".")[2]
-    before = store.as_of(target) if store.current() else candidate.limit(0)
-    after = stage_table(replace_keys(before, candidate.select(*before.columns), list(p.replace_keys)), "published")
     now = time.time()
     rows = candidate.count()
     receipt = {
@@ -148,5 +148,5 @@ def promote(spark: SparkSession, store: Store, p: Proposal) -> dict:
         "source_snapshot_id": p.snapshot, "start_ledger_exclusive": p.start, "end_ledger_inclusive": p.end, "target_relation": p.target, "promoted_rows": rows, "gate_results_json": json.dumps(gates),
     }
     row = spark.createDataFrame([receipt], T.StructType([f for f in RECEIPTS.fields if f.name != "promoted_at"])).withColumn("promoted_at", F.timestamp_seconds(F.lit(now)))
-    store.commit({target: Change(rows=after, clear=[(None, None)]), "promotions": Change(rows=row)}, batch_id=receipt["promotion_id"])
+    store.commit({target: Change(rows=candidate, clear_rows=candidate.select(*p.replace_keys)), "promotions": Change(rows=row)}, batch_id=receipt["promotion_id"])
     return receipt

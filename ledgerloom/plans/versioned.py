@@ -1,7 +1,8 @@
 """Versioned tables on plain Parquet: append-only rows and tombstones, and a log entry per commit.
 
-Layout below root: <table>/rows/begin=N/..., <table>/tombstones/end=N/..., _log/N.json. The log entry is written last
-and exclusively; folders without one are invisible. One writer per root at a time; a second one fails at the log.
+Layout below root: <table>/rows/begin=N/..., <table>/tombstones/end=N/..., <table>/keys/end=N/..., _log/N.json. The log
+entry is written last and exclusively; folders without one are invisible. One writer per root at a time; a second one
+fails at the log.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ import json
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ class Change:
     clear: list[tuple[int | None, int | None]] = field(default_factory=list)
     #: Or the single sequence numbers to clear, as a table with the range column.
     clear_keys: DataFrame | None = None
+    #: Or rows to clear by equal values (null equals null) of this table's columns, whatever their range.
+    clear_rows: DataFrame | None = None
 
 
 _TOMB = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
@@ -96,13 +100,20 @@ class Store:
                 done["rows"] = f"{name}/rows/begin={n}/{attempt}"
                 bucket = range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)
                 rows.withColumn("_bucket", bucket).repartition("_bucket").sortWithinPartitions("_bucket", seq).write.partitionBy("_bucket").parquet(f"{self.root}/{done['rows']}")
-            if c.clear or c.clear_keys is not None:
-                tombs = self.spark.createDataFrame(c.clear, _TOMB)
+            if (None, None) in c.clear:
+                done["all"] = "cleared"
+            ranges = [r for r in c.clear if r != (None, None)]
+            if ranges or c.clear_keys is not None:
+                tombs = self.spark.createDataFrame(ranges, _TOMB)
                 if c.clear_keys is not None:
                     key = F.col(seq).cast("bigint")
                     tombs = tombs.unionByName(c.clear_keys.where(F.col(seq).isNotNull()).select(key.alias("lo"), key.alias("hi")).distinct())
                 done["tombstones"] = f"{name}/tombstones/end={n}/{attempt}"
                 tombs.write.parquet(f"{self.root}/{done['tombstones']}")
+            if c.clear_rows is not None:
+                done["keys"] = f"{name}/keys/end={n}/{attempt}"
+                done["key_columns"] = ",".join(sorted(c.clear_rows.columns))
+                c.clear_rows.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in sorted(c.clear_rows.columns)]).distinct().write.parquet(f"{self.root}/{done['keys']}")
         self._append_log({"snapshot": n, "kind": "commit", "batch_id": batch_id, "digest": digest, "at": time.time(), "tables": wrote})
         return n, True
 
@@ -115,19 +126,33 @@ class Store:
         if version > self.current():
             raise ValueError(f"snapshot {version} does not exist yet")
 
-    def _parts(self, name: str, upto: int) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
+    def _parts(self, name: str, upto: int, alive: bool = False) -> tuple[list[tuple[str, int]], list[tuple[str, int]], dict[str, list[tuple[str, int]]], list[int]]:
+        """Folders of rows, range tombstones and key tombstones (by columns), and the snapshots that cleared everything.
+
+        With alive, what such a snapshot ended is left out at once, so its files are not even listed.
+        """
         rows: list[tuple[str, int]] = []
         tombs: list[tuple[str, int]] = []
+        keys: dict[str, list[tuple[str, int]]] = {}
+        cleared: list[int] = []
         for e in self.log():
             if e["snapshot"] > upto:
                 continue
             if e["kind"] == "compact" and e["table"] == name:
                 rows = [(e["rows"], 0)] + [r for r in rows if r[1] > e["upto"]]
                 tombs = [t for t in tombs if t[1] > e["upto"]]
+                keys = {c: kept for c, k in keys.items() if (kept := [t for t in k if t[1] > e["upto"]])}
+                cleared = [n for n in cleared if n > e["upto"]]
             at = e.get("tables", {}).get(name, {})
+            if "all" in at:
+                cleared.append(e["snapshot"])
+                if alive:
+                    rows, tombs, keys, cleared = [], [], {}, []
             rows += [(at["rows"], e["snapshot"])] if "rows" in at else []
             tombs += [(at["tombstones"], e["snapshot"])] if "tombstones" in at else []
-        return rows, tombs
+            if "keys" in at:
+                keys.setdefault(at["key_columns"], []).append((at["keys"], e["snapshot"]))
+        return rows, tombs, keys, cleared
 
     def _read(self, parts: list[tuple[str, int]], schema: T.StructType, stamp: str) -> DataFrame:
         """Parts with the snapshot that wrote them; a compacted part brings its own stamps."""
@@ -142,50 +167,83 @@ class Store:
             out = out.unionAll(f)
         return out
 
-    def _ended(self, name: str, upto: int) -> DataFrame:
-        """Every row begun by upto, with the snapshot that ended it (null while alive at upto).
+    def _spans(self, tombs_at: list[tuple[str, int]]) -> DataFrame:
+        """Range tombstones, one row per range bucket they touch: (lo, hi, _e, _tb)."""
+        tombs = self._read(tombs_at, _TOMB, "_e")
+        buckets = F.sequence(range_bucket(F.col("lo"), self.width), range_bucket(F.col("hi"), self.width), F.lit(self.width).cast("bigint"))
+        return tombs.select("lo", "hi", "_e", F.explode(buckets).alias("_tb"))
+
+    def _keyed(self, name: str, columns: str, parts: list[tuple[str, int]]) -> DataFrame:
+        """Key tombstones of one set of columns, renamed _k0, _k1 and so on, with their snapshot _ke."""
+        names = columns.split(",")
+        fields = T.StructType([self.tables[name][0][c] for c in names])
+        return self._read(parts, fields, "_ke").toDF(*[f"_k{i}" for i in range(len(names))], "_ke")
+
+    @staticmethod
+    def _same(columns: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(columns.split(","))])
 
-        Tombstones become one row per range bucket, so rows meet them in an equi-join on the bucket, with the range as
-        a residual; rows without a sequence number only meet tombstones over everything.
+    def _alive(self, name: str, upto: int) -> DataFrame:
+        """Rows alive at upto, with _begin: an anti join per kind of tombstone, on the range bucket or on the keys.
+
+        Without tombstones this is a plain scan. Per key only the newest tombstone is met.
         """
         schema, seq = self.tables[name]
-        rows_at, tombs_at = self._parts(name, upto)
+        rows_at, tombs_at, keys_at, _ = self._parts(name, upto, alive=True)
         rows = self._read(rows_at, schema, "_begin")
-        if not tombs_at:
-            return rows.withColumn("_end", F.lit(None).cast("bigint"))
-        tombs = self._read(tombs_at, _TOMB, "_end")
-        every = [r["_end"] for r in tombs.where("lo is null").select("_end").distinct().collect()]
-        rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_b", range_bucket(F.col(seq), self.width))
-        spans = tombs.where("lo is not null").select(
-            "lo", "hi", F.col("_end").alias("_e"), F.explode(F.sequence(range_bucket(F.col("lo"), self.width), range_bucket(F.col("hi"), self.width), F.lit(self.width).cast("bigint"))).alias("_tb")
-        )
-        hit = (rows["_b"] == spans["_tb"]) & rows[seq].between(spans["lo"], spans["hi"]) & (rows["_begin"] < spans["_e"])
-        met = rows.join(spans, hit, "left").groupBy("_row").agg(F.min("_e").alias("_e"), *[F.first(c).alias(c) for c in [*schema.fieldNames(), "_begin"]])
-        alls = F.array(*[F.lit(e).cast("bigint") for e in every]) if every else F.array().cast("array<bigint>")
-        later = F.array_min(F.filter(alls, lambda e: e > F.col("_begin")))
-        return met.select(*schema.fieldNames(), "_begin", F.least("_e", later).alias("_end"))
+        if tombs_at:
+            inside = (range_bucket(F.col(seq), self.width) == F.col("_tb")) & F.col(seq).between(F.col("lo"), F.col("hi")) & (F.col("_begin") < F.col("_e"))
+            rows = rows.join(self._spans(tombs_at), inside, "left_anti")
+        for columns, parts in sorted(keys_at.items()):
+            ends = self._keyed(name, columns, parts)
+            newest = ends.groupBy(*[c for c in ends.columns if c != "_ke"]).agg(F.max("_ke").alias("_ke"))
+            rows = rows.join(newest, self._same(columns) & (F.col("_begin") < F.col("_ke")), "left_anti")
+        return rows
+
+    def _ended(self, name: str, upto: int) -> DataFrame:
+        """Rows that a snapshot up to upto ended, with _begin and _end. Only rows that meet a tombstone are grouped."""
+        schema, seq = self.tables[name]
+        rows_at, tombs_at, keys_at, cleared = self._parts(name, upto)
+        rows = self._read(rows_at, schema, "_begin").withColumn("_row", F.monotonically_increasing_id())
+        ends = []
+        if cleared:
+            ends.append(F.array_min(F.filter(F.array(*[F.lit(e).cast("bigint") for e in cleared]), lambda e: e > F.col("_begin"))))
+        if tombs_at:
+            inside = (range_bucket(F.col(seq), self.width) == F.col("_tb")) & F.col(seq).between(F.col("lo"), F.col("hi")) & (F.col("_begin") < F.col("_e"))
+            rows = rows.join(self._spans(tombs_at), inside, "left")
+            ends.append(F.col("_e"))
+        for i, (columns, parts) in enumerate(sorted(keys_at.items())):
+            rows = rows.join(self._keyed(name, columns, parts), self._same(columns) & (F.col("_begin") < F.col("_ke")), "left")
+            rows = rows.withColumnRenamed("_ke", f"_ke{i}").drop(*[f"_k{j}" for j in range(len(columns.split(",")))])
+            ends.append(F.col(f"_ke{i}"))
+        if not ends:
+            return rows.where("false").drop("_row").withColumn("_end", F.lit(None).cast("bigint"))
+        names = [*schema.fieldNames(), "_begin"]
+        met = rows.withColumn("_end", F.array_min(F.array(*ends))).where("_end is not null")
+        return met.groupBy("_row").agg(F.min("_end").alias("_end"), *[F.first(c).alias(c) for c in names]).select(*names, "_end")
 
     def as_of(self, name: str, version: int | None = None) -> DataFrame:
         """The table's rows at a version (None: now)."""
         version = self.current() if version is None else version
         self._check(version)
-        return self._ended(name, version).where("_end is null").select(*self.tables[name][0].fieldNames())
+        return self._alive(name, version).select(*self.tables[name][0].fieldNames())
 
     def table_changes(self, name: str, low: int, high: int) -> DataFrame:
         """Rows inserted or deleted by snapshots low to high, inclusive: snapshot_id, change_type, the columns."""
         self._check(max(low - 1, 0) if self.floor() else low)
         self._check(high)
-        ended = self._ended(name, high)
-        names = self.tables[name][0].fieldNames()
-        ins = ended.where(F.col("_begin").between(low, high)).select(F.col("_begin").alias("snapshot_id"), F.lit("insert").alias("change_type"), *names)
-        dels = ended.where(F.col("_end").between(low, high)).select(F.col("_end").alias("snapshot_id"), F.lit("delete").alias("change_type"), *names)
+        schema = self.tables[name][0]
+        names = schema.fieldNames()
+        begun = self._read([r for r in self._parts(name, high)[0] if r[1] == 0 or r[1] >= low], schema, "_begin")
+        ins = begun.where(F.col("_begin").between(low, high)).select(F.col("_begin").alias("snapshot_id"), F.lit("insert").alias("change_type"), *names)
+        dels = self._ended(name, high).where(F.col("_end").between(low, high)).select(F.col("_end").alias("snapshot_id"), F.lit("delete").alias("change_type"), *names)
         return ins.unionAll(dels)
 
     def compact(self, name: str) -> None:
         """Rewrite a table's live rows in few sorted files, begin stamps kept; versions before become unreadable."""
         version = self.current()
         schema, seq = self.tables[name]
-        live = self._ended(name, version).where("_end is null").select(*schema.fieldNames(), "_begin")
+        live = self._alive(name, version).select(*schema.fieldNames(), "_begin")
         path = f"{name}/rows/compact={version + 1}/{uuid.uuid4().hex}"
         live.withColumn("_bucket", range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)).repartition("_bucket").sortWithinPartitions("_bucket", seq).write.partitionBy("_bucket").parquet(f"{self.root}/{path}")
         self._append_log({"snapshot": version + 1, "kind": "compact", "table": name, "rows": path, "upto": version, "floor": version + 1})

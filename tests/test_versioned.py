@@ -13,7 +13,7 @@ TABLES = {"t": (S, "seq"), "sync_checkpoints": (replica.CHECKPOINTS, "last_snaps
 
 
 def rows(df):
-    return sorted((r["seq"] if r["seq"] is not None else -1, r["v"]) for r in df.collect())
+    return sorted((r["seq"] if r["seq"] is not None else -1, r["v"] or "") for r in df.collect())
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +21,16 @@ def history(spark):
     """A store and a Python model of every version."""
     rng = random.Random(5)
     store, now, versions = Store(spark, work_path(spark, "model"), TABLES, width=10), [], [[]]
-    for k in range(6):
+    for k in range(9):
         lo = rng.randrange(40)
-        clear = [(lo, lo + rng.randrange(15))] if k else []
+        clear = [(lo, lo + rng.randrange(15))] if k and k != 6 else []
         new = [(rng.randrange(50), f"v{k}") for _ in range(12)] + ([(None, f"n{k}")] if k % 2 else [])
-        now = [r for r in now if not any(r[0] is not None and a <= r[0] <= b for a, b in clear)] + new
-        store.commit({"t": Change(rows=spark.createDataFrame(new, S), clear=clear)}, batch_id=f"b{k}", digest="d")
+        gone = {4: ["v1", "n1", None], 8: ["v7", "absent"]}.get(k, [])
+        if k == 2:
+            new += [(3, None), (4, None)]
+        now = [r for r in now if k != 6 and r[1] not in gone and not any(r[0] is not None and a <= r[0] <= b for a, b in clear)] + new
+        keys = spark.createDataFrame([(v,) for v in gone], "v string") if gone else None
+        store.commit({"t": Change(rows=spark.createDataFrame(new, S), clear=[(None, None)] if k == 6 else clear, clear_rows=keys)}, batch_id=f"b{k}", digest="d")
         versions.append(list(now))
     return store, versions
 
@@ -34,15 +38,16 @@ def history(spark):
 def test_every_version(history):
     store, versions = history
     for n in range(1, len(versions)):
-        assert rows(store.as_of("t", n)) == sorted((s if s is not None else -1, v) for s, v in versions[n])
+        assert rows(store.as_of("t", n)) == sorted((s if s is not None else -1, v or "") for s, v in versions[n])
 
 
-def test_changes_lead_from_version_to_version(history, spark):
+@pytest.mark.parametrize(("low", "high"), [(3, 6), (4, 9), (7, 7)])
+def test_changes_lead_from_version_to_version(history, spark, low, high):
     store, versions = history
-    got = store.table_changes("t", 3, 6)
+    got = store.table_changes("t", low, high)
     keep = got.where("change_type = 'insert'").select("seq", "v")
     gone = got.where("change_type = 'delete'").select("seq", "v")
-    assert parity.equal(store.as_of("t", 2).unionAll(keep), store.as_of("t", 6).unionAll(gone))
+    assert parity.equal(store.as_of("t", low - 1).unionAll(keep), store.as_of("t", high).unionAll(gone))
 
 
 def test_batch_ids(history, spark):
