@@ -63,6 +63,19 @@ def loose_value(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
+def loose_kind(json: Column) -> Column:
+    """What a JSON text is, tried in this order: null, string, bool, bigint, double, json (arrays and objects)."""
+    text = F.trim(json)
+    return (
+        F.when(text.isNull() | (text == "null"), "null")
+        .when(text.startswith('"'), "string")
+        .when(text.isin("true", "false"), "bool")
+        .when(text.try_cast("bigint").isNotNull() & text.rlike(r"^-?[0-9]+$"), "bigint")
+        .when(text.try_cast("double").isNotNull() & text.rlike(r"^-?[0-9]"), "double")
+        .otherwise("json")
+    )
+
+
 def redact(c: Column, secrets: list[str], mark: str = "[REDACTED]") -> Column:
     """Each secret, also where it is quoted or its quotes are doubled, replaced by mark; longest first."""
     for s in sorted({x for secret in secrets if secret for x in (secret, secret.replace("'", "''"), secret.replace('"', '\\"'))}, key=lambda x: (-len(x), x)):

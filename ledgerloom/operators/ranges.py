@@ -132,3 +132,37 @@ def coverage_violations(entries: DataFrame, start: str, end: str, low: int, high
         .when(F.col("_next").isNull() & (F.col(end) != high), "does not end the range")
     )
     return e.withColumn("problem", problem).where(F.col("problem").isNotNull()).select(start, end, "problem")
+
+
+def range_descriptors(rows: DataFrame, group: str, seq: str, payload: str) -> DataFrame:
+    """Per group: ledger_start, ledger_end, ledgers, bytes, rows, peak_bytes, peak_rows (of one ledger), payload_sha256.
+
+    The digest goes over the ledgers' digests in their order, and a ledger's over its payloads' digests, sorted; so a
+    task holds one digest a row of one ledger, then one a ledger of one group.
+    """
+    one = rows.groupBy(group, seq).agg(
+        F.sum(F.octet_length(payload)).cast("bigint").alias("b"), F.count("*").alias("r"),
+        F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2(payload, 256))), ""), 256).alias("h"),
+    )
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), "h"))), lambda x: x["h"])
+    return one.groupBy(group).agg(
+        F.min(seq).alias("ledger_start"), F.max(seq).alias("ledger_end"), F.count("*").alias("ledgers"), F.sum("b").alias("bytes"), F.sum("r").alias("rows"),
+        F.max("b").alias("peak_bytes"), F.max("r").alias("peak_rows"), F.sha2(F.array_join(ordered, ""), 256).alias("payload_sha256"),
+    )
+
+
+def take_after(df: DataFrame, seq: str, offset: int, count: int, width: int = RANGE_WIDTH) -> DataFrame:
+    """Rows of the `count` ledgers after the first `offset` ones; too few are an error.
+
+    One count per range bucket tells which two buckets hold the bounds; only those are sorted.
+    """
+    ledgers = df.where(F.col(seq).isNotNull()).select(F.col(seq).cast("bigint").alias("s")).distinct().withColumn("b", range_bucket(F.col("s"), width))
+    sizes = ledgers.groupBy("b").agg(F.count("*").alias("n"))
+    ends = sizes.withColumn("upto", F.sum("n").over(Window.orderBy("b"))).withColumn("before", F.col("upto") - F.col("n"))
+    bounds = []
+    for place in (offset + 1, offset + count):
+        at = ends.where((F.col("before") < place) & (F.col("upto") >= place)).first()
+        if at is None:
+            raise ValueError(f"fewer than {offset + count} ledgers")
+        bounds.append(ledgers.where(F.col("b") == at["b"]).orderBy("s").offset(place - at["before"] - 1).limit(1).first()["s"])
+    return df.where(F.col(seq).between(*bounds))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,3 +86,40 @@ def latest_row(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     names = [c for c in df.columns if c not in keys]
     top = df.groupBy(*keys).agg(F.max(F.struct(F.col(by), *[c for c in names if c != by])).alias("_r"))
     return top.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in names])
+
+
+def microbatch_rollup(receipts: DataFrame, keys: list[str]) -> DataFrame:
+    """Receipts (ledgers, bytes, rows, seconds) -> per keys: batches, smallest and largest batch, totals, ledgers a second."""
+    out = receipts.groupBy(*keys).agg(
+        F.count("*").alias("batches"), F.min("ledgers").alias("min_ledgers"), F.max("ledgers").alias("max_ledgers"),
+        F.sum("ledgers").alias("ledgers"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"),
+    )
+    return out.withColumn("ledgers_per_s", F.round(F.try_divide("ledgers", "seconds"), 3))
+
+
+def single_value_state(df: DataFrame, column: str) -> DataFrame:
+    """(rows, low, high, problem) of a key that must have one non-blank value, such as a catalog's network."""
+    s = df.agg(F.count("*").alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"), F.count_if(F.coalesce(F.trim(column), F.lit("")) == "").alias("_blank"))
+    problem = F.when(F.col("rows") == 0, "absent").when(F.col("_blank") > 0, "blank").when(F.col("low") != F.col("high"), "several values").when(F.col("rows") > 1, "repeated")
+    return s.withColumn("problem", problem).drop("_blank")
+
+
+def over_budget_increase(df: DataFrame, at: str, latency: str, budget: float, window: str = "5 minutes") -> DataFrame:
+    """(window_start, over) of the windows in which some latency went over budget."""
+    late = df.where(F.col(latency) > budget).groupBy(F.window(at, window).alias("w")).agg(F.count("*").alias("over"))
+    return late.select(F.col("w.start").alias("window_start"), "over")
+
+
+def burst_exempt(df: DataFrame, keys: list[str], order: list[str], burst: int) -> DataFrame:
+    """exempt marks the first `burst` rows of each key; (keys, order) must be unique.
+
+    Only the first rows of each key are ranked (the rank limit applies before the shuffle, so a hot key is cut in its
+    map tasks); one row per key, the last exempt place, goes back to the rows by a join.
+    """
+    from pyspark.sql import Window
+
+    place = F.struct(*order)
+    first = df.select(*keys, place.alias("_o")).withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("_o"))).where(F.col("_k") <= burst)
+    last = first.groupBy(*keys).agg(F.max("_o").alias("_last")).toDF(*[f"_g{i}" for i in range(len(keys))], "_last")
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(last[f"_g{i}"]) for i, k in enumerate(keys)])
+    return df.join(last, same, "left").withColumn("exempt", F.coalesce(place <= F.col("_last"), F.lit(False))).select(*df.columns, "exempt")

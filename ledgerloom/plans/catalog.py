@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import columns as C
-from ledgerloom.operators import mutations, parity, ranges, rollups
-from ledgerloom.plans import gatekeeper, replica
+from ledgerloom.operators import mutations, parity, ranges, rollups, validation
+from ledgerloom.plans import gatekeeper, loads, replica
 from ledgerloom.plans.versioned import Change, Store
 from ledgerloom.session import stage_table, work_path
 from ledgerloom.sources import corpus, envelope
@@ -442,3 +442,139 @@ SELECT user_id, seq, CAST(place AS INTEGER) AS place, CAST(arrival AS INTEGER) A
 def reorder_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.struct(((F.col("event_id") * 7919) % 1009).alias("p"), F.col("event_id").alias("s")).alias("pos"))
     return ingest.reorder_batch(rows, "seq", "pos", 4, ["user_id"]).drop("pos")
+
+
+@query("""WITH one AS (SELECT event_id // 500 AS shard, event_id // 10 AS q, CAST(sum(strlen(props)) AS BIGINT) AS b, count(*) AS r, sha256(string_agg(sha256(props), '' ORDER BY sha256(props))) AS h FROM events GROUP BY 1, 2)
+SELECT shard, min(q) AS ledger_start, max(q) AS ledger_end, count(*) AS ledgers, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(r) AS BIGINT) AS rows, max(b) AS peak_bytes, max(r) AS peak_rows, sha256(string_agg(h, '' ORDER BY q)) AS payload_sha256 FROM one GROUP BY 1""")
+def range_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).cast("bigint").alias("shard"), F.floor(F.col("event_id") / 10).cast("bigint").alias("q"), "props")
+    return ranges.range_descriptors(e, "shard", "q", "props")
+
+
+@query("""WITH w AS (SELECT user_id % 4 AS run, user_id AS w, count(DISTINCT event_id // 10) AS ledgers, CAST(sum(strlen(props)) AS BIGINT) AS bytes, count(*) AS rows, CAST(count(DISTINCT event_type) AS DOUBLE) AS seconds FROM events GROUP BY 1, 2)
+SELECT run, count(*) AS batches, min(ledgers) AS min_ledgers, max(ledgers) AS max_ledgers, CAST(sum(ledgers) AS BIGINT) AS ledgers, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(rows) AS BIGINT) AS rows, sum(seconds) AS seconds, round(sum(ledgers) / sum(seconds), 3) AS ledgers_per_s FROM w GROUP BY 1""")
+def microbatch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 4).alias("run"), "user_id").agg(
+        F.count_distinct(F.floor(F.col("event_id") / 10)).alias("ledgers"), F.sum(F.octet_length("props")).cast("bigint").alias("bytes"), F.count("*").alias("rows"), F.count_distinct("event_type").cast("double").alias("seconds"))
+    return rollups.microbatch_rollup(e, ["run"])
+
+
+@query("SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, count(*) AS over FROM events WHERE value > 90 GROUP BY 1")
+def over_budget_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.over_budget_increase(table(spark, sf_dir, "events"), "ts", "value", 90.0).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 5 AS exempt FROM events")
+def burst_exempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.burst_exempt(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), ["user_id"], ["ts", "event_id"], 5).drop("ts")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT DISTINCT l_orderkey FROM lineitem ORDER BY 1 LIMIT 40 OFFSET 25)")
+def offset_take(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranges.take_after(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", 25, 40, width=100)
+
+
+@query("SELECT count(*) AS rows, min(o_orderstatus) AS low, max(o_orderstatus) AS high, CASE WHEN count(*) = 0 THEN 'absent' WHEN min(o_orderstatus) <> max(o_orderstatus) THEN 'several values' WHEN count(*) > 1 THEN 'repeated' END AS problem FROM orders")
+def catalog_network_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.single_value_state(table(spark, sf_dir, "orders"), "o_orderstatus")
+
+
+@query("""WITH d AS (SELECT l_orderkey AS o_orderkey, count(*) AS n, max(l_linenumber) AS top FROM lineitem WHERE l_orderkey % 9 <> 0 GROUP BY 1), o AS (SELECT o_orderkey, o_custkey % 5 AS n, CAST(o_custkey % 7 AS INTEGER) AS top FROM orders)
+SELECT o_orderkey, CASE WHEN o.n IS NULL THEN 'not observed' WHEN d.n IS NULL THEN 'not declared' WHEN d.n <> o.n AND d.top <> o.top THEN 'differs in n,top' WHEN d.n <> o.n THEN 'differs in n' ELSE 'differs in top' END AS problem
+FROM d FULL JOIN o USING (o_orderkey) WHERE d.n IS NULL OR o.n IS NULL OR d.n <> o.n OR d.top <> o.top""")
+def declaration_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared against observed counts, as for batch declarations and acknowledgements."""
+    d = table(spark, sf_dir, "lineitem").where("l_orderkey % 9 <> 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.max("l_linenumber").cast("bigint").alias("top"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).alias("n"), (F.col("o_custkey") % 7).cast("bigint").alias("top"))
+    return validation.declared_differs(d, o, ["o_orderkey"], ["n", "top"])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey // 10 AS own, l_suppkey AS batch FROM lineitem WHERE l_partkey // 10 IS DISTINCT FROM l_suppkey")
+def row_ledger_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.floor(F.col("l_partkey") / 10).cast("bigint").alias("own"), F.col("l_suppkey").alias("batch"))
+    return validation.row_ledger_violations(rows, "own", "batch", ["l_orderkey", "l_linenumber"])
+
+
+@query("""WITH e AS (SELECT o_orderkey // 100 AS c, min(o_orderkey) AS s, max(o_orderkey) AS e FROM orders WHERE o_orderkey // 100 % 7 <> 3 GROUP BY 1), n AS (SELECT s, e, lag(e) OVER (ORDER BY s, e) AS p FROM e)
+SELECT s || '-' || e AS subject, CASE WHEN s > p + 1 THEN 'leaves a gap' ELSE 'overlaps' END AS problem FROM n WHERE s <> p + 1 UNION ALL SELECT s || '-' || e, 'shard_id is not derived' FROM n WHERE s % 2 = 0""")
+def job_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunk = F.floor(F.col("o_orderkey") / 100)
+    shards = table(spark, sf_dir, "orders").where(chunk % 7 != 3).groupBy(chunk.alias("c")).agg(F.min("o_orderkey").alias("ledger_start"), F.max("o_orderkey").alias("ledger_end"))
+    own = validation.shard_id("job", "net", 1)
+    shards = shards.withColumn("shard_id", F.when(F.col("ledger_start") % 2 == 0, F.concat(F.lit("other-"), own)).otherwise(own))
+    bounds = shards.agg(F.min("ledger_start"), F.max("ledger_end")).first()
+    return validation.validate_job(shards, *bounds, "job", "net", 1)
+
+
+@query("""SELECT event_id, CASE WHEN j IS NULL THEN 'null' WHEN j[1] = '"' THEN 'string' WHEN j IN ('true', 'false') THEN 'bool' WHEN TRY_CAST(j AS BIGINT) IS NOT NULL AND j NOT LIKE '%.%' THEN 'bigint' WHEN TRY_CAST(j AS DOUBLE) IS NOT NULL THEN 'double' ELSE 'json' END AS kind
+FROM (SELECT event_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN CAST(event_id AS VARCHAR) WHEN 2 THEN '"' || event_type || '"' WHEN 3 THEN event_id || '.5' WHEN 4 THEN 'true' END AS j FROM events)""")
+def loose_json_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, i = F.col("event_id") % 6, F.col("event_id").cast("string")
+    j = F.when(k == 0, F.col("props")).when(k == 1, i).when(k == 2, F.concat(F.lit('"'), "event_type", F.lit('"'))).when(k == 3, F.concat(i, F.lit(".5"))).when(k == 4, "true")
+    return table(spark, sf_dir, "events").select("event_id", C.loose_kind(j).alias("kind"))
+
+
+_INDEX = T.StructType([T.StructField("contract_id", T.StringType()), T.StructField("ledger_sequence", T.LongType()), T.StructField("event_count", T.IntegerType()), T.StructField("ledger_range", T.LongType())])
+
+
+@query("SELECT event_type AS contract_id, event_id // 10 AS ledger_sequence, CAST(count(*) AS INTEGER) AS event_count, CAST((event_id // 10) / 100 AS BIGINT) AS ledger_range FROM events WHERE event_type <> 'error' AND event_id // 10 > 10 AND event_id // 10 <= 90 GROUP BY 1, 2")
+def index_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract index over (10, 90] in chunks of 30 ledgers, then (40, 60] once more: nothing is doubled."""
+    store = Store(spark, work_path(spark, "index"), {"contract_events_index": (_INDEX, "ledger_sequence")}, width=100)
+    e = transfers(spark, sf_dir).select("ledger_sequence", F.nullif("event_type", F.lit("error")).alias("contract_id"), F.col("ts").alias("closed_at"))
+    build = lambda low, high: rollups.contract_events_index(e, low, high, width=100).drop("first_seen_at")
+    loads.materialize(store, "contract_events_index", build, 10, 90, chunk=30)
+    loads.materialize(store, "contract_events_index", build, 40, 60)
+    return store.as_of("contract_events_index")
+
+
+@query(f"SELECT * FROM {_V2} WHERE o_orderkey % 50 <> 0")
+def compacted_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three commits of the history after a round of upkeep."""
+    store = _history(spark, sf_dir)
+    loads.maintain(store, small_commits=2)
+    return store.as_of("orders")
+
+
+_TYPED = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("line_number", T.IntegerType()), T.StructField("part_key", T.LongType()), T.StructField("ledger_sequence", T.LongType())])
+
+
+@query("SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key, l_suppkey AS ledger_sequence FROM lineitem WHERE l_returnflag = 'A' AND l_orderkey // 10 IN (SELECT o_orderkey // 10 FROM orders)")
+def typed_load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes into a typed table, committed twice under different batch ids: the replay ends the first rows."""
+    specs = {"A": envelope.TableSpec("A", _TYPED, names={"ledger_sequence": "SuppKey"})}
+    tables = {"A": (_TYPED, "ledger_sequence"), "ingest_watermarks": (ingest.WATERMARKS, "ledger_sequence"), "receipts": (ingest.RECEIPTS, "ledger_start")}
+    store = Store(spark, work_path(spark, "typed"), tables)
+    rows = {k: stage_table(v, "typed") for k, v in loads.typed_tables(batches(spark, sf_dir), specs).items()}
+    for name in ("first", "again"):
+        ingest.commit_batch(store, rows, "ledger_sequence", "net", name)
+    return store.as_of("A")
+
+
+@query("""WITH r AS (SELECT l_orderkey // 10 AS q, l_returnflag AS t, count(*) AS n FROM lineitem WHERE l_orderkey // 10 IN (SELECT o_orderkey // 10 FROM orders) GROUP BY 1, 2)
+SELECT q AS ledger_sequence, t AS table_name, n FROM r UNION ALL SELECT 0, 'kept', 1 ORDER BY 1, 2""")
+def json_rows_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON rows replaced per (network, ledger, table): stale rows of the same keys go, a row of another key stays."""
+    b = batches(spark, sf_dir)
+    schema = "id string, network_passphrase string, ledger_sequence bigint, table_name string, row_ordinal int, row_json string"
+    stale = b.select(F.lit("old").alias("id"), F.col("networkPassphrase").alias("network_passphrase"), F.col("ledgerSequence").alias("ledger_sequence"), F.explode("bronzeRows.tableName").alias("table_name"), F.lit(99).alias("row_ordinal"), F.lit("{}").alias("row_json"))
+    kept = spark.createDataFrame([("k", "net", 0, "kept", 0, "{}")], schema)
+    return loads.replace_json_rows(stale.unionByName(kept), b).groupBy("ledger_sequence", "table_name").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey // 10 AS ledger_sequence, CAST(row_number() OVER (PARTITION BY o_orderkey // 10 ORDER BY o_orderkey, o_orderpriority) - 1 AS BIGINT) AS transaction_index, o_orderpriority AS envelope_xdr FROM orders""")
+def relational_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions list upserted on its natural key over older rows of the same keys."""
+    b = batches(spark, sf_dir)
+    item = lambda x, i: F.struct(F.lit("net").alias("networkPassphrase"), F.col("ledgerSequence").alias("ledgerSequence"), i.cast("bigint").alias("transactionIndex"), x["envelopeXdr"].alias("envelopeXdr"))
+    b = b.select("ledgerSequence", F.transform("transactions", item).alias("transactions"))
+    old = loads.relational_rows(b, "transactions").drop("position").withColumn("envelope_xdr", F.lit("old"))
+    return loads.upsert_relational({"transactions": old}, b)["transactions"].drop("network_passphrase")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files rolled near a byte target, read back."""
+    path = work_path(spark, "rolled")
+    corpus.write_rolling(_orders(spark, sf_dir), path, "o_orderkey", target_bytes=8_000, max_bytes=1_000_000)
+    return spark.read.schema(_ORDERS).parquet(f"{path}/data")

@@ -12,6 +12,18 @@ from ledgerloom.functions.columns import digest_ok, file_overlap
 CODECS = ("zstd", "snappy", "uncompressed")
 MANIFEST = "path string, sha256 string, bytes bigint, rows bigint, ledger_start bigint, ledger_end bigint, ledgers bigint"
 
+#: Order of rows inside a ledger's part of a file (fixed values); tables not named here are sorted by all columns.
+SORT_KEYS = {
+    "transactions_row_v2": ["ledger_sequence", "transaction_hash"],
+    "operations_row_v2": ["transaction_hash", "operation_index", "ledger_sequence"],
+    "effects_row_v1": ["ledger_sequence", "transaction_hash", "operation_index", "effect_index", "effect_type", "effect_type_string"],
+    "contract_events_stream_v1": ["ledger_sequence", "transaction_hash", "operation_index", "event_index", "event_type", "event_id", "contract_event_xdr", "topics_json", "data_xdr"],
+    "token_transfers_stream_v1": [
+        "ledger_sequence", "transaction_hash", "transaction_id", "operation_id", "operation_index", "event_type", "from", "to",
+        "asset", "asset_type", "asset_code", "asset_issuer", "amount", "amount_raw", "contract_id", "era_id",
+    ],
+}
+
 
 def _below(path: F.Column, folder: str) -> F.Column:
     return F.substring_index(path, f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
@@ -32,6 +44,32 @@ def write_shard(df: DataFrame, path: str, seq: str, order: list[str] | None = No
     (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(path)
 
 
+def write_rolling(df: DataFrame, path: str, seq: str, target_bytes: int, max_bytes: int, order: list[str] | None = None, codec: str = "zstd") -> DataFrame:
+    """Sorted files near target_bytes -> (path, bytes, rows, ledger_start, ledger_end); a file above max_bytes is an error.
+
+    A first write below path/measured tells the bytes a row takes and how many files the range needs; it stays there.
+    """
+    spark = df.sparkSession
+    write_shard(df, f"{path}/measured", seq, order, codec=codec, files=spark.sparkContext.defaultParallelism)
+    total = _sizes(spark, f"{path}/measured").agg(F.sum("bytes")).first()[0]
+    measured = spark.read.schema(df.schema).parquet(f"{path}/measured")
+    rows = measured.count()
+    per_file = max(1, int(rows * target_bytes / max(total or 1, 1)))
+    write_shard(measured, f"{path}/data", seq, order, files=max(1, -(-rows // per_file)), codec=codec, max_rows=per_file)
+    name = _below(F.col("_metadata.file_path"), f"{path}/data")
+    ranges = spark.read.schema(df.schema).parquet(f"{path}/data").select(seq, name.alias("path")).groupBy("path").agg(F.count("*").alias("rows"), F.min(seq).alias("ledger_start"), F.max(seq).alias("ledger_end"))
+    files = _sizes(spark, f"{path}/data").join(ranges, "path").select("path", "bytes", "rows", "ledger_start", "ledger_end")
+    over = files.where(F.col("bytes") > max_bytes).first()
+    if over is not None:
+        raise ValueError(f"{over['path']} has {over['bytes']} bytes, more than {max_bytes}")
+    return files
+
+
+def _sizes(spark: SparkSession, folder: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
+    return files.select(_below(F.col("path"), folder).alias("path"), F.col("length").alias("bytes"))
+
+
 def record_corpus(df: DataFrame, path: str, seq: str, ledgers_per_file: int) -> DataFrame:
     """Write df in files of so many ledgers below path/data and the manifest, last, below path/manifest; returns it."""
     spark = df.sparkSession

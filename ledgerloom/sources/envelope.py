@@ -19,6 +19,10 @@ ENVELOPE = f"""networkPassphrase string, schemaVersion string, extractionVersion
 ledgers array<struct<{_ITEM}, closedAtUnix: string, ledgerHash: string, previousLedgerHash: string, protocolVersion: bigint, transactionCount: bigint>>,
 transactions array<struct<{_ITEM}, transactionIndex: bigint, transactionHash: string, successful: boolean, envelopeXdr: string, resultXdr: string, metaXdr: string>>,
 operations array<struct<{_ITEM}, transactionId: string, transactionIndex: bigint, operationIndex: bigint, operationType: string, operationXdr: string>>,
+contractEvents array<struct<{_ITEM}, transactionId: string, transactionIndex: bigint, eventIndex: bigint, contractId: string, topicJson: string, valueJson: string>>,
+contractInvocations array<struct<{_ITEM}, transactionId: string, transactionIndex: bigint, invocationIndex: bigint, contractId: string, functionName: string, argumentsJson: string>>,
+tokenTransfers array<struct<{_ITEM}, transactionId: string, transactionIndex: bigint, operationIndex: bigint, assetCode: string, assetIssuer: string, fromAccount: string, toAccount: string, amount: string>>,
+accountEffects array<struct<{_ITEM}, transactionId: string, transactionIndex: bigint, operationIndex: bigint, accountId: string, effectType: string, effectJson: string>>,
 bronzeRows array<struct<id: string, tableName: string, networkPassphrase: string, ledgerSequence: bigint, ledgerRange: bigint, rowJson: string>>"""
 ENVELOPE_SCHEMA = re.sub(r"struct<id string, networkPassphrase string, ledgerSequence bigint", "struct<id: string, networkPassphrase: string, ledgerSequence: bigint", ENVELOPE)
 #: Columns of the payload whose exported name does not follow the rule of exported_name().
@@ -67,6 +71,14 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE_SCHEMA).option("mode", "FAILFAST").json(path)
 
 
+def stream_batches(spark: SparkSession, path: str, kind: str | None = None, per_trigger: int | None = None) -> DataFrame:
+    """Envelopes as a file stream; with kind, lines are (type, batch) events and other types are passed over."""
+    schema = ENVELOPE_SCHEMA if kind is None else T.StructType([T.StructField("type", T.StringType()), T.StructField("batch", T._parse_datatype_string(ENVELOPE_SCHEMA))])
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    stream = (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).json(path)
+    return stream if kind is None else stream.where(F.col("type") == kind).select("batch.*")
+
+
 def normalized(batches: DataFrame, network: str = "", schema_version: str = "v1", extraction_version: str = "v1") -> DataFrame:
     """Envelopes with defaults filled, the close time as a number and the range bucket."""
     return batches.withColumns({

@@ -50,6 +50,7 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
     A batch id seen before with the same contents does nothing, with others it is refused. Ledgers at or below the
     watermark are replays: their old rows end in the same commit; fresh ledgers need no tombstones. With contiguous,
     ledgers must be gapless and start right after the watermark (backfill); limits refuse a batch that is too large.
+    Each table's ledger is its range column in the store; seq only names it inside this function.
     """
     if not network.strip() or pinned_network(store) not in (None, network):
         raise ValueError(f"this store belongs to network {pinned_network(store)!r}, not {network!r}")
@@ -57,9 +58,9 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
     rows = 0
     digests = []
     for name, df in sorted(tables.items()):
-        only = df.select(F.col(seq).cast("bigint").alias(seq))
+        only = df.select(F.col(store.tables[name][1]).cast("bigint").alias(seq))
         keys = only if keys is None else keys.unionAll(only)
-        digests.append(payload_digest(df, seq))
+        digests.append(payload_digest(df, store.tables[name][1]))
     stats = keys.agg(F.count("*").alias("n"), F.count_if(F.col(seq).isNull()).alias("nulls")).first()
     rows, ledgers = stats["n"], keys.distinct()
     if stats["nulls"]:
@@ -80,7 +81,7 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
         raise ValueError(f"ledgers {bounds['lo']} to {bounds['hi']} do not follow {mark} without gaps")
     replayed = ledgers.where(F.col(seq) <= F.lit(mark)) if mark is not None and bounds["lo"] <= mark else None
     spark = store.spark
-    changes = {n: Change(rows=df, clear_keys=replayed) for n, df in tables.items()}
+    changes = {n: Change(rows=df, clear_keys=None if replayed is None else replayed.select(F.col(seq).alias(store.tables[n][1]))) for n, df in tables.items()}
     changes["ingest_watermarks"] = Change(rows=ledgers.select(F.lit(network).alias("network_passphrase"), F.col(seq).alias("ledger_sequence")), clear_keys=None if replayed is None else replayed.select(F.col(seq).alias("ledger_sequence")))
     changes["receipts"] = Change(rows=spark.createDataFrame([(network, batch_id, bounds["lo"], bounds["hi"], bounds["n"], digest)], RECEIPTS))
     return store.commit(changes, batch_id=batch_id, digest=digest)
