@@ -283,7 +283,7 @@ def latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.latest_row(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], "event_id")
 
 
-@query("""WITH RECURSIVE s AS (SELECT event_id // 10 // 20 AS shard, event_id // 10 AS q, CAST(sum(length(props) + user_id) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1, 2),
+@query("""WITH RECURSIVE s AS (SELECT event_id // 10 // 20 AS shard, event_id // 10 AS q, CAST(sum(length(props) + user_id % 100) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1, 2),
 p AS (SELECT shard, q, b, r, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS an, b AS ab, r AS ar FROM s WHERE q = shard * 20
 UNION ALL SELECT s.shard, s.q, s.b, s.r, batch + CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN 0 ELSE 1 END,
 CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN an + 1 ELSE 1 END, CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN ab + s.b ELSE s.b END, CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN ar + s.r ELSE s.r END
@@ -291,7 +291,7 @@ FROM p JOIN s ON s.shard = p.shard AND s.q = p.q + 1)
 SELECT shard, batch, min(q) AS ledger_start, max(q) AS ledger_end, count(*) AS ledgers, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(r) AS BIGINT) AS rows FROM p GROUP BY 1, 2""")
 def microbatch_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("q", F.floor(F.col("event_id") / 10).cast("bigint"))
-    sizes = e.groupBy(F.floor(F.col("q") / 20).cast("bigint").alias("shard"), "q").agg(F.sum(F.length("props") + F.col("user_id")).alias("b"), F.count("*").alias("r"))
+    sizes = e.groupBy(F.floor(F.col("q") / 20).cast("bigint").alias("shard"), "q").agg(F.sum(F.length("props") + F.col("user_id") % 100).alias("b"), F.count("*").alias("r"))
     return ranges.pack_microbatches(sizes, "shard", "q", "b", "r", max_ledgers=7, max_bytes=3000, max_rows=60)
 
 
