@@ -81,6 +81,12 @@ class Store:
         stream.write(bytearray(json.dumps(entry, sort_keys=True).encode()))
         stream.close()
 
+    def _write(self, rows: DataFrame, seq: str, path: str) -> None:
+        """Rows of a range bucket go to one file, sorted, so that its statistics prune; small buckets share a file (AQE
+        coalesces them), and no folder per bucket is made, whose number would grow with ledgers times commits."""
+        bucket = range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)
+        rows.repartition(bucket).sortWithinPartitions(seq).write.parquet(f"{self.root}/{path}")
+
     def commit(self, changes: dict[str, Change], batch_id: str | None = None, digest: str | None = None) -> tuple[int, bool]:
         """All changes under one snapshot id -> (id, whether it was new). A batch id that is known is not done again."""
         log = self.log()
@@ -98,8 +104,7 @@ class Store:
             if c.rows is not None:
                 rows = c.rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
                 done["rows"] = f"{name}/rows/begin={n}/{attempt}"
-                bucket = range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)
-                rows.withColumn("_bucket", bucket).repartition("_bucket").sortWithinPartitions("_bucket", seq).write.partitionBy("_bucket").parquet(f"{self.root}/{done['rows']}")
+                self._write(rows, seq, done["rows"])
             if (None, None) in c.clear:
                 done["all"] = "cleared"
             ranges = [r for r in c.clear if r != (None, None)]
@@ -245,7 +250,7 @@ class Store:
         schema, seq = self.tables[name]
         live = self._alive(name, version).select(*schema.fieldNames(), "_begin")
         path = f"{name}/rows/compact={version + 1}/{uuid.uuid4().hex}"
-        live.withColumn("_bucket", range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)).repartition("_bucket").sortWithinPartitions("_bucket", seq).write.partitionBy("_bucket").parquet(f"{self.root}/{path}")
+        self._write(live, seq, path)
         self._append_log({"snapshot": version + 1, "kind": "compact", "table": name, "rows": path, "upto": version, "floor": version + 1})
 
     def expire(self, before: int) -> None:
