@@ -82,10 +82,12 @@ class Store:
         stream.close()
 
     def _write(self, rows: DataFrame, seq: str, path: str) -> None:
-        """Rows of a range bucket go to one file, sorted, so that its statistics prune; small buckets share a file (AQE
-        coalesces them), and no folder per bucket is made, whose number would grow with ledgers times commits."""
+        """Rows of a range bucket go to one file, sorted, so that its statistics prune. Rebalancing lets small buckets
+        share a file and splits a hot one over several tasks; no folder per bucket is made, whose number would grow
+        with ledgers times commits."""
         bucket = range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)
-        rows.repartition(bucket).sortWithinPartitions(seq).write.parquet(f"{self.root}/{path}")
+        dealt = rows.withColumn("_bucket", bucket).hint("rebalance", F.col("_bucket"))
+        dealt.sortWithinPartitions(seq).drop("_bucket").write.parquet(f"{self.root}/{path}")
 
     def commit(self, changes: dict[str, Change], batch_id: str | None = None, digest: str | None = None) -> tuple[int, bool]:
         """All changes under one snapshot id -> (id, whether it was new). A batch id that is known is not done again."""
