@@ -47,13 +47,25 @@ def pad(data: bytes) -> bytes:
     return data + PAD * (-len(data) % UNIT if data else UNIT)
 
 
+def n_frames(samples: int) -> int:
+    """Frames that cover so many samples: one per HOP begun, at least one."""
+    return max(1, -(-samples // HOP))
+
+
+def frames_of(payload: bytes) -> np.ndarray:
+    """The frames of a sound, with silence around it (FRAME - HOP for a payload of whole units, half of it on either
+    side) so that its first and last samples are inside a frame and not at the window's zero."""
+    samples = np.frombuffer(payload, np.uint8).astype(np.float32) - 128
+    lead = (FRAME - HOP) // 2
+    whole = (n_frames(len(samples)) - 1) * HOP + FRAME
+    samples = np.concatenate((np.zeros(lead, np.float32), samples, np.zeros(whole - lead - len(samples), np.float32)))
+    return np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP]
+
+
 def peaks(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Frame and bin of each spectral peak: per frame and band its loudest bin, where it is louder than in the
     frames before and after and than the band's mean over the sound."""
-    samples = np.frombuffer(payload, np.uint8).astype(np.float32) - 128
-    if len(samples) < FRAME:
-        samples = np.concatenate((samples, np.zeros(FRAME - len(samples), np.float32)))
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP]
+    frames = frames_of(payload)
     tops, bins = [], []
     for a in range(0, len(frames), _FRAMES):  # long sounds in stretches, so that memory is bounded
         power = np.abs(np.fft.rfft(frames[a : a + _FRAMES] * _HANN, axis=1)).round(2)
@@ -91,7 +103,7 @@ def _media_batches(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[pa
             back = from_wav(media)
             f, bins = peaks(back)
             t, c = pair_codes(f, bins)
-            rows.append((doc, len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), 1 + max(0, len(back) - FRAME) // HOP, len(f), t, c, media))
+            rows.append((doc, len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), n_frames(len(back)), len(f), t, c, media))
         cols = list(zip(*rows, strict=True)) or [[]] * 12
         kinds = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 2 + [pa.string()] + [pa.int64()] * 2 + [pa.list_(pa.int32())] * 2
         names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "n_frames", "n_peaks", "fp_times", "fp_codes"]

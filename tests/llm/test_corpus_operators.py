@@ -237,6 +237,23 @@ def test_a_tone_peaks_at_its_bin():
     assert len(middle) >= 10 and np.bincount(middle).argmax() == 20
 
 
+def test_media_frames_cover_the_whole_sound(spark):
+    rng = np.random.default_rng(7)
+    for m in (1, 2, 3, 10):
+        payload = rng.integers(0, 256, 192 * m, np.uint8)
+        whole = media.frames_of(payload.tobytes()) * media._HANN
+        assert len(whole) == m == media.n_frames(192 * m)
+        for at in (0, 192 * m - 1, *range(0, 192 * m, 37)):
+            other = payload.copy()
+            other[at] ^= 128
+            assert (media.frames_of(other.tobytes()) * media._HANN != whole).any()
+    start = rng.integers(32, 127, 256, np.uint8).tobytes().decode()
+    ends = [bytes(rng.integers(32, 127, 128, np.uint8)).decode() for _ in range(8)]
+    rows = media.op2_media(docs_of(spark, [start + e for e in ends])).collect()
+    assert all(r["payload_bytes"] == 384 and r["feature"].startswith("2:") for r in rows)
+    assert len({r["feature"] for r in rows}) > 1
+
+
 # --- 1
 
 
