@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -30,8 +31,9 @@ _PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{
 class Encoder(dict):
     """Ids of byte_bpe_50k as little-endian uint32 bytes.
 
-    Plain texts are split as the vocabulary's own splitter does, and the ids of each piece are remembered (in two
-    generations of bounded size); other texts are encoded whole. Special token strings in a text are ordinary text.
+    A text is first cut at the vocabulary's added tokens, each of which is one id. Plain parts are split as the
+    vocabulary's own splitter does, and the ids of each piece are remembered (in two generations of bounded size);
+    other parts are encoded whole.
     """
 
     def __init__(self, ranks_path: str | None = None, remember: int = 300_000) -> None:
@@ -46,6 +48,12 @@ class Encoder(dict):
         self._whole, self._single = encoding.encode_ordinary, encoding._encode_single_piece
         self._old: dict[str, bytes] = {}
         self._most = remember
+        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if odd := [a["content"] for a in added if a["single_word"] or a["lstrip"] or a["rstrip"]]:
+            raise ValueError(f"added tokens that take more than their own text: {odd}")
+        self._added = {a["content"]: array("I", [a["id"]]).tobytes() for a in added}
+        self._cut = re.compile("(" + "|".join(re.escape(a) for a in self._added) + ")") if added else None
 
     def __missing__(self, piece: str) -> bytes:
         got = self._old.get(piece)
@@ -56,6 +64,11 @@ class Encoder(dict):
         return got
 
     def __call__(self, text: str) -> bytes:
+        if self._cut and self._cut.search(text):
+            return b"".join(self._added.get(part) or self._ordinary(part) for part in self._cut.split(text))
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text):
             return np.array(self._whole(text), "<u4").tobytes()
         out = b"".join(map(self.__getitem__, _PIECE.findall(text)))

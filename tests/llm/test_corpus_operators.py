@@ -175,6 +175,33 @@ def test_encoder_equals_the_tokenizer(text):
     assert np.frombuffer(packing._encoder(None)(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+END = "<|endoftext|>"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.just(END), st.sampled_from([" ", "  \n", "<|", "|>", "<", "endoftext", "<|ENDOFTEXT|>", "日本", "it's 3"]), st.text(max_size=12)), max_size=8).map("".join))
+def test_encoder_knows_added_tokens(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = test_encoder_knows_added_tokens.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    assert np.frombuffer(packing._encoder(None)(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_with_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"a {END} b", END, END * 3, f"  {END}\n\n{END} ", f"日本{END}ü", f"{LONG * 12}{END}{LONG * 12}", "<|endoftext| >"]
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    want = set()
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        want |= {(i, k, a, n, zlib.crc32(ids[a : a + n].tobytes())) for k, (a, n) in enumerate(packing.cut(len(ids)))}
+    assert {tuple(r)[:5] for r in packing.pack(docs_of(spark, texts)).collect()} == want
+
+
 # --- 3
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
