@@ -394,13 +394,13 @@ _TRANSFERS = T.StructType([T.StructField("ledger_sequence", T.LongType()), T.Str
 _VOLUME = T.StructType([T.StructField("asset", T.StringType()), T.StructField("day", T.DateType()), T.StructField("transfer_count", T.LongType()), T.StructField("volume", T.DecimalType(38, 2))])
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> tuple[Store, gatekeeper.Proposal]:
+def _silver(spark: SparkSession, sf_dir: str, start: int = 50, end: int = 60) -> tuple[Store, gatekeeper.Proposal]:
     tables = {"transfers": (_TRANSFERS, "ledger_sequence"), "daily": (_VOLUME, "transfer_count"), "promotions": (gatekeeper.RECEIPTS, "source_snapshot_id")}
     store = Store(spark, work_path(spark, "silver"), tables)
     rows = transfers(spark, sf_dir).select(*_TRANSFERS.fieldNames())
     store.commit({"transfers": Change(rows=rows), "daily": Change(rows=spark.createDataFrame([], _VOLUME)), "promotions": Change(rows=spark.createDataFrame([], gatekeeper.RECEIPTS))}, batch_id="load")
     proposal = gatekeeper.Proposal(
-        "daily", "agent", "lake.raw.transfers", 1, 50, 60, "lake.silver.daily", ("asset", "day"),
+        "daily", "agent", "lake.raw.transfers", 1, start, end, "lake.silver.daily", ("asset", "day"),
         """WITH days AS (SELECT DISTINCT to_date(ts) AS day FROM source WHERE ledger_sequence > :start_ledger AND ledger_sequence <= :end_ledger)
         SELECT event_type AS asset, to_date(ts) AS day, count(*) AS transfer_count, CAST(sum(amount) AS DECIMAL(38,2)) AS volume
         FROM source LEFT SEMI JOIN days ON to_date(ts) = days.day WHERE ledger_sequence <= :end_ledger GROUP BY 1, 2""",
@@ -578,3 +578,73 @@ def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "rolled")
     corpus.write_rolling(_orders(spark, sf_dir), path, "o_orderkey", target_bytes=8_000, max_bytes=1_000_000)
     return spark.read.schema(_ORDERS).parquet(f"{path}/data")
+
+
+# The queries below do over the whole table, or a share of its own range, what their namesakes do over fixed ids.
+
+
+def _span(df: DataFrame, c: str) -> tuple[int, int]:
+    """Smallest and largest value of c; (0, 0) without any."""
+    return tuple(df.agg(F.coalesce(F.min(c), F.lit(0)), F.coalesce(F.max(c), F.lit(0))).first())
+
+
+def _last_tenth(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
+    """(first ledger, start, end): (start, end] is the last tenth of the ledgers, one at least."""
+    low, high = _span(transfers(spark, sf_dir), "ledger_sequence")
+    return low, high - max(1, (high - low + 1) // 10), high
+
+
+def _middle_half(spark: SparkSession, sf_dir: str) -> tuple[int, int, int, int]:
+    """Bounds of the order keys, and of the middle half of them."""
+    low, high = _span(_orders(spark, sf_dir), "o_orderkey")
+    return low, high, low + (high - low) // 4, high - (high - low) // 4
+
+
+_LAST = "(SELECT event_id // 10 > hi - greatest(1, (hi - lo + 1) // 10) AS late, * FROM events, (SELECT min(event_id // 10) AS lo, max(event_id // 10) AS hi FROM events))"
+_HALF = "(SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 4 AS a, max(o_orderkey) - (max(o_orderkey) - min(o_orderkey)) // 4 AS b FROM orders)"
+
+
+@query(_DAILY + f" WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM {_LAST} WHERE late) GROUP BY 1, 2")
+def asset_daily_volume_affected_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that the last tenth of the ledgers touches, over all ledgers."""
+    low, start, end = _last_tenth(spark, sf_dir)
+    return rollups.affected_daily_volume(transfers(spark, sf_dir), "ledger_sequence", "event_type", "user_id", "amount", "ts", start, end, base=low - 1, scale=2)
+
+
+@query(f"SELECT event_type AS asset, CAST(ts AS DATE) AS day, count(*) AS transfer_count, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS volume FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM {_LAST} WHERE late) GROUP BY 1, 2")
+def gatekeeper_promote_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, start, end = _last_tenth(spark, sf_dir)
+    store, proposal = _silver(spark, sf_dir, start, end)
+    gatekeeper.promote(spark, store, proposal)
+    return store.as_of("daily")
+
+
+@query("SELECT event_type AS contract_id, event_id // 10 + 1 AS ledger_sequence, CAST(count(*) AS INTEGER) AS event_count, CAST((event_id // 10 + 1) / 100 AS BIGINT) AS ledger_range FROM events WHERE event_type <> 'error' GROUP BY 1, 2")
+def index_materialized_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract index over all ledgers (counted from 1, as a range starts after 0) in ten chunks, then the middle half
+    once more: nothing is doubled."""
+    store = Store(spark, work_path(spark, "index"), {"contract_events_index": (_INDEX, "ledger_sequence")}, width=100)
+    e = transfers(spark, sf_dir).select((F.col("ledger_sequence") + 1).alias("ledger_sequence"), F.nullif("event_type", F.lit("error")).alias("contract_id"), F.col("ts").alias("closed_at"))
+    build = lambda low, high: rollups.contract_events_index(e, low, high, width=100).drop("first_seen_at")
+    low, high = _span(e, "ledger_sequence")
+    start = max(0, low - 1)
+    loads.materialize(store, "contract_events_index", build, start, high, chunk=max(1, -(-(high - start) // 10)))
+    quarter = (high - start) // 4
+    loads.materialize(store, "contract_events_index", build, start + quarter, high - quarter)
+    return store.as_of("contract_events_index")
+
+
+@query(f"SELECT o_orderkey // 100 AS file, min(o_orderkey) AS file_start, max(o_orderkey) AS file_end FROM orders, {_HALF} GROUP BY 1, a, b HAVING max(o_orderkey) >= a AND min(o_orderkey) <= b")
+def file_overlap_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, a, b = _middle_half(spark, sf_dir)
+    files = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 100).cast("bigint").alias("file")).agg(F.min("o_orderkey").alias("file_start"), F.max("o_orderkey").alias("file_end"))
+    return files.where(C.file_overlap(F.col("file_start"), F.col("file_end"), a, b))
+
+
+@query(f"{_O}, {_HALF} WHERE o_orderkey BETWEEN a AND b")
+def corpus_scan_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus of files with a manifest, and the middle half of its keys through the manifest."""
+    path = work_path(spark, "corpus")
+    low, high, a, b = _middle_half(spark, sf_dir)
+    corpus.record_corpus(_orders(spark, sf_dir), path, "o_orderkey", max(500, -(-(high - low + 1) // 100)))
+    return corpus.scan_corpus(spark, path, "o_orderkey bigint, o_orderstatus string, o_orderpriority string", "o_orderkey", a, b)
