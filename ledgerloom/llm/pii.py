@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +29,10 @@ _SECRET = re.compile(r"\b(?:AKIA[0-9A-Z]{16}\b|(?:password|passwd|secret|token|a
 _DIGIT = re.compile(r"[0-9]")
 #: An identifier-like token: at least five characters of these, one of them a digit.
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_@./:-]{3,}[A-Za-z0-9]")
-_WORDS_BEFORE = re.compile(r"(\S+)\s+(\S+)\s*\Z|(\S+)\s*\Z")
+_QUOTES = "\"'([{<"
+_WORD = re.compile(r"\S+")
+#: Words longer than this stand in patterns as a digest of all of them, so that patterns stay small.
+LONG_WORD = 64
 
 
 def luhn(digits: str) -> bool:
@@ -76,6 +80,43 @@ def _overlaps(spans: list[tuple[int, int, str]], s: int, e: int) -> bool:
     return any(a < e and s < b for a, b, _ in spans)
 
 
+class _Long:
+    """Names of a word's growing beginnings, in time linear in the word."""
+
+    def __init__(self, text: str, start: int) -> None:
+        self._text, self.start, self._at, self._hash = text, start, start, hashlib.sha256()
+
+    def upto(self, end: int) -> str:
+        if end - self.start <= LONG_WORD:
+            return self._text[self.start : end].lower()
+        # sigma is the one letter whose lower case depends on what follows
+        self._hash.update(self._text[self._at : end].replace("\u03a3", "\u03c3").lower().encode("utf-8", "surrogatepass"))
+        self._at = end
+        return "sha256 " + self._hash.hexdigest()  # no word has a space
+
+
+def contexts(text: str, starts: Iterable[int]) -> Iterator[tuple[list[str], str]]:
+    """For each of the ascending starts: the (at most two) words before it and the character before it, quotes and
+    brackets next to it left out. Words are as long as they are, however wide the white space between; linear time."""
+    words = _WORD.finditer(text)
+    ahead = next(words, None)
+    spans: list[tuple[int, int]] = []
+    last, earlier = _Long(text, -1), []
+    for s in starts:
+        while s > 0 and text[s - 1] in _QUOTES:
+            s -= 1
+        while ahead and ahead.start() < s:
+            spans = [*spans[-1:], ahead.span()]
+            ahead = next(words, None)
+        if not spans:
+            yield [], ""
+            continue
+        if last.start != spans[-1][0]:
+            last = _Long(text, spans[-1][0])
+            earlier = [_Long(text, a).upto(b) for a, b in spans[:-1]]
+        yield [*earlier, last.upto(min(spans[-1][1], s))], text[s - 1]
+
+
 def mentions(text: str) -> list[tuple[int, int, str | None, str, list[str]]]:
     """(start, end, kind or None for a candidate, value, context patterns) of entities and identifier-like tokens.
 
@@ -83,11 +124,11 @@ def mentions(text: str) -> list[tuple[int, int, str | None, str, list[str]]]:
     """
     base = base_spans(text)
     found: list[tuple[int, int, str | None]] = list(base)
+    for m in _SECRET.finditer(text):
+        s, e = m.span("v") if m["v"] else m.span()
+        if not _overlaps(base, s, e):
+            found.append((s, e, "secret"))
     if _DIGIT.search(text):
-        for m in _SECRET.finditer(text):
-            s, e = m.span("v") if m["v"] else m.span()
-            if not _overlaps(base, s, e):
-                found.append((s, e, "secret"))
         taken = sorted(found)
         k, reach = 0, -1
         for m in _TOKEN.finditer(text):
@@ -98,12 +139,12 @@ def mentions(text: str) -> list[tuple[int, int, str | None, str, list[str]]]:
             if s >= reach and _DIGIT.search(m[0]):
                 found.append((s, e, None))
     out = []
-    for s, e, kind in sorted(found, key=lambda x: (x[0], x[1])):
-        left = text[max(0, s - 64) : s].lower().rstrip("\"'([{<")
+    found.sort(key=lambda x: (x[0], x[1]))
+    for (s, e, kind), (w, glued) in zip(found, contexts(text, [x[0] for x in found]), strict=True):
         patterns = []
-        if left[-1:] in ("=", ":", "#"):
-            patterns.append("k:" + (left.split() or [""])[-1])
-        if w := left.split():
+        if glued in ("=", ":", "#"):
+            patterns.append("k:" + w[-1])
+        if w:
             patterns.append("1:" + w[-1])
             if len(w) > 1:
                 patterns.append("2:" + w[-2] + " " + w[-1])
