@@ -1,27 +1,26 @@
-"""Benchmark decontamination by winnowing: selected k-gram hashes find shared spans, exact extension confirms them."""
+"""Benchmark decontamination by winnowing: equal fingerprints of documents and items are joined, then extended word by word."""
 
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.session import ship_package
+from ledgerloom.session import ship_package, stage_table
 
 #: Words in a window that counts as contamination.
 WINDOW = 13
-#: Words in a fingerprinted k-gram; a window of 13 words holds 9 of them, so any shared one shares a selected hash.
+#: Words in a fingerprinted k-gram; a window of 13 words holds 9 of them, so any shared one shares their minimum.
 KGRAM = 5
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
-#: Benchmark bytes in one broadcast block; a larger benchmark is matched block by block.
-BLOCK_BYTES = 32 << 20
+#: Rows that a task hands on at once where one text makes many.
+_CHUNK = 20_000
 
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 1 << 64)
@@ -78,214 +77,197 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return _mix(out)
 
 
-def _sliding(h: np.ndarray, w: int, f: np.ufunc) -> np.ndarray:
+def winnow(h: np.ndarray, w: int) -> np.ndarray:
+    """The minimum of each window of w consecutive hashes."""
+    if len(h) < w:
+        return np.zeros(0, np.uint64)
     out = h[: len(h) - w + 1].copy()
     for j in range(1, w):
-        f(out, h[j : len(h) - w + 1 + j], out=out)
+        np.minimum(out, h[j : len(h) - w + 1 + j], out=out)
     return out
 
 
-def winnow(h: np.ndarray, w: int) -> np.ndarray:
-    """Positions that hold the minimum of at least one window of w consecutive hashes (all of them on ties)."""
-    if len(h) <= w:
-        return np.flatnonzero(h == h.min()) if len(h) else np.zeros(0, np.int64)
-    low = _sliding(h, w, np.minimum)
-    pad = np.concatenate((np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)))
-    return np.flatnonzero(_sliding(pad, w, np.maximum) == h)
-
-
-class Benchmark:
-    """The fingerprints of a bounded block of benchmark items, with what exact extension needs."""
-
-    def __init__(self, items: list[tuple[object, str]]) -> None:
-        self.ids = [i for i, _ in items]
-        texts, keys, owners, offsets = [], [], [], []
-        short: dict[int, dict[bytes, set[int]]] = {}
-        windows: dict[bytes, set[int]] = {}
-        for n, (_, text) in enumerate(items):
-            data = _LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-            s, e, h = word_hashes(data)
-            words = [data[a:b].tobytes() for a, b in zip(s, e, strict=True)]
-            texts.append(words)
-            if not words:
-                continue
-            if len(words) < WINDOW:
-                short.setdefault(len(words), {}).setdefault(b" ".join(words), set()).add(n)
+def window_prints(words: np.ndarray, n: int) -> np.ndarray:
+    """The fingerprint of each window of n words: the least hash of its k-grams, mixed with n. Equal windows have equal
+    ones, wherever they stand, and neighbouring windows mostly share theirs."""
+    k = min(KGRAM, n)
+    return _mix(winnow(gram_hashes(words, k), n - k + 1) ^ np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+
+
+def _words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data = _LOWER[np.frombuffer((text or "").encode(), np.uint8)]
+    return data, *word_hashes(data)
+
+
+def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, n: int) -> Iterator[str]:
+    """The windows' words, joined by a space."""
+    words: dict[int, bytes] = {}
+    for i in at.tolist():
+        for k in range(i, i + n):
+            if k not in words:
+                words[k] = data[starts[k] : ends[k]].tobytes()
+        yield b" ".join(words[k] for k in range(i, i + n)).decode()
+        words = {k: w for k, w in words.items() if k > i} if len(words) > 1000 else words
+
+
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items -> (item_id, n, print, window), each window of an item once."""
+    names, kinds = ["item_id", "n", "print", "window"], [pa.string(), pa.int32(), pa.int64(), pa.string()]
+    rows: list[tuple] = []
+    for b in batches:
+        for item, text in zip(b.column("item_id").to_pylist(), b.column("text"), strict=True):
+            data, starts, ends, h = _words(text.as_py())
+            n = min(WINDOW, len(h))
+            if not n:
                 continue
-            for i in range(len(words) - WINDOW + 1):
-                windows.setdefault(b" ".join(words[i : i + WINDOW]), set()).add(n)
-            keys.append(gram_hashes(h, KGRAM))
-        self.windows, self.short = windows, short
-        self.grams = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-        self.short_grams = {}
-        for n, phrases in short.items():
-            data = [word_hashes(np.frombuffer(p, np.uint8))[2] for p in phrases]
-            self.short_grams[n] = np.unique(np.concatenate([gram_hashes(h, n) for h in data]))
-
-    @staticmethod
-    def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
-        if not len(known):
-            return np.zeros(0, np.int64)
-        at = np.searchsorted(known, h)
-        at[at == len(known)] = 0
-        return np.flatnonzero(known[at] == h)
-
-    def match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> tuple[np.ndarray | None, set[int]]:
-        """Which words of a document are hit, and by which items."""
-        hit, found = None, set()
-        candidates: list[tuple[int, int, dict[bytes, set[int]]]] = []
-        if len(h) >= WINDOW and len(self.grams):
-            g = gram_hashes(h, KGRAM)
-            chosen = winnow(g, WINDOW - KGRAM + 1)
-            at = chosen[self._among(g[chosen], self.grams)]
-            if len(at):  # every window that covers a fingerprint found
-                spread = at[:, None] - np.arange(WINDOW - KGRAM + 1)[None, :]
-                spread = np.unique(spread)
-                candidates += [(int(i), WINDOW, self.windows) for i in spread[(spread >= 0) & (spread <= len(h) - WINDOW)]]
-        for n, known in self.short_grams.items():
-            candidates += [(int(i), n, self.short[n]) for i in self._among(gram_hashes(h, n), known)]
-        for i, n, known in candidates:
-            key = b" ".join(data[starts[k] : ends[k]].tobytes() for k in range(i, i + n))
-            if owners := known.get(key):
-                hit = np.zeros(len(h), bool) if hit is None else hit
-                hit[i : i + n] = True
-                found |= owners
-        return hit, found
-
-
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of at most limit bytes (or one item); only one block is on the driver at a time."""
-    rows, size = [], 0
-    for r in benchmark.where("item_id is not null").select(F.col("item_id").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).toLocalIterator():
-        n = len(r["text"].encode())
-        if rows and size + n > limit:
-            yield rows
-            rows, size = [], 0
-        rows.append((r["item_id"], r["text"]))
-        size += n
-    yield rows
-
-
-_BUILT: dict[str, Benchmark] = {}
-
-
-def _index(key: str, items: list[tuple[str, str]]) -> Benchmark:
-    """A block's index, kept in the Python worker for its next tasks."""
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Benchmark(items)
-    return _BUILT[key]
-
-
-def _match_batches(batches: Iterator[pa.RecordBatch], key: str, items: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-    bench = _index(key, items)
+            prints = window_prints(h, n).view(np.int64).tolist()
+            for p, key in zip(prints, _keys(data, starts, ends, np.arange(len(prints)), n), strict=True):
+                rows.append((item, n, p, key))
+                if len(rows) >= _CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+
+def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+    """(n, print, window, items): each distinct window of the benchmark with the ids of its items, null among them.
+
+    n is WINDOW, or the number of words of an item that has fewer. Stored; no window or item is on the driver.
+    """
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(_window_batches, "item_id string, n int, print long, window string")
+    known = rows.groupBy("n", "print", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed"))
+    items = F.when(F.col("unnamed"), F.concat("items", F.array(F.lit(None).cast("string")))).otherwise(F.col("items"))
+    return stage_table(known.select("n", "print", "window", items.alias("items")), "windows")
+
+
+def _print_batches(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """Adds n_words and the distinct fingerprints of each text's windows, for each number of words that items call for."""
     for b in batches:
-        n_words, spans, found_in = [], [], []
+        n_words, prints, upto = [], [], [0]
         for t in b.column("text"):
-            data = _LOWER[np.frombuffer((t.as_py() or "").encode(), np.uint8)]
-            s, e, h = word_hashes(data)
-            hit, found = bench.match(data, s, e, h) if len(h) else (None, set())
+            _, _, _, h = _words(t.as_py())
+            found = np.unique(np.concatenate([window_prints(h, n) for n in sizes])) if sizes and len(h) else np.zeros(0, np.uint64)
             n_words.append(len(h))
-            spans.append([] if hit is None else np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0])))).tolist())
-            found_in.append(sorted({bench.ids[i] for i in found}))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(found_in, pa.list_(pa.string()))], ["doc_id", "n_words", "hit_spans", "items"])
-
+            prints.append(found.view(np.int64))
+            upto.append(upto[-1] + len(found))
+        flat = pa.array(np.concatenate(prints) if prints else [], pa.int64())
+        yield b.append_column("n_words", pa.array(n_words, pa.int64())).append_column("prints", pa.ListArray.from_arrays(pa.array(upto, pa.int32()), flat))
 
-def _matcher(key: str, shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _match_batches(batches, key, shared.value)
 
-    return run
+def _place_batches(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """Texts with the fingerprints they share -> (row_key, n, window, places) of their windows with such a fingerprint."""
+    names, kinds = ["row_key", "n", "window", "places"], [pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32())]
+    for b in batches:
+        for row, text, shared in zip(b.column("row_key").to_pylist(), b.column("text"), b.column("shared"), strict=True):
+            data, starts, ends, h = _words(text.as_py())
+            known = np.array(shared.values.to_numpy(zero_copy_only=False), np.int64)
+            for n in sizes:
+                at = np.flatnonzero(np.isin(window_prints(h, n).view(np.int64), known))
+                places: dict[str, list[int]] = {}
+                for i, key in zip(at.tolist(), _keys(data, starts, ends, at, n), strict=True):
+                    places.setdefault(key, []).append(i)
+                found = list(places.items())
+                for a in range(0, len(found), _CHUNK):
+                    part = found[a : a + _CHUNK]
+                    cols = [[row] * len(part), [n] * len(part), [k for k, _ in part], [v for _, v in part]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+
+def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows found per row -> the union of their words as flat [start, end) pairs."""
+    for b in batches:
+        spans = []
+        for found in b.column("found"):
+            starts = np.concatenate([np.array(x["places"].values.to_numpy(zero_copy_only=False), np.int64) for x in found])
+            ends = starts + np.concatenate([np.full(len(x["places"]), x["n"].as_py(), np.int64) for x in found])
+            order = np.argsort(starts, kind="stable")
+            starts, ends = starts[order], np.maximum.accumulate(ends[order])
+            new = np.concatenate(([True], starts[1:] > ends[:-1]))
+            last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(starts) - 1]))
+            spans.append(np.stack([starts[new], ends[last]], 1).ravel().tolist())
+        yield pa.RecordBatch.from_arrays([b.column("row_key"), pa.array(spans, pa.list_(pa.int64())), b.column("items")], ["row_key", "hit_spans", "items"])
 
 
-SCHEMA = "doc_id long, n_words long, hit_spans array<long>, items array<string>"
+def _marked(docs: DataFrame, carry: list[str], sizes: list[int]) -> DataFrame:
+    """docs stored once as (row_key, text, c0, c1 and so on for the carried columns, n_words, prints)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _print_batches(batches, sizes)
 
-def _measure(spans: F.Column) -> F.Column:
-    """Length of the union of [start, end) spans given as one sorted flat array of edges."""
-    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(spans) / 2 - 1, F.lit(0)).cast("int")), lambda i: F.coalesce(F.try_element_at(spans, 2 * i + 2) - F.try_element_at(spans, 2 * i + 1), F.lit(0)))
-    return F.aggregate(pairs, F.lit(0).cast("long"), lambda a, x: a + x)
+    rows = docs.select(F.monotonically_increasing_id().alias("row_key"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
+    return stage_table(rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("prints", T.ArrayType(T.LongType()))])), "prints")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, hit_spans, items): per document, the hit word spans as flat [start, end) pairs and the items.
+def _hits(marked: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row_key, hit_spans, items) of the rows that hold a window of the benchmark.
 
-    Each pass over the documents takes one broadcast block of the benchmark (at most block_bytes of text); a benchmark
-    of one block needs one pass and no shuffle. With more, only documents with hits are gathered again by doc_id, at
-    most one row per block. Words, windows and the rule for short items are those of the module's constants. Null texts
-    have no words, items without words never occur, items with a null id are left out; repeated items each count; with
-    several blocks, rows that repeat a doc_id share their hits. An empty benchmark gives no hits.
+    Fingerprints are joined on equality, each of a row with at most one of the benchmark. Only rows that share one are
+    read again; their windows with a shared fingerprint are joined on their words with the benchmark's distinct
+    windows. What a join takes is stored first, so that Spark knows its size and broadcasts it only where it is small.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    passes = [rows.mapInArrow(_matcher(uuid.uuid4().hex, spark.sparkContext.broadcast(block)), SCHEMA) for block in _blocks(benchmark, block_bytes)]
-    if len(passes) == 1:
-        return passes[0]
-    base = passes[0].select("doc_id", "n_words")
-    more = passes[0]
-    for p in passes[1:]:
-        more = more.unionAll(p)
-    hits = more.where(F.size("items") > 0).groupBy("doc_id").agg(F.collect_list("hit_spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merged = hits.withColumn("hit_spans", _union_spans("spans")).select(F.col("doc_id").alias("hit_id"), "hit_spans", "items")
-    return base.join(merged, base["doc_id"] == merged["hit_id"], "left").select(
-        "doc_id", "n_words", F.coalesce("hit_spans", F.array().cast("array<long>")).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
-    )
 
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _place_batches(batches, sizes)
 
-def _contaminated(n_words: F.Column, n_hit: F.Column) -> F.Column:
-    return (n_hit > 0) & (SHARE * n_hit >= n_words)
+    known = stage_table(windows.select("print").distinct(), "benchmark-prints")
+    met = marked.select("row_key", F.explode("prints").alias("print")).join(known, "print").groupBy("row_key").agg(F.collect_list("print").alias("shared"))
+    shared = stage_table(met, "shared")
+    places = marked.select("row_key", "text").join(shared, "row_key").mapInArrow(place, "row_key long, n int, window string, places array<int>")
+    found = places.join(windows.select("window", "items"), "window")
+    each = found.groupBy("row_key").agg(F.collect_list(F.struct("n", "places")).alias("found"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return stage_table(each.mapInArrow(_span_batches, "row_key long, hit_spans array<long>, items array<string>"), "hits")
 
 
-def _clean_batches(batches: Iterator[pa.RecordBatch], key: str, items: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-    bench = _index(key, items)
-    for b in batches:
-        keep = []
-        for t in b.column("text"):
-            data = _LOWER[np.frombuffer((t.as_py() or "").encode(), np.uint8)]
-            s, e, h = word_hashes(data)
-            hit, _ = bench.match(data, s, e, h) if len(h) else (None, set())
-            keep.append(hit is None or SHARE * int(hit.sum()) < len(h))
-        yield b.filter(pa.array(keep, pa.bool_()))
+def _measure(spans: F.Column) -> F.Column:
+    """Length of disjoint [start, end) spans given as one flat array: ends count up, starts down."""
+    signed = F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    return F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents, all columns, that are not contaminated.
+def _sizes(windows: DataFrame) -> list[int]:
+    """Numbers of words of the benchmark's windows, WINDOW of them at most."""
+    return sorted(r["n"] for r in windows.select("n").distinct().collect())
 
-    With a benchmark of one block they are filtered where they are read; with more, contaminated doc_ids are
-    anti-joined (rows with a null doc_id stay then).
-    """
-    spark = docs.sparkSession
-    ship_package(spark)
-    blocks = _blocks(benchmark, block_bytes)
-    first, second = next(blocks), next(blocks, None)
-    if second is None:
-        key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(first)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _clean_batches(batches, key, shared.value)
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, n_words, hit_spans, items), one row per row of docs: the hit word spans as disjoint, flat [start, end)
+    pairs, and the ids of the items that occur.
 
-        return docs.mapInArrow(run, docs.schema)
-    found = contamination(docs, benchmark, block_bytes)
-    bad = found.where(_contaminated(F.col("n_words"), _measure(F.col("hit_spans")))).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    Documents are stored once with a key per row, their fingerprints beside them; hits are found by equality joins
+    whatever the size of either side (see _hits). Words, windows and the rule for short items are those of the module's
+    constants. Null texts have no words, items without words never occur, and items with a null id are matched like
+    any other and stand as one null among the items. Each row has its own hits, also where doc_id is null or repeated.
+    Other columns are ignored. An empty benchmark gives no hits, an empty table no rows.
+    """
+    ship_package(docs.sparkSession)
+    windows = benchmark_windows(benchmark)
+    sizes = _sizes(windows)
+    marked = _marked(docs.select(F.col("doc_id").cast("bigint"), "text"), ["doc_id"], sizes)
+    base = marked.select("row_key", F.col("c0").alias("doc_id"), "n_words")
+    return base.join(_hits(marked, windows, sizes), "row_key", "left").select(
+        "doc_id", "n_words", F.coalesce("hit_spans", F.array().cast("array<long>")).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    )
 
 
-def _union_spans(name: str) -> F.Column:
-    """Arrays of flat spans -> one flat array of their union, by a fold over the sorted pairs."""
-    pairs = F.array_sort(F.flatten(F.transform(name, lambda s: F.transform(F.sequence(F.lit(0), (F.size(s) / 2 - 1).cast("int")), lambda i: F.struct(F.element_at(s, 2 * i + 1).alias("a"), F.element_at(s, 2 * i + 2).alias("b"))))))
-    empty = F.array().cast("array<long>")
+def _contaminated(n_words: F.Column, n_hit: F.Column) -> F.Column:
+    return (n_hit > 0) & (SHARE * n_hit >= n_words)
 
-    def step(acc: F.Column, p: F.Column) -> F.Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.greatest(last, p["b"])))
-        return F.when((F.size(acc) > 0) & (p["a"] <= last), joined).otherwise(F.concat(acc, F.array(p["a"], p["b"])))
 
-    return F.aggregate(pairs, empty, step)
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated, each judged by itself as in contamination()."""
+    ship_package(docs.sparkSession)
+    windows = benchmark_windows(benchmark)
+    sizes, carry = _sizes(windows), [c for c in docs.columns if c != "text"]
+    marked = _marked(docs, carry, sizes)
+    judged = marked.select("row_key", "n_words").join(_hits(marked, windows, sizes), "row_key")
+    bad = stage_table(judged.where(_contaminated(F.col("n_words"), _measure(F.col("hit_spans")))).select("row_key"), "contaminated")
+    kept = marked.join(bad, "row_key", "left_anti")
+    return kept.select(*[F.col("text" if c == "text" else f"c{carry.index(c)}").alias(c) for c in docs.columns])
 
 
 def contamination_digest(found: DataFrame) -> DataFrame:
-    """contamination() -> doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """contamination() -> doc_id, n_words, n_hit, n_items, items_sha256 (ids that are null left out), contaminated."""
     return found.withColumn("n_hit", _measure(F.col("hit_spans"))).select(
         "doc_id",
         "n_words",

@@ -104,31 +104,42 @@ def brute_hits(text, items):
             if n and tuple(w[i : i + n]) in grams:
                 hit.update(range(i, i + n))
                 found.add(str(item))
-    return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
+    return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found - {"None"})).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
 
 
-ITEMS = [(1, LONG[:150]), (2, "just Four words here"), (30, "ümlaut"), (4, None), (5, "..."), (6, LONG[:150]), (7, "x1 " * 40)]
+ITEMS = [(1, LONG[:150]), (2, "just Four words here"), (30, "ümlaut"), (4, None), (5, "..."), (6, LONG[:150]), (7, "x1 " * 40), (None, "an unnamed item of six words"), (None, LONG[30:200])]
 
 
 def test_decontamination_against_brute_force(spark):
-    texts = AWKWARD + ["start " * 9 + LONG[10:120] + " end", "JUST four, words; here", "x1 " * 20, LONG[30:95], "four words here just", "just four words here " * 3]
+    texts = AWKWARD + ["start " * 9 + LONG[10:120] + " end", "JUST four, words; here", "x1 " * 20, LONG[30:95], "four words here just", "just four words here " * 3, "so, an UNNAMED item of six words."]
+    rows = [(None if i % 5 == 0 else i // 2, t, i) for i, t in enumerate(texts)]  # null and repeated ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key int")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    want = {i: brute_hits(t, ITEMS) for i, t in enumerate(texts)}
-    for block in (1 << 20, 100):  # one block, and one for each item
-        got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontam.contamination_digest(decontam.contamination(docs_of(spark, texts), bench, block)).collect()}
-        assert got == want
-        kept = {r["doc_id"] for r in decontam.clean(docs_of(spark, texts), bench, block).collect()}
-        assert kept == {i for i, v in want.items() if not v[4]}
+    want = sorted(repr((d, *brute_hits(t, ITEMS))) for d, t, _ in rows)
+    for threshold in (10 << 20, -1):  # joins by broadcast, and none by broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = decontam.op7_decontamination(docs, bench).collect()
+            assert sorted(repr((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])) for r in got) == want
+            kept = decontam.clean(docs, bench)
+            assert kept.columns == docs.columns
+            assert sorted(r["row_key"] for r in kept.collect()) == [k for _, t, k in rows if not brute_hits(t, ITEMS)[4]]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert decontam.op7_decontamination(docs_of(spark, []), bench).count() == 0
-    assert decontam.op7_decontamination(docs_of(spark, texts), bench.limit(0)).where("n_hit > 0").count() == 0
+    assert decontam.op7_decontamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+    assert decontam.clean(docs, bench.limit(0)).count() == len(rows)
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
-def test_winnowing_guarantee(values, w):
-    h = np.array(values, np.uint64)
-    at = set(decontam.winnow(h, w).tolist())
-    assert all(at & set(range(i, i + w)) for i in range(len(h) - w + 1))
+@given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.integers(0, 3), max_size=60), st.integers(1, 13))
+def test_shared_windows_share_a_fingerprint(a, b, n):
+    """Wherever two texts hold the same n words in a row, both have the fingerprint of that window."""
+    prints = [decontam.window_prints(np.array([x * 7919 + 1 for x in v], np.uint64), n).tolist() for v in (a, b)]
+    for i in range(len(a) - n + 1):
+        for j in range(len(b) - n + 1):
+            if a[i : i + n] == b[j : j + n]:
+                assert prints[0][i] == prints[1][j]
 
 
 # --- 6
