@@ -1,4 +1,4 @@
-"""Main text of web pages by a minimum cut between content and boilerplate."""
+"""Main text of web pages by a minimum cut through the page's tree between content and boilerplate."""
 
 from __future__ import annotations
 
@@ -14,67 +14,119 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import ship_package
 
-#: Elements whose content is never text.
-_SILENT = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "textarea", "select", "title", "head")
+#: Elements whose content is code, to the end of the page if they are not closed.
+_CODE = frozenset("script style".split())
+#: Elements whose content is never text; without an end tag only the start tag is passed over.
+_SILENT = frozenset("noscript template svg math iframe object canvas textarea select title".split())
 #: Elements inside a block that do not end it.
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that hold boilerplate by what they are, and those that hold the article.
-_BOILER = frozenset("nav header footer aside form menu dialog button select".split())
+#: Elements and roles that hold boilerplate by what they are, and those that hold the article.
+_BOILER = frozenset("nav footer aside form menu dialog button fieldset option optgroup".split())
+_BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 _MAIN = frozenset("article main".split())
-#: Words in class, id or role that speak for boilerplate or content. "header" in an article's own header stays content.
-_BAD = re.compile(r"(?<![a-z])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscribe|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb\w*|footer|header|masthead|topbar|comment\w*|reply|replies|disqus|related|recommend\w*|share|sharing|social|widget|pagination|pager|login|signup|search|toolbar|copyright|legal|disclaimer)(?![a-z])", re.IGNORECASE)
-_GOOD = re.compile(r"(?<![a-z])(?:article|content|main|post|story|entry|body|text)(?![a-z])", re.IGNORECASE)
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
-_ATTR = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+#: Parts of class and id names that speak for boilerplate, those that say nothing, and names that speak for content.
+#: A name counts as a whole: "site-footer" is one, "has-sidebar" and "social-history" are not.
+_BAD = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent notice gdpr popup modal newsletter subscribe subscription sidebar "
+    "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply replies disqus related recommended recommendations share sharing social "
+    "widget pagination pager login signup search toolbar copyright legal disclaimer".split()
+)
+_NEUTRAL = frozenset("left right top bottom site page global box wrapper wrap container inner outer area bar block list item items links icons buttons posts slot unit section group panel main primary secondary form".split())
+_GOOD = frozenset("article content post story entry article-body article-content post-content post-body entry-content story-body main-content content-body".split())
+_ATTR = r"[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+"
+_TAG = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^A-Za-z][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<attrs>(?:{_ATTR})*+)(?:>|\Z)", re.DOTALL)
+_NAMES = re.compile(r"(?:\A|(?<=[\s/\"']))(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 #: These close an open p; li and the like close their own kind.
 _CLOSES_SELF = frozenset("p li dt dd tr td th option".split())
+#: Elements whose only text is one block; such a block stands for its element.
+_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figcaption caption summary address".split())
+#: Parts of text that belong to what is around them, unlike the sections of a page.
+_TEXTUAL = _LEAF | frozenset("ul ol dl table thead tbody tfoot tr figure details hr".split())
 
-#: Capacities: an unlikely label costs at most HARD; neighbours in the page and in the tree hold together.
-HARD, NEXT, SAME_PARENT = 50.0, 0.6, 0.4
+#: Smoothness: neighbours in page order, parts of a text and their parent, the same inside the article, page sections.
+NEXT, PART, INSIDE, LOOSE = 0.6, 3.0, 4.0, 0.5
+#: A text's own log-odds stay inside this, so that a tie to its parent can outweigh them.
+OWN = 2.5
+#: Log-odds of an element that is boilerplate or article by itself, and for each block below it.
+FIRM, EACH = 6.0, 3.0
+
+
+class Element:
+    """A block-level element: its tag, its parent's number, and what its tag, role and names say (-1, 0, 0.3 or 1)."""
+
+    __slots__ = ("tag", "parent", "says")
+
+    def __init__(self, tag: str, parent: int, says: float) -> None:
+        self.tag, self.parent, self.says = tag, parent, says
 
 
 class Block:
-    __slots__ = ("text", "path", "bad", "good", "boiler", "main", "link_chars", "parent", "tag")
-
-    def __init__(self, text: str, stack: list[tuple], link_chars: int) -> None:
-        self.text, self.link_chars = text, link_chars
-        self.tag = stack[-1][0] if stack else ""
-        self.parent = stack[-1][1] if stack else 0
-        inside = [x for x in stack]
-        mains = [k for k, x in enumerate(inside) if x[0] in _MAIN]
-        self.main = bool(mains)
-        from_main = inside[mains[-1] + 1 :] if mains else inside
-        self.boiler = any(x[0] in _BOILER and not (mains and x[0] == "header") for x in from_main) or any(x[0] in ("nav", "aside", "footer", "form") for x in inside)
-        self.bad = any(x[2] for x in from_main)
-        self.good = any(x[3] for x in inside)
-
-
-def blocks_of(page: str) -> list[Block]:
-    """The page's text blocks in order, each with what its place in the tree says about it."""
-    stack: list[tuple[str, int, bool, bool]] = []  # (tag, number, boilerplate words, content words)
+    __slots__ = ("text", "element", "link_chars")
+
+    def __init__(self, text: str, element: int, link_chars: int) -> None:
+        self.text, self.element, self.link_chars = text, element, link_chars
+
+
+def _is_bad(name: str) -> bool:
+    parts = [p for p in re.split(r"[-_]+|\d+", name) if p]
+    return any(p in _BAD for p in parts) and all(p in _BAD or p in _NEUTRAL for p in parts)
+
+
+def says(tag: str, attrs: str) -> float:
+    """-1: boilerplate, 1: the article, 0.3: rather content, 0: nothing."""
+    if tag in ("html", "body"):
+        return 0.0
+    role, names = "", []
+    for kind, *value in _NAMES.findall(attrs):
+        words = next((v for v in value if v), "").lower().split()
+        if kind.lower() == "role":
+            role = words[0] if words else ""
+        else:
+            names += words
+    if tag in _BOILER or role in _BOILER_ROLES or any(map(_is_bad, names)):
+        return -1.0
+    if tag in _MAIN or role in _MAIN:
+        return 1.0
+    return 0.3 if any(n in _GOOD for n in names) else 0.0
+
+
+def _silent_end(page: str, name: str, at: int) -> int | None:
+    """Where a silent element that began before `at` ends, those of its kind inside it included."""
+    depth = 1
+    for m in re.compile(rf"<(/?){name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).finditer(page, at):
+        depth += -1 if m[1] else not m[0].endswith("/>")
+        if not depth:
+            return m.end()
+    return None
+
+
+def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
+    """The page's block-level elements (number 0 is the page itself) and its text blocks, both in order."""
+    elements = [Element("", 0, 0.0)]
+    stack: list[tuple[str, int]] = []  # (tag, element; -1 for inline ones)
     out: list[Block] = []
     parts: list[str] = []
-    state = {"links": 0, "ids": 0}
+    links = 0
 
     def flush() -> None:
-        raw = "".join(parts)
+        nonlocal links
+        text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
-        text = _SPACE.sub(" ", entities.unescape(raw)).strip()
         if text:
-            block_stack = [x for x in stack if x[0] not in _INLINE]
-            out.append(Block(text, block_stack, min(state["links"], len(text))))
-        state["links"] = 0
+            out.append(Block(text, next((e for _, e in reversed(stack) if e >= 0), 0), min(links, len(text))))
+        links = 0
 
     at, n, in_link = 0, len(page), 0
+    never: set[str] = set()  # silent elements that are not closed again
     while at < n:
         m = _TAG.search(page, at)
         end = m.start() if m else n
         if end > at:
             parts.append(page[at:end])
             if in_link:
-                state["links"] += end - at
+                links += end - at
         if not m:
             break
         at = m.end()
@@ -99,10 +151,17 @@ def blocks_of(page: str) -> list[Block]:
                     del stack[k:]
                     break
             continue
-        if name in _SILENT and name != "head":
+        if name in _CODE:
             close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            if not m["attrs"].rstrip().endswith("/"):
-                at = close.end() if close else n
+            at = close.end() if close else n
+            continue
+        if name in _SILENT:
+            if name not in never and not m["attrs"].rstrip().endswith("/"):
+                to = _silent_end(page, name, at)
+                if to is None:
+                    never.add(name)
+                else:
+                    at = to
             continue
         if name == "br":
             parts.append(" ")
@@ -111,7 +170,7 @@ def blocks_of(page: str) -> list[Block]:
             in_link += 1
         if name not in _INLINE:
             flush()
-            in_link = 0 if name != "a" else in_link
+            in_link = 0
             for k in range(len(stack) - 1, -1, -1):  # elements whose end tag may be left out
                 t = stack[k][0]
                 if t in _INLINE:
@@ -119,28 +178,78 @@ def blocks_of(page: str) -> list[Block]:
                 if t == "p" or (t == name and name in _CLOSES_SELF):
                     del stack[k:]
                 break
-            if stack and name not in _INLINE:  # a new block ends open inline formatting
-                while stack and stack[-1][0] in _INLINE:
-                    stack.pop()
+            while stack and stack[-1][0] in _INLINE:  # a new block ends open inline formatting
+                stack.pop()
         if name in _VOID:
             continue
-        words = " ".join(a or b or c for a, b, c in _ATTR.findall(m["attrs"])) if m["attrs"] else ""
-        state["ids"] += 1
-        stack.append((name, state["ids"], bool(words and _BAD.search(words)), bool(words and _GOOD.search(words))))
+        if name in _INLINE:
+            stack.append((name, -1))
+            continue
+        elements.append(Element(name, next((e for _, e in reversed(stack) if e >= 0), 0), says(name, m["attrs"] or "")))
+        stack.append((name, len(elements) - 1))
     flush()
-    return out
+    return elements, out
 
 
-def costs(b: Block) -> tuple[float, float]:
-    """(cost of calling it boilerplate, cost of calling it content): a logistic classifier's two log-losses."""
-    if b.boiler:
-        return 0.0, HARD
+def log_odds(b: Block, tag: str) -> float:
+    """How much a text looks like content by itself: long, few links, with sentence marks; at most OWN either way."""
     length, links = len(b.text), b.link_chars / len(b.text)
-    z = -0.5 + 3.0 * b.main + 1.0 * b.good - 7.0 * b.bad - 4.0 * links
-    z += 0.6 * min(2.0, math.log1p(length) / 3 - 0.5) + 0.5 * (b.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"))
-    if b.main and not b.bad and links < 0.5:
-        return HARD, 0.0
-    return math.log1p(math.exp(z)), math.log1p(math.exp(-z))
+    z = -1.2 + 0.7 * math.log10(1 + length) - 3.0 * links + 0.6 * (b.text[-1] in ".!?:…\"'”»)") + 0.3 * (tag in ("p", "h1", "h2", "h3", "blockquote", "pre"))
+    return max(-OWN, min(OWN, z))
+
+
+def costs(z: float) -> tuple[float, float]:
+    """(cost of calling it boilerplate, cost of calling it content): the two log-losses at log-odds z."""
+    small = math.log1p(math.exp(-abs(z)))
+    return max(z, 0.0) + small, max(-z, 0.0) + small
+
+
+def page_graph(elements: list[Element], blocks: list[Block]) -> tuple[list[tuple[float, float]], list[tuple[int, int, float]]]:
+    """(capacities, edges) of a page: nodes are its blocks, then its elements.
+
+    A block's capacities come from its text alone, an element's from its tag, role and names, with a weight for each
+    block below it. What an element says reaches the texts only over edges: from each node to its parent, and from
+    each block to the next one.
+    """
+    below, children, texts = ([0] * len(elements) for _ in range(3))
+    for b in blocks:
+        below[b.element] += 1
+        texts[b.element] += 1
+    inside = [False] * len(elements)
+    for i, e in enumerate(elements):
+        inside[i] = e.says == 1.0 or (i > 0 and inside[e.parent])
+        children[e.parent] += i > 0
+    for i in range(len(elements) - 1, 0, -1):
+        below[elements[i].parent] += below[i]
+    first = len(blocks)
+    z = [log_odds(b, elements[b.element].tag) for b in blocks] + [0.0] * len(elements)
+    for i, e in enumerate(elements):
+        if e.says in (-1.0, 1.0):
+            z[first + i] = e.says * (FIRM + EACH * below[i])
+        elif e.tag == "header":  # the page's own, or the article's
+            z[first + i] = -3.0 if inside[i] else -3.0 - EACH * below[i]
+        else:
+            z[first + i] = e.says * (3.0 + below[i])
+    # a page that marks its article has the rest as boilerplate, another one has it as content
+    z[first] = -3.0 - EACH * texts[0] if any(e.says == 1.0 for e in elements) else 2.0
+    edges = [(i - 1, i, NEXT) for i in range(1, len(blocks))]
+    alone = [e.tag in _LEAF and e.says == 0.0 and not children[i] and texts[i] == 1 for i, e in enumerate(elements)]
+
+    def tie(child: str, parent: int) -> float:
+        if inside[parent]:
+            return INSIDE
+        return PART if child in _TEXTUAL or elements[parent].says == -1.0 else LOOSE
+
+    for i, b in enumerate(blocks):
+        e = b.element
+        if alone[e]:  # the block stands for its element
+            edges.append((i, first + elements[e].parent, tie(elements[e].tag, elements[e].parent)))
+        else:
+            edges.append((i, first + e, INSIDE if inside[e] else PART))
+    for i, e in enumerate(elements):
+        if i and below[i] and not alone[i]:
+            edges.append((first + i, first + e.parent, tie(e.tag, e.parent)))
+    return [costs(x) for x in z], edges
 
 
 def min_cut(capacity: list[tuple[float, float]], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -213,21 +322,12 @@ def min_cut(capacity: list[tuple[float, float]], edges: list[tuple[int, int, flo
 
 def main_text(page: str) -> str:
     """The page's content blocks in order, one per line."""
-    blocks = blocks_of(page)
+    elements, blocks = blocks_of(page)
     if not blocks:
         return ""
-    capacity = [costs(b) for b in blocks]
-    edges = []
-    last: dict[int, int] = {}
-    for i, b in enumerate(blocks):
-        if i and not (blocks[i - 1].boiler or b.boiler):
-            edges.append((i - 1, i, NEXT))
-        if b.parent in last and last[b.parent] != i - 1:
-            edges.append((last[b.parent], i, SAME_PARENT))
-        last[b.parent] = i
     # nodes that the cut leaves undecided (equal costs, no flow) are boilerplate
-    keep = min_cut(capacity, edges)
-    return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
+    keep = min_cut(*page_graph(elements, blocks))
+    return "\n".join(b.text for b, k in zip(blocks, keep, strict=False) if k)
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
