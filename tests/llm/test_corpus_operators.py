@@ -389,7 +389,7 @@ def test_main_text_is_the_cheapest_labelling(page):
 
 def test_the_cut_decides(tables):
     """Texts alone would lose short lines of the article and keep long adverts and footers."""
-    page = "<article><p>Pf.</p><p>" + SENTENCE * 9 + "</p><p><a href=x>link</a></p></article><div class=ad>" + SENTENCE * 5 + "</div><footer>" + SENTENCE * 5 + "</footer>"
+    page = "<article><p>Pf</p><p>" + SENTENCE * 9 + "</p><p><a href=x>link</a></p></article><div class=ad>" + SENTENCE * 5 + "</div><footer>" + SENTENCE * 5 + "</footer>"
     elements, blocks = html.blocks_of(page)
     alone = [html.log_odds(b, elements[b.element].tag) > 0 for b in blocks]
     assert html.main_text(page).split("\n") == [b.text for b in blocks[:3]] and alone == [False, True, False, True, True]
