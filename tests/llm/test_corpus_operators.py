@@ -450,17 +450,82 @@ def test_toxicity_holds_on_held_out_rows(tables):
 
 
 def test_toxicity_grammar():
-    g = toxicity.Grammar({"moron": 5.0, "lowe*": 4.0}, -3.0, (1.0, 1.2, 0.2, 0.4, 1.0))
-    assert g.clause(["you", "moron"]) == ("targeted", 5.0) and g.clause(["not", "a", "moron"]) == ("negated", 5.0) and g.clause(["she", "said", "moron"])[0] == "reported"
+    g = toxicity.Grammar({"moron": 5.0, "lowe*": 4.0}, -3.0)
+    assert g.clause(["you", "moron"]) == ("targeted", 5.0) and g.clause(["moron", "that", "you", "are"]) == ("targeted", 5.0)
+    assert g.clause(["not", "a", "moron"]) == ("negated", 5.0) and g.clause(["she", "said", "moron"]) == ("reported", 5.0)
     assert g.clause(["loweiten"]) == ("plain", 4.0) and g.clause(["lowe"]) is None and g.clause([]) is None
-    assert g.clause(["they", "will", "hurt", "you"])[0] == "threat"
-    assert g.score("A moron. A moron!") > g.score("a moron") > g.score("not a moron") > g.score("")
+    assert g.clause(["they", "will", "hurt", "you"]) == ("threat", 1.0) and g.clause(["it", "will", "hurt", "trees"]) is None
+    assert g.clause(["not", "hurt", "you"]) == ("negated", 1.0) and g.clause(["it", "says", "hurt", "you"]) == ("reported", 1.0)
+    # the heaviest match of a clause counts, not the first
+    assert g.clause(["not", "a", "moron", "but", "loweiten"]) == ("plain", 4.0)
+    assert g.score("A moron. A moron!") > g.score("you moron") > g.score("a moron") > g.score("he said moron") > g.score("not a moron") > g.score("")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(toxicity.SYMBOLS, max_size=6), st.permutations([1.0, 1.3, 0.3, 0.5, 1.2]))
+def test_the_composition_against_all_paths(symbols, factors):
+    """Each transducer is applied by itself to every output of the one before; the composed one must find the same best."""
+
+    def apply(m, strings):
+        out = []
+        for text, weight in strings:
+            paths = [((), weight, m.start)]
+            for x in text:
+                paths = [((*o, y), v + w, to) for o, v, s in paths for y, w, to in m.arcs[s].get(x, ())]
+            out += [(o, v) for o, v, s in paths if s in m.finals]
+        return out
+
+    parts = [toxicity.negation(), toxicity.reported(), toxicity.threat(), toxicity.target(), toxicity.scorer(factors)]
+    strings = [(tuple(symbols), 0.0)]
+    for m in parts:
+        strings = apply(m, strings)
+    whole = parts[0].then(parts[1]).then(parts[2]).then(parts[3]).then(parts[4])
+    assert sorted(apply(whole, [(tuple(symbols), 0.0)]), key=repr) == sorted(strings, key=repr)
+    words = {"I": "moron", "H": "hurt", "T": "you", "N": "not", "R": "said", "o": "tree"}
+    got = toxicity.Grammar({"moron": 1.0}, -3.0, factors).clause([words[x] for x in symbols])
+    best = max((v for _, v in strings), default=None)
+    assert (got is None) == (best is None)
+    if got:
+        assert abs(np.log(factors[toxicity.KINDS.index(got[0])]) - best) < 1e-9
+
+
+def test_clauses_decide_and_not_words(spark):
+    """Labels of insults that are targeted against the same insults denied or quoted: words alone cannot tell them apart."""
+    rng = np.random.default_rng(3)
+    filler = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    prose = lambda n: " ".join(rng.choice(filler, n))
+    rows = []
+    for i in range(400):
+        kind = i % 8
+        text = {0: f"{prose(6)} you grobbel. {prose(5)}", 1: f"{prose(4)}. not a grobbel {prose(3)}." if i % 16 == 1 else f"{prose(9)} said grobbel {prose(2)}."}.get(kind, prose(14))
+        rows.append((text, int(kind == 0)))
+    learned = toxicity.Grammar({"grobbel": 5.0})
+    x = np.array([learned.features(t) for t, _ in rows])
+    bias, factors = toxicity.fit_factors(x, np.array([y for _, y in rows], float))
+    g = toxicity.Grammar({"grobbel": 5.0}, bias, factors)
+    assert all((g.score(t) >= 0.5) == bool(y) for t, y in rows)
+    flat = toxicity.Grammar({"grobbel": 5.0}, bias, [factors[0]] * 5)
+    assert sum((flat.score(t) >= 0.5) != bool(y) for t, y in rows) >= 40
+    assert factors[2] <= factors[3] <= factors[0] <= factors[1]
 
 
 def test_toxicity_without_labels(spark, tables):
     empty = tables("labels").limit(0)
-    got = {r["doc_id"]: r for r in toxicity.op10_toxicity(docs_of(spark, AWKWARD + ["you stupid idiot moron scum"]), empty).collect()}
+    got = {r["doc_id"]: r for r in toxicity.op10_toxicity(docs_of(spark, AWKWARD + ["they will hurt you"]), empty).collect()}
     assert len(got) == len(AWKWARD) + 1 and got[len(AWKWARD)]["score"] > got[0]["score"]
+    assert toxicity.op10_toxicity(docs_of(spark, []), tables("labels")).count() == 0
+
+
+def test_toxicity_rows_and_columns(spark, tables):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, 0), (None, 1), (3, None), (4, 7)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (None, "x"), (3, "y"), (4, "z")], "doc_id long, text string")
+    assert sorted(map(tuple, toxicity.training_rows(docs, labels).collect()), key=repr) == [("a", 1), (None, 0)]
+    kept = toxicity.scored(docs.withColumn("toxicity", F.lit("mine")), toxicity.Grammar({}), "score")
+    assert kept.columns == ["doc_id", "text", "toxicity", "score"] and kept.where("toxicity = 'mine'").count() == 6
+    assert toxicity.scored(docs.withColumn("toxicity", F.lit("mine")), toxicity.Grammar({})).schema["toxicity"].dataType.typeName() == "double"
+    whole = spark.range(30_000).withColumnRenamed("id", "doc_id")
+    assert 800 < whole.where(toxicity.in_share("doc_id", 1000, 30_000)).count() < 1200
+    assert whole.where(toxicity.in_share("doc_id", 1000, 1 << 50)).count() <= 1  # a share far below a millionth is still one
 
 
 # --- 5
