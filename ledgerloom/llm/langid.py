@@ -12,14 +12,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.samples import in_share
 from ledgerloom.session import ship_package, stage_table
 
-#: Byte trigrams are counted in so many buckets: the text model has a fixed size.
+#: Byte trigrams are counted in at most so many buckets, a power of two.
 BUCKETS = 1 << 16
-#: The most labelled documents that the text model is fitted on.
+#: The text model has at most so many cells (buckets times languages): more than 256 languages get fewer buckets.
+CELLS = 1 << 24
+#: The most labelled documents, about, that the text model is fitted on; it knows all their languages.
 SAMPLE = 20_000
-#: Languages that the model can hold.
-LANGUAGES = 64
 #: Trigrams overlap, so the text's log-likelihood counts for so much a trigram, and for at most MOST.
 TEMPER, MOST = 0.2, 60.0
 #: Pseudo-counts with which a parent's distribution is added at each level of the host hierarchy.
@@ -29,42 +30,50 @@ _DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", re.IGNORECASE)
 
 
-def buckets_of(text: str) -> np.ndarray:
+def buckets_of(text: str, buckets: int = BUCKETS) -> np.ndarray:
     b = np.frombuffer(b" " + " ".join(text.lower().split()).encode() + b" ", np.uint8).astype(np.uint32)
-    return (((b[:-2] * 65536 + b[1:-1] * 256 + b[2:]) * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
+    return (((b[:-2] * 65536 + b[1:-1] * 256 + b[2:]) * np.uint32(2654435761)) >> np.uint32(33 - buckets.bit_length())).astype(np.int64)
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sums: dict[str, np.ndarray] = {}
         for t, lang in zip(b.column("text"), b.column("lang").to_pylist(), strict=True):
-            sums[lang] = sums.get(lang, 0) + np.bincount(buckets_of(t.as_py() or ""), minlength=BUCKETS)
-        langs, at, n = [], [], []
+            sums[lang] = sums.get(lang, 0) + np.bincount(buckets_of(t.as_py() or "", buckets), minlength=buckets)
         for lang, c in sums.items():
             k = np.flatnonzero(c)
-            langs += [lang] * len(k)
-            at.append(k)
-            n.append(c[k])
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(at) if at else [], pa.int64()), pa.array(np.concatenate(n) if n else [], pa.int64())], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k, pa.int64()), pa.array(c[k], pa.int64())], ["lang", "bucket", "n"])
 
 
 class TextModel:
+    """Log-probabilities, a row per bucket and a column per language."""
+
     def __init__(self, langs: list[str], logp: np.ndarray) -> None:
         self.langs, self.logp = langs, logp
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
-    """Trigram counts by declared label over a sample of at most about `sample` documents, chosen by a hash of doc_id."""
+    """Trigram counts by declared label over a sample of at most about `sample` documents, chosen by a hash of doc_id.
+
+    Rows that repeat a doc_id count once, with the least label and text of it. Without labelled documents there is one
+    language, "und".
+    """
     ship_package(docs.sparkSession)
     known = docs.where("lang is not null").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    share = min(1.0, sample / max(1, known.count()))
-    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text", "lang")
-    counts = rows.mapInArrow(_count_batches, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    counts = stage_table(counts, "trigrams")
-    langs = sorted(r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    table = np.full((BUCKETS, max(1, len(langs))), 0.5)
+    picked = known.where(in_share("doc_id", sample, known.count())).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r"))
+    rows = stage_table(picked.select("r.text", "r.lang"), "language-sample")
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    buckets = BUCKETS
+    while buckets > 256 and buckets * len(langs) > CELLS:
+        buckets //= 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count_batches(batches, buckets)
+
+    counts = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    table = np.full((buckets, max(1, len(langs))), 0.5)
     at = {x: k for k, x in enumerate(langs)}
-    for r in counts.where(F.col("lang").isin(langs)).toLocalIterator():
+    for r in counts.toLocalIterator():
         table[r["bucket"], at[r["lang"]]] += r["n"]
     return TextModel(langs or ["und"], np.log(table / table.sum(0)).astype(np.float32))
 
@@ -83,7 +92,7 @@ def _page_batches(batches: Iterator[pa.RecordBatch], key: str, value: np.ndarray
             page = t.as_py() or ""
             m = _LANG.search(page)
             declared.append(m[1].lower() if m else None)
-            k = buckets_of(entities.unescape(_DROP.sub(" ", page)))
+            k = buckets_of(entities.unescape(_DROP.sub(" ", page)), len(logp))
             total = np.zeros(logp.shape[1])
             for a in range(0, len(k), 1 << 20):
                 total += logp[k[a : a + (1 << 20)]].sum(0, dtype=np.float64)
@@ -121,36 +130,37 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     seen = stage_table(read.withColumn("best", best).withColumn("host", host), "evidence")
     known = F.when(F.col("declared").isin(langs), F.col("declared")).when(F.col("declared").isNull(), F.lit("")).otherwise(F.lit("?"))
     seen = seen.withColumn("said", known)
-    ones = [F.sum((F.col("best") == k + 1).cast("long")).alias(f"c{k}") for k in range(len(langs))]
-    sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(len(langs))]
-    # at most (languages + 2) rows
-    said = {r["said"]: [r[f"c{k}"] for k in range(len(langs))] for r in seen.groupBy("said").agg(*ones).collect()}
-    totals = [sum(c[k] for c in said.values()) for k in range(len(langs))]
+    # at most one row for each pair of languages
+    pairs = {(r["said"], r["best"] - 1): r["count"] for r in seen.groupBy("said", "best").count().collect()}
+    totals = [sum(n for (_, j), n in pairs.items() if j == k) for k in range(len(langs))]
     every = sum(totals) + len(langs)
     base = [(t + 1) / every for t in totals]
-    hosts = seen.groupBy("host").agg(*ones)
+    words = [*langs, "", "?"]
+    told = [(w, [float(np.log((pairs.get((w, k), 0) + 0.5) / (totals[k] + 0.5 * len(words)))) for k in range(len(langs))]) for w in words]
+    told = pages.sparkSession.createDataFrame(told, "said string, told array<double>")
     parts = F.split("host", r"\.")
-    hosts = hosts.withColumn("suffix", F.element_at(parts, -1)).withColumn("domain", F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), "."))
-    hosts = stage_table(hosts, "hosts")
-    domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    suffixes = domains.groupBy("suffix").agg(*sums)
+    domain = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")
+    counted = stage_table(seen.groupBy("host", "best").agg(F.count("*").alias("n")).withColumn("domain", domain).withColumn("suffix", F.element_at(parts, -1)), "hosts")
 
-    def counts() -> Column:
-        return F.array(*[F.col(f"c{k}").cast("double") for k in range(len(langs))])
+    def counts(level: str, *more: str) -> DataFrame:
+        """One row per host, domain or suffix with its counts by language."""
+        sums = counted.groupBy(level, *more, "best").agg(F.sum("n").alias("n"))
+        return sums.groupBy(level, *more).agg(F.map_from_entries(F.collect_list(F.struct("best", F.col("n").cast("double")))).alias("c"))
+
+    def dense(c: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.lit(len(langs))), lambda k: F.coalesce(F.try_element_at(c, k), F.lit(0.0)))
 
     def smooth(c: Column, parent: Column) -> Column:
         n = F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(c, parent, lambda x, p: (x + KAPPA * p) / (n + KAPPA))
 
-    suffixes = suffixes.select("suffix", smooth(counts(), F.array(*map(F.lit, base))).alias("p_suffix"))
-    domains = domains.join(suffixes, "suffix").select("domain", smooth(counts(), F.col("p_suffix")).alias("p_domain"))
-    hosts = hosts.join(domains, "domain").select(F.col("host"), counts().alias("c_host"), "p_domain")
-    met = seen.join(hosts, "host")
+    suffixes = counts("suffix").select("suffix", smooth(dense(F.col("c")), F.array(*map(F.lit, base))).alias("p_suffix"))
+    domains = counts("domain", "suffix").join(suffixes, "suffix").select("domain", smooth(dense(F.col("c")), F.col("p_suffix")).alias("p_domain"))
+    hosts = counts("host", "domain").join(domains, "domain").select("host", dense(F.col("c")).alias("c_host"), "p_domain")
+    met = seen.join(hosts, "host").join(told, "said")
     own = F.transform(F.sequence(F.lit(1), F.lit(len(langs))), lambda k: (k == F.col("best")).cast("double"))
     prior = smooth(F.zip_with("c_host", own, lambda a, b: a - b), F.col("p_domain"))
-    words = [*langs, "", "?"]
-    told = F.create_map(*[x for w in words for x in (F.lit(w), F.array(*[F.lit(float(np.log((said.get(w, [0] * len(langs))[k] + 0.5) / (totals[k] + 0.5 * len(words))))) for k in range(len(langs))]))])
-    met = met.withColumn("z", F.zip_with(F.zip_with("text_score", prior, lambda a, p: a + F.log(p)), told[F.col("said")], lambda a, b: a + b))
+    met = met.withColumn("z", F.zip_with(F.zip_with("text_score", prior, lambda a, p: a + F.log(p)), "told", lambda a, b: a + b))
     met = met.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
     names = F.array(*map(F.lit, langs))
     return met.select(

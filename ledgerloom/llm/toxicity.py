@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ledgerloom.llm.samples import in_share
 from ledgerloom.session import ship_package, stage_table
 
 #: Fixed word lists of the grammar's closed classes, for the languages of the corpus.
@@ -248,13 +249,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return stage_table(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"), "labelled")
 
 
-def in_share(name: str, wanted: int, of: int) -> F.Column:
-    """About wanted of so many rows, by 63 bits of a hash; all of them where they are not more."""
-    if of <= wanted:
-        return F.lit(True)
-    return F.xxhash64(name).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit((wanted << 63) // of)
-
-
 def learn(rows: DataFrame) -> Grammar:
     """Labelled texts (text, toxic) -> grammar.
 

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontam, html, langid, media, packing, pii, queries, simhash, toxicity, warc
+from ledgerloom.llm import chat, decontam, html, langid, media, packing, pii, queries, samples, simhash, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, fp string"
@@ -524,20 +524,103 @@ def test_toxicity_rows_and_columns(spark, tables):
     assert kept.columns == ["doc_id", "text", "toxicity", "score"] and kept.where("toxicity = 'mine'").count() == 6
     assert toxicity.scored(docs.withColumn("toxicity", F.lit("mine")), toxicity.Grammar({})).schema["toxicity"].dataType.typeName() == "double"
     whole = spark.range(30_000).withColumnRenamed("id", "doc_id")
-    assert 800 < whole.where(toxicity.in_share("doc_id", 1000, 30_000)).count() < 1200
-    assert whole.where(toxicity.in_share("doc_id", 1000, 1 << 50)).count() <= 1  # a share far below a millionth is still one
+    assert 800 < whole.where(samples.in_share("doc_id", 1000, 30_000)).count() < 1200
+    assert whole.where(samples.in_share("doc_id", 1000, 1 << 50)).count() <= 1  # a share far below a millionth is still one
 
 
 # --- 5
 
 
+WORDS = {"de": "der die und nicht ein ist das mit", "en": "the and of that is with for not", "fr": "le la les et est pas une dans"}
+
+
+def brute_languages(pages, docs):
+    """Naive Bayes with the smoothed host hierarchy, in plain Python: (text language, language, confidence) per page."""
+    import html as entities
+
+    langs = sorted({lang for _, lang in docs if lang})
+    table = np.full((langid.BUCKETS, len(langs)), 0.5)
+    for text, lang in docs:
+        if lang:
+            np.add.at(table[:, langs.index(lang)], langid.buckets_of(text or ""), 1)
+    logp = np.log(table / table.sum(0)).astype(np.float32)
+    texts, said, hosts = [], [], []
+    for _, url, page in pages:
+        k = langid.buckets_of(entities.unescape(langid._DROP.sub(" ", page or "")))
+        z = logp[k].sum(0, dtype=np.float64)
+        texts.append(((z - z.max()) * min(langid.TEMPER, langid.MOST / max(1, len(k)))).round(6))
+        m = re.search(r"<html[^>]*?lang=([a-z]+)", page or "")
+        said.append("" if not m else m[1] if m[1] in langs else "?")
+        hosts.append((re.search("//([^/]*)", url or "") or [None, ""])[1])
+    best = [int(np.argmax(t)) for t in texts]
+    n = len(langs)
+    count = lambda rows: np.bincount([best[i] for i in rows], minlength=n).astype(float)
+    everything = range(len(pages))
+    smooth = lambda c, parent: (c + langid.KAPPA * parent) / (c.sum() + langid.KAPPA)
+    totals = count(everything)
+    out = []
+    for i in everything:
+        parts = hosts[i].split(".")
+        domain, suffix = ".".join(parts[-2:]), parts[-1]
+        p = (totals + 1) / (totals.sum() + n)
+        p = smooth(count([j for j in everything if hosts[j].split(".")[-1] == suffix]), p)
+        p = smooth(count([j for j in everything if ".".join(hosts[j].split(".")[-2:]) == domain]), p)
+        p = smooth(count([j for j in everything if hosts[j] == hosts[i] and j != i]), p)
+        told = np.log((count([j for j in everything if said[j] == said[i]]) + 0.5) / (totals + 0.5 * (n + 2)))
+        z = texts[i] + np.log(p) + told
+        e = np.exp(z - z.max())
+        out.append((langs[best[i]], langs[int(np.argmax(e))], round(1 / e.sum(), 6)))
+    return out
+
+
+def test_language_against_plain_bayes(spark):
+    """Pages of a language's words, with and without declaration, on hosts of their language; and pages whose text says
+    little, which only a declaration, a suffix or a host decides."""
+    rng = np.random.default_rng(11)
+    prose = lambda lang, n: " ".join(rng.choice(WORDS[lang].split(), n))
+    docs = [(prose(lang, 40), lang) for lang in WORDS for _ in range(6)] + [("x y z", None)]
+    page = lambda text, lang=None: f"<html{' lang=' + lang if lang else ''}><body><p>{text}</p></body></html>"
+    pages = []
+    for lang, suffix in (("de", "de"), ("en", "com"), ("fr", "fr")):
+        for k in range(60 if lang == "fr" else 30):
+            pages.append((len(pages), f"http://h{k % 3}.site{k % 2}.{suffix}/", page(prose(lang, 25), lang if k % 2 else None)))
+    pages += [(len(pages) + k, "http://french.mixed.org/", page(prose("fr", 25), "fr" if k % 2 else None)) for k in range(30)]
+    at = len(pages)
+    unclear = ["http://new.net/", "http://new.net/", "http://other.fr/", "http://french.mixed.org/a", "http://none.net/"]
+    pages += [(at + k, u, page("it", "fr" if k == 1 else None)) for k, u in enumerate(unclear)]
+    pages += [(at + 5, None, None), (at + 6, "nonsense", page("", "zz")), (at + 6, "nonsense", page("", "zz"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("best", F.lit("x")).withColumn("said", F.lit("x"))
+    texts = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(docs)], "doc_id long, text string, lang string")
+    got = sorted((r["page_id"], r["text_lang"], r["lang"], r["confidence"]) for r in langid.op5_langid(df, texts).collect())
+    want = sorted((p[0], *w) for p, w in zip(pages, brute_languages(pages, docs), strict=True))
+    assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-6 for g, w in zip(got, want, strict=True))
+    decided = {i: (text, lang) for i, text, lang, _ in got}
+    text = decided[at][0]
+    assert text != "fr" and decided[at] == (text, text)  # nothing speaks against the text
+    assert decided[at + 1] == decided[at + 2] == decided[at + 3] == (text, "fr")  # declaration, suffix, host
+
+
 def test_language(spark, tables):
     got = langid.op5_langid(tables("pages"), tables("documents")).collect()
     assert len(got) == tables("pages").count() and all(0 < r["confidence"] <= 1 for r in got)
-    assert sum(r["lang"] == r["declared"] for r in got) / len(got) > 0.9
-    pages = spark.createDataFrame([(1, None, None), (1, None, None), (2, "http://x.de/", ""), (3, "nonsense", "<html lang=xx>und der die das nicht und ist ein</html>")], "page_id long, url string, html string")
-    assert langid.op5_langid(pages, tables("documents")).count() == 4
+    pages = spark.createDataFrame([(1, None, None), (1, None, None), (2, "http://x.de/", ""), (3, "nonsense", "<html lang=xx>und der die das nicht und ist ein</html>"), (4, "http://y.de/", "<p>" + "und der " * 100_000)], "page_id long, url string, html string")
+    assert langid.op5_langid(pages, tables("documents")).count() == 5
     assert langid.op5_langid(pages.limit(0), tables("documents")).count() == 0
+    assert {r["lang"] for r in langid.op5_langid(pages, tables("documents").limit(0)).collect()} == {"und"}
+
+
+def test_every_language_is_known(spark, monkeypatch):
+    """Three hundred made-up languages: none is dropped, the model keeps its size, and texts are told apart."""
+    monkeypatch.setattr(langid, "CELLS", 1 << 20)
+    names = [f"l{i:03d}" for i in range(300)]
+    rng = np.random.default_rng(5)
+    words = {x: ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(8)] for x in names}
+    docs = spark.createDataFrame([(i, " ".join(words[x] * 4), x) for i, x in enumerate(names)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.langs == names and model.logp.size <= 1 << 20
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", "<p>" + " ".join(words[x] * 3)) for i, x in enumerate(names)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text_lang"] for r in langid.op5_langid(pages, docs).collect()}
+    assert sum(got[i] == x for i, x in enumerate(names)) >= 297
 
 
 # --- pipeline
