@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -16,7 +17,10 @@ from ledgerloom.session import ship_package, stage_table
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds found by form alone that only serve as more seeds; their spans are reported after the base kinds.
 SEED_KINDS = ("secret",)
+#: What the method adds: id and the kind of the seeds that its context had, or just id where they were mixed.
 LEARNED = "id"
+#: Share of a context's seeds that one kind needs to name what the context finds.
+ONE_KIND = 0.8
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -31,6 +35,7 @@ _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_@./:-]{3,}[A-Za-z0-9]")
 _QUOTES = "\"'([{<"
 _WORD = re.compile(r"\S+")
+_GLUE = re.compile(r"[=:#]")
 #: Words longer than this stand in patterns as a digest of all of them, so that patterns stay small.
 LONG_WORD = 64
 
@@ -152,49 +157,80 @@ def mentions(text: str) -> list[tuple[int, int, str | None, str, list[str]]]:
     return out
 
 
-MENTIONS = "row_id long, doc_id long, starts array<int>, ends array<int>, kinds array<string>, entity array<string>, patterns array<array<string>>"
+def ordinary_uses(text: str, found: list[tuple[int, int, str | None, str, list[str]]]) -> dict[str, int]:
+    """How often the context patterns of a text's mentions stand in it before something that is no mention."""
+    uses = Counter(p for m in found for p in m[4])
+    if not uses:
+        return {}
+    words = [w.lower() if len(w) <= LONG_WORD else _Long(w, 0).upto(len(w)) for w in text.split()]
+    seen = Counter("1:" + w for w in words[:-1] if "1:" + w in uses)
+    if any(p[0] == "2" for p in uses):
+        seen.update(p for a, b in zip(words, words[1:-1], strict=False) if (p := f"2:{a} {b}") in uses)
+    if any(p[0] == "k" for p in uses):
+        seen.update(p for w in words for m in _GLUE.finditer(w, 0, len(w) - 1) if (p := "k:" + w[: m.end()]) in uses)
+    return {p: n for p in uses if (n := seen[p] - uses[p]) > 0}
+
+
+MENTIONS = "row_id long, doc_id long, starts array<int>, ends array<int>, kinds array<string>, entity array<string>, patterns array<array<string>>, ordinary map<string,bigint>"
 
 
 def _mention_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cols: list[list] = [[] for _ in range(5)]
+        cols: list[list] = [[] for _ in range(6)]
         for t in b.column("text"):
-            found = mentions(t.as_py() or "")
-            for c, k in zip(cols, range(5), strict=True):
+            text = t.as_py() or ""
+            found = mentions(text)
+            for c, k in zip(cols, range(5), strict=False):
                 c.append([m[k] for m in found])
-        kinds = [pa.list_(pa.int32())] * 2 + [pa.list_(pa.string())] * 2 + [pa.list_(pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays([b.column("row_id"), b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["row_id", "doc_id", "starts", "ends", "kinds", "entity", "patterns"])
+            cols[5].append(list(ordinary_uses(text, found).items()))
+        kinds = [pa.list_(pa.int32())] * 2 + [pa.list_(pa.string())] * 2 + [pa.list_(pa.list_(pa.string())), pa.map_(pa.string(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([b.column("row_id"), b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["row_id", "doc_id", "starts", "ends", "kinds", "entity", "patterns", "ordinary"])
 
 
-def bootstrap(edges: DataFrame, rounds: int = 3, least_score: float = 0.8, least_support: int = 5, prior: float = 2.0) -> DataFrame:
-    """(pattern, value, seed) graph edges -> (pattern, score) of the patterns trusted after some rounds.
+def bootstrap(edges: DataFrame, ordinary: DataFrame, rounds: int = 3, least_score: float = 0.8, least_support: int = 5, prior: float = 1.0, doubt: float = 0.2) -> DataFrame:
+    """(pattern, value, kind) graph edges, kind null for candidates, and (pattern, n) of ordinary uses -> (pattern,
+    score, kind) of the patterns trusted after some rounds.
 
-    Each round scores a pattern by the summed score of its distinct values over their number plus prior, and a value
-    by the best of its patterns (seeds keep 1). A trusted pattern has least_score and least_support values. All of it
-    is grouped counts and equi-joins; hot patterns are pre-aggregated and their joins may be split.
+    Each round scores a pattern by s / (s + ordinary uses + doubt * u + prior), where s sums its distinct values' scores
+    and u what they lack to one each, and a value by the best of its patterns (seeds keep 1). A word that stands before
+    anything at all is no context, however many seeds it has met; unseen identifiers speak little against one. A trusted
+    pattern has least_score and least_support values; kind names
+    what it finds (see LEARNED). All of it is grouped counts and equi-joins; hot patterns are pre-aggregated and their
+    joins may be split.
     """
-    graph = stage_table(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "graph")
-    values = graph.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
+    graph = stage_table(edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "graph")
+    against = ordinary.groupBy("pattern").agg(F.sum("n").alias("ordinary"))
+    seed = F.col("kind").isNotNull().cast("double")
+    values = graph.groupBy("value").agg(F.max(seed).alias("score"))
     for k in range(rounds):
-        scored = graph.join(values, "value").groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(prior))).alias("p"), F.count("*").alias("n"))
-        patterns = stage_table(scored.select("pattern", F.when(F.col("n") >= least_support, F.col("p")).otherwise(0.0).alias("p")), "patterns")
+        sums = graph.join(values, "value").groupBy("pattern").agg(F.sum("score").alias("s"), F.count("*").alias("n"))
+        scored = sums.where(F.col("n") >= least_support).join(against, "pattern", "left").withColumn("p", F.col("s") / (F.col("s") + F.coalesce("ordinary", F.lit(0)) + F.lit(doubt) * (F.col("n") - F.col("s")) + F.lit(prior)))
+        patterns = stage_table(scored.where(F.col("p") >= least_score).select("pattern", "p"), "patterns")
         if k < rounds - 1:
-            best = graph.join(patterns, "pattern").groupBy("value").agg(F.greatest(F.max("p"), F.max("seed").cast("double")).alias("score"))
-            values = stage_table(best.select("value", F.when(F.col("score") >= least_score, F.col("score")).otherwise(F.lit(0.0)).alias("score")), "values")
-    return patterns.where(F.col("p") >= least_score).select("pattern", F.col("p").alias("score"))
+            best = graph.join(patterns, "pattern", "left").groupBy("value").agg(F.greatest(F.coalesce(F.max("p"), F.lit(0.0)), F.max(seed)).alias("score"))
+            values = stage_table(best, "values")
+    kinds = graph.where("kind is not null").join(patterns, "pattern").groupBy("pattern", "p", "kind").agg(F.count("*").alias("n"))
+    named = kinds.groupBy("pattern", "p").agg(F.max(F.struct("n", "kind")).alias("top"), F.sum("n").alias("n"))
+    learned = F.when(F.col("top.n") >= ONE_KIND * F.col("n"), F.concat(F.lit(f"{LEARNED}_"), F.col("top.kind"))).otherwise(F.lit(LEARNED))
+    return patterns.join(named.select("pattern", learned.alias("kind")), "pattern", "left").select("pattern", F.col("p").alias("score"), F.coalesce("kind", F.lit(LEARNED)).alias("kind"))
 
 
 def personal_data(docs: DataFrame, **settings: float) -> DataFrame:
     """(row_id, doc_id, spans array<struct<start int, end int, kind string>>), spans by start, then kind as listed.
 
-    Base kinds are always there as found. Candidates (identifier-like tokens that no finder took) are added as kind
-    "id" where a trusted pattern precedes them; seeds are the base kinds and well-formed secrets. Null texts are empty;
-    repeated rows each get their row; an empty table gives an empty result; extra columns are ignored.
+    Base kinds are always there as found. Candidates (identifier-like tokens that no finder took) are added where a
+    trusted pattern precedes them, of the best one's kind; seeds are the base kinds and well-formed secrets. Null texts
+    are empty; repeated rows each get their row; an empty table gives an empty result; extra columns are ignored.
     Mentions are staged, so texts are scanned once; only candidates, never texts, are shuffled.
     """
     ship_package(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return spans_of(stage_table(rows.mapInArrow(_mention_batches, MENTIONS), "mentions"), **settings)
+    found = _mentions(docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"))
+    return spans_of(found, trusted_patterns(found, **settings))
+
+
+def _mentions(rows: DataFrame) -> DataFrame:
+    rows = rows.select("row_id", F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return stage_table(rows.mapInArrow(_mention_batches, MENTIONS), "mentions")
 
 
 def _each(found: DataFrame) -> DataFrame:
@@ -202,19 +238,21 @@ def _each(found: DataFrame) -> DataFrame:
 
 
 def trusted_patterns(found: DataFrame, **settings: float) -> DataFrame:
-    """Mentions -> (pattern, score) by bootstrap()."""
-    edges = _each(found).select(F.explode("m.patterns").alias("pattern"), F.col("m.entity").alias("value"), F.col("m.kinds").isNotNull().cast("int").alias("seed"))
-    return bootstrap(edges, **settings)
+    """Mentions -> (pattern, score, kind) by bootstrap()."""
+    edges = _each(found).select(F.explode("m.patterns").alias("pattern"), F.col("m.entity").alias("value"), F.col("m.kinds").alias("kind"))
+    return bootstrap(edges, found.select(F.explode("ordinary").alias("pattern", "n")), **settings)
 
 
-def spans_of(found: DataFrame, **settings: float) -> DataFrame:
-    """Mentions -> (row_id, doc_id, spans)."""
-    each, trusted = _each(found), trusted_patterns(found, **settings)
+def spans_of(found: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Mentions and trusted patterns -> (row_id, doc_id, spans)."""
+    each = _each(found)
     candidates = each.where(F.col("m.kinds").isNull()).select("row_id", F.col("m.starts").alias("start"), F.col("m.ends").alias("end"), F.explode("m.patterns").alias("pattern"))
-    learned = candidates.join(trusted, "pattern").groupBy("row_id").agg(F.collect_set(F.struct("start", "end", F.lit(LEARNED).alias("kind"))).alias("learned"))
+    best = candidates.join(trusted, "pattern").groupBy("row_id", "start", "end").agg(F.max(F.struct("score", "kind")).alias("b"))
+    learned = best.groupBy("row_id").agg(F.collect_list(F.struct("start", "end", F.col("b.kind").alias("kind"))).alias("learned"))
     known = F.filter(F.transform(F.arrays_zip("starts", "ends", "kinds"), lambda m: F.struct(m["starts"].alias("start"), m["ends"].alias("end"), m["kinds"].alias("kind"))), lambda m: m["kind"].isNotNull())
-    order = F.array(*[F.lit(k) for k in (*KINDS, *SEED_KINDS, LEARNED)])
-    ranked = F.transform(F.concat("known", F.coalesce("learned", F.array().cast("array<struct<start:int,end:int,kind:string>>"))), lambda m: F.struct(m["start"].alias("start"), F.array_position(order, m["kind"]).alias("rank"), m["end"].alias("end"), m["kind"].alias("kind")))
+    order = F.array(*[F.lit(k) for k in (*KINDS, *SEED_KINDS)])
+    rank = lambda kind: F.coalesce(F.nullif(F.array_position(order, kind), F.lit(0)), F.lit(99))
+    ranked = F.transform(F.concat("known", F.coalesce("learned", F.array().cast("array<struct<start:int,end:int,kind:string>>"))), lambda m: F.struct(m["start"].alias("start"), rank(m["kind"]).alias("rank"), m["end"].alias("end"), m["kind"].alias("kind")))
     spans = F.transform(F.array_sort(ranked), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind")))
     return found.select("row_id", "doc_id", known.alias("known")).join(learned, "row_id", "left").select("row_id", "doc_id", spans.alias("spans"))
 
@@ -245,25 +283,31 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _mask_batches(batches: Iterator[pa.RecordBatch], trusted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """trusted: the patterns to apply here; None if a column spans has what to mask."""
+def _mask_batches(batches: Iterator[pa.RecordBatch], trusted: dict[str, tuple[float, str]]) -> Iterator[pa.RecordBatch]:
+    """Masks where the texts are, by the trusted patterns (score, kind)."""
     for b in batches:
         at = b.schema.get_field_index("text")
-        spans = b.column("spans").to_pylist() if trusted is None else None
         texts = []
-        for i, t in enumerate(b.column("text").to_pylist()):
-            if t is None:
-                found = []
-            elif trusted is None:
-                found = [(x["start"], x["end"], x["kind"]) for x in spans[i] or ()]
-            else:
-                found = [(s, e, kind or LEARNED) for s, e, kind, _, patterns in mentions(t) if kind or not trusted.isdisjoint(patterns)]
+        for t in b.column("text").to_pylist():
+            found = []
+            for s, e, kind, _, patterns in mentions(t or ""):
+                kind = kind or max((trusted[p] for p in patterns if p in trusted), default=(0, None))[1]
+                if kind:
+                    found.append((s, e, kind))
             texts.append(mask(t, found) if found else t)
-        b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
-        yield b.drop_columns(["spans"]) if trusted is None else b
+        yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+
+
+def _mask_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Masks the spans that stand beside the texts."""
+    for b in batches:
+        at = b.schema.get_field_index("text")
+        spans = b.column("spans").to_pylist()
+        texts = [mask(t, [(x["start"], x["end"], x["kind"]) for x in found]) if found and t is not None else t for t, found in zip(b.column("text").to_pylist(), spans, strict=True)]
+        yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns(["spans"])
 
 
-#: Up to so many trusted patterns are broadcast; beyond that spans are joined to the documents.
+#: Up to so many trusted patterns are broadcast; beyond that spans are joined to the documents. The result is the same.
 BROADCAST_PATTERNS = 200_000
 
 
@@ -271,25 +315,23 @@ def masked(docs: DataFrame, broadcast_patterns: int = BROADCAST_PATTERNS, **sett
     """The documents with personal data and secrets replaced by [KIND], and n_chars (if there) counted anew.
 
     docs is read twice and must be a stored table. Few trusted patterns are broadcast and applied where the texts are,
-    so no text is shuffled; with more than broadcast_patterns the spans are joined to the documents by row.
+    so no text is shuffled; with more than broadcast_patterns the documents are stored with a number per row first, and
+    their spans are joined on it. Null texts stay null, repeated rows stay, all other columns stay as they are.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    numbered = docs.withColumn("row_id", F.monotonically_increasing_id())
-    found = stage_table(numbered.select("row_id", F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_mention_batches, MENTIONS), "mentions")
-    trusted = trusted_patterns(found, **settings)
+    trusted = trusted_patterns(_mentions(docs.select(F.monotonically_increasing_id().alias("row_id"), F.lit(None).alias("doc_id"), "text")), **settings)
     if trusted.count() <= broadcast_patterns:
-        shared = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in trusted.collect()))
+        shared = spark.sparkContext.broadcast({r["pattern"]: (r["score"], r["kind"]) for r in trusted.collect()})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return _mask_batches(batches, shared.value)
 
         out = docs.mapInArrow(run, docs.schema)
     else:
-
-        def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _mask_batches(batches, None)
-
-        spans = spans_of(found, **settings).where(F.size("spans") > 0).select(F.col("row_id").alias("span_row"), "spans")
-        out = numbered.join(spans, numbered["row_id"] == spans["span_row"], "left").drop("row_id", "span_row").mapInArrow(run_joined, docs.schema)
+        names = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+        rows = stage_table(docs.select(F.monotonically_increasing_id().alias("row_id"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()]), "numbered")
+        spans = spans_of(_mentions(rows.select("row_id", F.lit(None).alias("doc_id"), "text")), trusted).where(F.size("spans") > 0).select("row_id", "spans")
+        beside = rows.join(stage_table(spans, "spans"), "row_id", "left")
+        out = beside.mapInArrow(_mask_spans, rows.schema).select(*[F.col(n).alias(c) for c, n in names.items()])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
