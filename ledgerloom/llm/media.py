@@ -128,8 +128,8 @@ def media_features(docs: DataFrame, keep_media: bool = False) -> DataFrame:
 
 
 def op2_media(docs: DataFrame) -> DataFrame:
-    """The digest columns; feature is frames:peaks:pairs:digest of the time-coded pairs."""
+    """The contract's columns, and the fingerprint: fp_times and fp_codes. feature is frames:peaks:pairs:digest of them."""
     m = media_features(docs)
     coded = F.sha2(F.concat(F.array_join("fp_times", ","), F.lit(";"), F.array_join("fp_codes", ",")), 256)
     feature = F.concat_ws(":", F.col("n_frames").cast("string"), F.col("n_peaks").cast("string"), F.size("fp_codes").cast("string"), F.substring(coded, 1, 32))
-    return m.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+    return m.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "fp_times", "fp_codes")

@@ -9,6 +9,7 @@ import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -25,6 +26,8 @@ DIRECTORY = 65_536
 FILE_BYTES = 1 << 30
 #: Neighbouring records are read in one request of at most so many bytes.
 READ_BYTES = 8 << 20
+#: A lookup's blocks are read by at most so many ranges of block numbers.
+RANGES = 64
 _DATE = "2000-01-01T00:00:00Z"
 
 
@@ -196,8 +199,20 @@ def _search(keys: pa.Table, blocks: pa.Table) -> pa.Table:
     return pa.table({"file": pa.array(cols[0], pa.string()), "start": pa.array(cols[1], pa.int64()), "bytes": pa.array(cols[2], pa.int64())})
 
 
+def _block_ranges(blocks: list[int], most: int = RANGES) -> list[tuple[int, int]]:
+    """Block numbers as at most so many inclusive ranges; the nearest are joined first."""
+    blocks = sorted(blocks)
+    gaps = sorted(range(1, len(blocks)), key=lambda i: blocks[i] - blocks[i - 1], reverse=True)
+    cuts = sorted(i for i in gaps[: most - 1] if blocks[i] - blocks[i - 1] > 1)
+    return [(blocks[i], blocks[j - 1]) for i, j in zip([0, *cuts], [*cuts, len(blocks)], strict=True)] if blocks else []
+
+
 def lookup(archive: Archive, keys: DataFrame) -> DataFrame:
-    """Distinct (key, key_id) -> (file, start, bytes) of the captures with these keys."""
+    """Distinct (key, key_id) -> (file, start, bytes) of the captures with these keys.
+
+    The directory says which blocks can hold a key; only those are read (a filter on ranges of their numbers reaches the
+    scan, as the blocks' files are in order) and only those are shuffled.
+    """
     spark = keys.sparkSession
     top = archive.blocks.select("first_key", "first_id", "last_key", "last_id", "block").orderBy("first_key", "first_id", "last_key", "last_id").collect()
     shared = spark.sparkContext.broadcast([tuple(r) for r in top])
@@ -205,18 +220,31 @@ def lookup(archive: Archive, keys: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _find_batches(batches, shared.value)
 
-    sought = keys.select("key", "key_id").distinct().mapInArrow(run, "key string, key_id long, block long")
-    return sought.groupBy("block").cogroup(archive.blocks.select("block", "data").groupBy("block")).applyInArrow(_search, "file string, start long, bytes long")
+    sought = stage_table(keys.select("key", "key_id").distinct().mapInArrow(run, "key string, key_id long, block long"), "sought")
+    hit = sought.select("block").distinct()
+    # at most as many as the directory has entries
+    ranges = _block_ranges([r["block"] for r in hit.collect()])
+    within = reduce(lambda a, b: a | b, [F.col("block").between(lo, hi) for lo, hi in ranges], F.lit(False))
+    wanted = archive.blocks.where(within).select("block", "data").join(hit, "block", "left_semi")
+    return sought.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_search, "file string, start long, bytes long")
 
 
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch], root: str, keep: bool) -> Iterator[pa.RecordBatch]:
+    """Records in the order of their places; no more than READ_BYTES of payloads (or one record) are held at once."""
     fs, folder = _open(root)
+    cols = [("page_id", pa.int64()), ("url", pa.string()), ("kind", pa.string()), ("size", pa.int64()), ("digest", pa.string()), ("refers_to", pa.int64()), *([("payload", pa.binary())] * keep)]
+    names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", *(["payload"] * keep)]
+
+    def batch(got: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], t) for c, t in cols], names)
+
     for b in batches:
         wanted = sorted(zip(b.column("file").to_pylist(), b.column("start").to_pylist(), b.column("bytes").to_pylist(), strict=True))
         got: list[dict] = []
+        held = 0
         k = 0
         while k < len(wanted):
             name, first, _ = wanted[k]
@@ -227,11 +255,18 @@ def _read_batches(batches: Iterator[pa.RecordBatch], root: str, keep: bool) -> I
                         end = max(end, wanted[to][1] + wanted[to][2])
                         to += 1
                     data = f.read_at(end - first, first)
-                    got += [parse(data[s - first : s - first + n]) for _, s, n in wanted[k:to]]
+                    for _, s, n in wanted[k:to]:
+                        one = parse(data[s - first : s - first + n])
+                        if not keep:
+                            del one["payload"]
+                        elif one["payload"] is not None:
+                            held += len(one["payload"])
+                        got.append(one)
+                        if held > READ_BYTES:
+                            yield batch(got)
+                            got, held = [], 0
                     k = to
-        cols = [("page_id", pa.int64()), ("url", pa.string()), ("kind", pa.string()), ("size", pa.int64()), ("digest", pa.string()), ("refers_to", pa.int64()), *([("payload", pa.binary())] * keep)]
-        names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", *(["payload"] * keep)]
-        yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], t) for c, t in cols], names)
+        yield batch(got)
 
 
 def read_records(archive: Archive, located: DataFrame, keep_payload: bool = False) -> DataFrame:
