@@ -9,30 +9,45 @@ from ledgerloom.llm import decontam, packing, pii, simhash, toxicity
 from ledgerloom.session import stage_table
 
 
+def _fresh(name: str, taken: list[str]) -> str:
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the pattern grammar scores below one half stay."""
+    """Documents that the pattern grammar scores below one half stay, null and empty texts among them; every row is judged
+    by itself, columns stay as they are."""
     grammar = toxicity.learn(toxicity.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return toxicity.scored(docs, grammar).where("toxicity < 0.5").drop("toxicity")
+    score = _fresh("toxicity", docs.columns)
+    return toxicity.scored(docs, grammar, score).where(F.col(score) < 0.5).drop(score)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked fingerprints the document with the smallest doc_id stays."""
-    kept = simhash.near_duplicates(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Of each component of linked fingerprints one row stays: that with the smallest doc_id (one that is null comes
+    last), the first of them where it repeats. Null and empty texts link to each other, so one of them stays."""
+    key, other = _fresh("row_key", docs.columns), _fresh("kept_key", docs.columns)
+    rows = stage_table(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    groups = simhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("k"), "component_id")
+    named = groups.join(rows.select(F.col(key).alias("k"), F.col("doc_id").cast("bigint").alias("d")), "k")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("d").isNull(), "d", "k")).alias("least"))
+    kept = stage_table(first.select(F.col("least.k").alias(other)), "kept")
+    return rows.join(kept, rows[key] == kept[other], "left_semi").drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the contract's rule stay."""
+    """Documents that are not contaminated by the contract's rule stay, each row judged by itself; those without words
+    stay, and all of them where the benchmark is empty."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, with personal data and secrets masked."""
+    """Every row stays, with personal data and secrets masked; null texts stay null."""
     return pii.masked(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in the training sequences."""
+    """The pieces of all documents with their places in the training sequences; a null text has one piece, the end id."""
     return packing.pack(docs)
 
 
