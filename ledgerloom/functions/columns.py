@@ -23,8 +23,9 @@ def stable_id(kind: str, *parts: Column) -> Column:
 
 
 def range_bucket(seq: Column, width: int = RANGE_WIDTH) -> Column:
-    """The bucket's first sequence number (floor)."""
-    return (F.floor(seq / width) * width).cast("bigint")
+    """The bucket's first sequence number (floor), in whole numbers."""
+    seq = seq.cast("bigint")
+    return seq - F.pmod(seq, F.lit(width).cast("bigint"))
 
 
 def index_bucket(seq: Column, width: int = INDEX_WIDTH) -> Column:

@@ -50,36 +50,53 @@ class Store:
         self.spark, self.root, self.tables, self.width = spark, root.rstrip("/"), tables, width
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._known: dict[str, dict] = {}
+        self._taken = 0
 
     def _path(self, name: str):  # noqa: ANN202
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
     def log(self) -> list[dict]:
-        """Commits in order. One small entry per commit, so this stays on the driver."""
+        """Commits in order: one listing, and only entries that this store has not read yet are opened.
+
+        Entries never change, so what was read is kept. An entry that cannot be read was never finished: it counts as
+        no commit, but its number stays taken.
+        """
         folder = self._path("_log")
         if not self._fs.exists(folder):
             return []
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(folder))
+        names = sorted(n for s in self._fs.listStatus(folder) if (n := s.getPath().getName()).endswith(".json") and not n.startswith("."))
         io = self.spark._jvm.org.apache.commons.io.IOUtils
-        out = []
         for n in names:
-            if n.endswith(".json") and not n.startswith("."):
+            if n not in self._known:
                 stream = self._fs.open(self._path(f"_log/{n}"))
-                out.append(json.loads(io.toString(stream, "UTF-8")))
-                stream.close()
-        return out
+                try:
+                    self._known[n] = json.loads(io.toString(stream, "UTF-8"))
+                except ValueError:
+                    continue
+                finally:
+                    stream.close()
+        self._taken = max((int(n[:-5]) for n in names), default=0)
+        return [self._known[n] for n in names if n in self._known]
 
     def current(self) -> int:
         return max((e["snapshot"] for e in self.log()), default=0)
 
     def _append_log(self, entry: dict) -> None:
-        path = self._path(f"_log/{entry['snapshot']:012d}.json")
+        """Written whole under another name, then renamed, which fails if the snapshot has its entry already."""
+        jvm, path, part = self.spark._jvm, self._path(f"_log/{entry['snapshot']:012d}.json"), self._path(f"_log/.{uuid.uuid4().hex}.part")
+        stream = self._fs.create(part, False)
+        try:
+            stream.write(bytearray(json.dumps(entry, sort_keys=True).encode()))
+        finally:
+            stream.close()
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("").toUri(), self.spark._jsc.hadoopConfiguration())
+        never_over = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            stream = self._fs.create(path, False)
+            files.rename(part, path, never_over)
         except Exception as e:
+            self._fs.delete(part, False)
             raise CommitConflict(f"snapshot {entry['snapshot']} was taken by another writer") from e
-        stream.write(bytearray(json.dumps(entry, sort_keys=True).encode()))
-        stream.close()
 
     def _write(self, rows: DataFrame, seq: str, path: str) -> None:
         """Rows of a range bucket go to one file, sorted, so that its statistics prune. Rebalancing lets small buckets
@@ -97,7 +114,7 @@ class Store:
                 if e.get("digest") != digest:
                     raise CommitConflict(f"batch {batch_id} came again with other contents")
                 return e["snapshot"], False
-        n = max((e["snapshot"] for e in log), default=0) + 1
+        n = self._taken + 1
         attempt = uuid.uuid4().hex
         wrote: dict[str, dict[str, str]] = {}
         for name, c in sorted(changes.items()):
@@ -162,17 +179,17 @@ class Store:
         return rows, tombs, keys, cleared
 
     def _read(self, parts: list[tuple[str, int]], schema: T.StructType, stamp: str) -> DataFrame:
-        """Parts with the snapshot that wrote them; a compacted part brings its own stamps."""
+        """Parts with the snapshot that wrote them, all in one scan: a part's folder names its snapshot. A compacted part
+        brings its own stamps and is a scan of its own."""
+        full = T.StructType([*schema.fields, T.StructField(stamp, T.LongType())])
         frames = []
-        for path, n in parts:
-            df = self.spark.read.schema(schema if n else T.StructType([*schema.fields, T.StructField("_begin", T.LongType())])).parquet(f"{self.root}/{path}")
-            frames.append((df.withColumn(stamp, F.lit(n).cast("bigint")) if n else df.withColumnRenamed("_begin", stamp)).select(*schema.fieldNames(), stamp))
-        if not frames:
-            return self.spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(stamp, T.LongType())]))
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionAll(f)
-        return out
+        if plain := [f"{self.root}/{path}" for path, n in parts if n]:
+            number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:begin|end)=([0-9]+)/[^/]*/[^/]*$", 1).cast("bigint")
+            frames.append(self.spark.read.schema(schema).parquet(*plain).select(*schema.fieldNames(), number.alias(stamp)))
+        if packed := [f"{self.root}/{path}" for path, n in parts if not n]:
+            own = T.StructType([*schema.fields, T.StructField("_begin", T.LongType())])
+            frames.append(self.spark.read.schema(own).parquet(*packed).withColumnRenamed("_begin", stamp).select(*full.fieldNames()))
+        return reduce(DataFrame.unionAll, frames) if frames else self.spark.createDataFrame([], full)
 
     def _spans(self, tombs_at: list[tuple[str, int]]) -> DataFrame:
         """Range tombstones, one row per range bucket they touch: (lo, hi, _e, _tb)."""
@@ -249,13 +266,15 @@ class Store:
     def compact(self, name: str) -> None:
         """Rewrite a table's live rows in few sorted files, begin stamps kept; versions before become unreadable."""
         version = self.current()
+        number = self._taken + 1
         schema, seq = self.tables[name]
         live = self._alive(name, version).select(*schema.fieldNames(), "_begin")
-        path = f"{name}/rows/compact={version + 1}/{uuid.uuid4().hex}"
+        path = f"{name}/rows/compact={number}/{uuid.uuid4().hex}"
         self._write(live, seq, path)
-        self._append_log({"snapshot": version + 1, "kind": "compact", "table": name, "rows": path, "upto": version, "floor": version + 1})
+        self._append_log({"snapshot": number, "kind": "compact", "table": name, "rows": path, "upto": version, "floor": number})
 
     def expire(self, before: int) -> None:
         """Versions below `before` can no longer be read; files stay."""
-        n = self.current()
-        self._append_log({"snapshot": n + 1, "kind": "expire", "floor": min(before, n + 1), "tables": {}})
+        self.log()
+        n = self._taken + 1
+        self._append_log({"snapshot": n, "kind": "expire", "floor": min(before, n), "tables": {}})

@@ -26,17 +26,29 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
 
 
 def work_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where unset (tests)."""
+    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, set here only where it is unset
+    and the master is local (tests); on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root.rstrip("/")
+        return _qualified(spark, root.rstrip("/"))
     known = spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="ledgerloom-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path without a scheme belongs to Spark's default file system."""
+    if "://" in path:
+        return path
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
@@ -50,12 +62,6 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    work_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once, so that functions in it can be imported there."""
     sc = spark.sparkContext

@@ -66,6 +66,26 @@ def test_second_writer_loses(spark):
         store._append_log({"snapshot": 1, "kind": "commit", "tables": {}})
 
 
+def test_an_unfinished_entry_is_no_commit(spark):
+    root = work_path(spark, "torn")
+    store = Store(spark, root, TABLES)
+    store.commit({"t": Change(rows=spark.createDataFrame([(1, "a")], S))})
+    store._fs.create(store._path("_log/000000000002.json"), False).close()
+    other = Store(spark, root, TABLES)
+    assert other.current() == 1 and rows(other.as_of("t")) == [(1, "a")]
+    assert other.commit({"t": Change(rows=spark.createDataFrame([(2, "b")], S))}) == (3, True)
+    assert rows(store.as_of("t")) == [(1, "a"), (2, "b")]
+
+
+def test_many_commits_are_one_scan(spark):
+    store = Store(spark, work_path(spark, "many"), TABLES, width=10)
+    for k in range(12):
+        store.commit({"t": Change(rows=spark.createDataFrame([(k, f"v{k}")], S).coalesce(1), clear=[(k - 5, k - 5)] if k > 8 else [])})
+    plan = store.as_of("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the rows, the tombstones
+    assert rows(store.as_of("t")) == [(k, f"v{k}") for k in (0, 1, 2, 3, 7, 8, 9, 10, 11)]
+
+
 def test_replica_incremental_and_full(spark):
     source, target = (Store(spark, work_path(spark, n), TABLES, width=10) for n in ("src", "dst"))
     source.commit({"t": Change(rows=spark.createDataFrame([(i, "a") for i in range(30)], S))})
