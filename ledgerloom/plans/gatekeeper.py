@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 import time
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,13 +89,40 @@ class Proposal:
         return low, low + width
 
 
-def confined(df: DataFrame) -> bool:
-    """The analysed plan is a deterministic query: no command, nothing that differs from run to run."""
+#: Plan leaves that hold no stored data.
+_CONSTANT = frozenset(("OneRowRelation", "LocalRelation", "CTERelationRef", "Range"))
+
+
+def _foreign(plan: object, allowed: set[str]) -> list[str]:
+    """Leaves of an analysed plan, subqueries among them, that are neither constants nor below one of the allowed views."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "View" and plan.desc().identifier().table().lower() in allowed:
+        return []
+    below = [*_items(plan.children()), *_items(plan.subqueries())]
+    if not below and kind not in _CONSTANT:
+        return [kind]
+    return [f for child in below for f in _foreign(child, allowed)]
+
+
+def _items(seq: object) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def confined(df: DataFrame, views: set[str]) -> bool:
+    """The analysed plan is a deterministic query that reads nothing but these views: no command, no other table or file,
+    nothing that differs from run to run."""
     plan = df._jdf.queryExecution().analyzed()
-    text = plan.toString()
-    return plan.deterministic() and "Command" not in plan.getClass().getSimpleName() and not re.search(r"current_timestamp|current_date|now\(|rand\(|uuid\(", text, re.IGNORECASE)
+    changing = re.search(r"current_timestamp|current_date|now\(|rand\(|uuid\(", plan.toString(), re.IGNORECASE)
+    return plan.deterministic() and "Command" not in plan.getClass().getSimpleName() and not changing and not _foreign(plan, {v.lower() for v in views})
+
+
+def _naming(sql: str, views: dict[str, str]) -> str:
+    """The query with names for views put before it as a WITH clause, so that runs in one session do not mix."""
+    names = ", ".join(f"{n} AS (SELECT * FROM {v})" for n, v in views.items())
+    return re.sub(r"\A\s*with\b", f"WITH {names}, ", sql, count=1, flags=re.IGNORECASE) if re.match(r"\s*with\b", sql, re.IGNORECASE) else f"WITH {names} {sql}"
 
 
+#: What a receipt has; fixed names, as other tools read receipts by them.
 RECEIPTS = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("promotion_id", "proposal_id", "proposal_hash", "agent_id")]
     + [T.StructField(n, T.LongType()) for n in ("source_snapshot_id", "start_ledger_exclusive", "end_ledger_inclusive")]
@@ -105,31 +133,40 @@ RECEIPTS = T.StructType(
 def run_gates(spark: SparkSession, store: Store, p: Proposal) -> tuple[DataFrame, list[tuple[str, bool]]]:
     """Build twice, compare, check invariants, replay a sample -> the candidate and all gates' results.
 
-    An invariant that is not exactly one boolean row is an error, not a failed gate.
+    Nothing is built where the transformation is not confined to the source. An invariant that reads anything but the
+    candidate and the source, or is not exactly one boolean row, is an error, not a failed gate.
     """
     p.validate()
     if p.snapshot > store.current():
         raise ValueError("the proposal pins a snapshot that does not exist yet")
-    source = store.as_of(p.source.split(".")[2], p.snapshot)
-    source.createOrReplaceTempView("source")
-
-    def build(low: int, high: int) -> DataFrame:
-        return spark.sql(p.transformation, args={"start_ledger": low, "end_ledger": high})
-
-    gates = [("confinement", confined(build(p.start, p.end)))]
-    if not gates[0][1]:
-        return build(p.start, p.end), gates
-    a, b = stage_table(build(p.start, p.end), "candidate-a"), stage_table(build(p.start, p.end), "candidate-b")
-    gates.append(("reproducibility", equal(a, b)))
-    a.createOrReplaceTempView("candidate")
-    for name, sql in p.invariants:
-        got = spark.sql(sql, args={"start_ledger": p.start, "end_ledger": p.end}).limit(2).collect()
-        if len(got) != 1 or len(got[0]) != 1 or not isinstance(got[0][0], bool):
-            raise ValueError(f"invariant {name} did not return one boolean row")
-        gates.append((f"reconciliation/{name}", got[0][0]))
-    low, high = p.replay_range()
-    gates.append(("replay", equal(stage_table(build(low, high), "replay-a"), stage_table(build(low, high), "replay-b"))))
-    return a, gates
+    views = {n: f"_{n}_{uuid.uuid4().hex}" for n in ("source", "candidate")}
+    store.as_of(p.source.split(".")[2], p.snapshot).createOrReplaceTempView(views["source"])
+
+    def ask(sql: str, low: int, high: int, *names: str) -> DataFrame:
+        return spark.sql(_naming(sql, {n: views[n] for n in names}), args={"start_ledger": low, "end_ledger": high})
+
+    try:
+        built = ask(p.transformation, p.start, p.end, "source")
+        gates = [("confinement", confined(built, {views["source"]}))]
+        if not gates[0][1]:
+            return built, gates
+        a, b = stage_table(built, "candidate-a"), stage_table(ask(p.transformation, p.start, p.end, "source"), "candidate-b")
+        gates.append(("reproducibility", equal(a, b)))
+        a.createOrReplaceTempView(views["candidate"])
+        for name, sql in p.invariants:
+            check = ask(sql, p.start, p.end, "source", "candidate")
+            if not confined(check, set(views.values())):
+                raise ValueError(f"invariant {name} reads more than the candidate and the source")
+            got = check.limit(2).collect()
+            if len(got) != 1 or len(got[0]) != 1 or not isinstance(got[0][0], bool):
+                raise ValueError(f"invariant {name} did not return one boolean row")
+            gates.append((f"reconciliation/{name}", got[0][0]))
+        low, high = p.replay_range()
+        gates.append(("replay", equal(*(stage_table(ask(p.transformation, low, high, "source"), f"replay-{x}") for x in "ab"))))
+        return a, gates
+    finally:
+        for v in views.values():
+            spark.catalog.dropTempView(v)
 
 
 def promote(spark: SparkSession, store: Store, p: Proposal) -> dict:

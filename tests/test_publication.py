@@ -54,3 +54,34 @@ def test_replay_range_is_inside():
     for end in (1, 5, 20, 1000):
         lo, hi = dataclasses.replace(P, end=end).replay_range()
         assert 0 <= lo < hi <= end and hi - lo == max(1, end // 10)
+
+
+REGION = "/root/testdata/sf0.001/region.parquet"
+
+
+@pytest.mark.parametrize("more", [
+    f"UNION ALL SELECT r_name, count(*) FROM parquet.`{REGION}` GROUP BY r_name",
+    f"HAVING count(*) > (SELECT min(r_regionkey) FROM parquet.`{REGION}`)",
+    f"HAVING k IN (SELECT r_name FROM parquet.`{REGION}` AS source)",
+    "UNION ALL SELECT name, 1 FROM other_table",
+])
+def test_other_data_is_refused(spark, store, more):
+    spark.createDataFrame([("x",)], "name string").createOrReplaceTempView("other_table")
+    with pytest.raises(G.Rejected) as e:
+        G.promote(spark, store, dataclasses.replace(P, transformation=f"{P.transformation} {more}"))
+    assert e.value.gates == [("confinement", False)] and store.current() == 1
+
+
+def test_invariants_are_confined(spark, store):
+    bad = f"SELECT count(*) > 0 FROM candidate CROSS JOIN parquet.`{REGION}`"
+    with pytest.raises(ValueError, match="reads more"):
+        G.promote(spark, store, dataclasses.replace(P, invariants=(("x", bad),)))
+
+
+def test_constants_and_clauses_are_allowed(spark, store):
+    sql = """WITH t AS (SELECT k, ledger FROM source WHERE ledger > :start_ledger AND ledger <= :end_ledger), names AS (SELECT * FROM VALUES ('k0'), ('k1') AS v(n))
+    SELECT k, count(*) AS n FROM t WHERE k IN (SELECT n FROM names) AND ledger <= (SELECT max(ledger) FROM source) GROUP BY k"""
+    both = ("both", "SELECT (SELECT sum(n) FROM candidate) <= count(*) FROM source")
+    G.promote(spark, store, dataclasses.replace(P, transformation=sql, invariants=(both,)))
+    assert {r["k"]: r["n"] for r in store.as_of("out").collect()} == {None: 1, "old": 2, "k0": 5, "k1": 6}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("_source", "_candidate"))]
