@@ -273,7 +273,7 @@ def replica_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A replica that saw version 1 in full and then only the changes up to version 3."""
     source = _history(spark, sf_dir)
     target = Store(spark, work_path(spark, "replica"), source.tables, width=1000)
-    target.commit({"orders": Change(rows=source.as_of("orders", 1)), "sync_checkpoints": Change(rows=spark.createDataFrame([("r", "c", "orders", 1, "ok", None)], replica.CHECKPOINTS))}, batch_id="seed")
+    target.commit({"orders": Change(rows=source.as_of("orders", 1)), "sync_checkpoints": Change(rows=spark.createDataFrame([("r", "c", "orders", 1, "ok", None, None)], replica.CHECKPOINTS))}, batch_id="seed")
     replica.sync(source, target, ["orders"], "r", "c")
     return target.as_of("orders")
 

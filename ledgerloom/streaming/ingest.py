@@ -2,31 +2,52 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerloom.operators.ranges import is_contiguous
+from ledgerloom.functions.columns import file_overlap
 from ledgerloom.plans.versioned import Change, CommitConflict, Store
 
 WATERMARKS = T.StructType([T.StructField("network_passphrase", T.StringType()), T.StructField("ledger_sequence", T.LongType())])
 RECEIPTS = T.StructType([T.StructField("network_passphrase", T.StringType()), T.StructField("batch_id", T.StringType()), T.StructField("ledger_start", T.LongType()), T.StructField("ledger_end", T.LongType()), T.StructField("ledger_count", T.LongType()), T.StructField("payload_sha256", T.StringType())])
 
 
+#: Optional tables: one row per committed ledger, and one per commit with what it took to prepare it.
+LEDGER_BATCHES = T.StructType([T.StructField("network_passphrase", T.StringType()), T.StructField("ledger_sequence", T.LongType()), T.StructField("batch_id", T.StringType()), T.StructField("row_count", T.LongType())])
+METRICS = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("ledger_start", T.LongType()), T.StructField("ledger_end", T.LongType()), T.StructField("ledgers", T.LongType()), T.StructField("rows", T.LongType()), T.StructField("bytes", T.LongType()), T.StructField("replayed", T.LongType()), T.StructField("prepare_ms", T.DoubleType())])
+
+
+def row_digest(df: DataFrame, names: list[str]) -> Column:
+    """Two hashes of a row as one exact number; nulls count, in their places."""
+    cells = [c for n in names for c in (F.col(n).isNull(), F.col(n))]
+    return F.xxhash64(F.lit(1), *cells).cast("decimal(38,0)") * F.lit(1 << 16) + F.pmod(F.xxhash64(F.lit(2), *cells), F.lit(1 << 16))
+
+
 def payload_digest(batch: DataFrame, seq: str) -> str:
-    """Order-free digest of a batch: per-row hashes combined by ledger, then over the sorted ledgers' digests by sums."""
-    row = F.sha2(F.to_json(F.struct(*sorted(batch.columns)), {"ignoreNullFields": "false"}), 256)
-    part = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
-    got = batch.agg(F.count("*").alias("n"), F.sum(part).alias("s"), F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()
-    import hashlib
+    """Order-free digest of a batch: its number of rows, the sum of their hashes and its bounds."""
+    got = batch.agg(F.count("*").alias("n"), F.sum(row_digest(batch, sorted(batch.columns))).alias("s"), F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()
+    return _hex(got)
+
 
+def _hex(got: Row) -> str:
     return hashlib.sha256(f"{got['n']}:{got['s']}:{got['lo']}:{got['hi']}".encode()).hexdigest()
 
 
+def declared_limits(totals: DataFrame, max_ledgers: int | None = None, max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """(keys of totals, problem) of batches or runs (ledgers, bytes, rows) beyond a limit, before anything is written."""
+    limits = {"ledgers": max_ledgers, "bytes": max_bytes, "rows": max_rows}
+    over = [F.when(F.col(c) > m, F.concat(F.lit(f"{c} "), F.col(c).cast("string"), F.lit(f" over {m}"))) for c, m in limits.items() if m is not None]
+    problem = F.array_join(F.array_compact(F.array(*over)), ", ") if over else F.lit("")
+    return totals.withColumn("problem", problem).where("problem <> ''").select(*[c for c in totals.columns if c not in limits], "problem")
+
+
 def high_watermark(store: Store, network: str) -> int | None:
     """The largest committed ledger of a network."""
     if not store.current():
@@ -44,47 +65,79 @@ def pinned_network(store: Store) -> str | None:
     return found[0] if found else None
 
 
-def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network: str, batch_id: str, contiguous: bool = False, max_ledgers: int | None = None, max_rows: int | None = None) -> tuple[int, bool]:
+def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network: str, batch_id: str, contiguous: bool = False, max_ledgers: int | None = None, max_rows: int | None = None, max_bytes: int | None = None, declared: dict[str, int] | None = None) -> tuple[int, bool]:
     """One batch of rows for several tables under one snapshot -> (snapshot, whether anything was written).
 
     A batch id seen before with the same contents does nothing, with others it is refused. Ledgers at or below the
-    watermark are replays: their old rows end in the same commit; fresh ledgers need no tombstones. With contiguous,
-    ledgers must be gapless and start right after the watermark (backfill); limits refuse a batch that is too large.
-    Each table's ledger is its range column in the store; seq only names it inside this function.
+    watermark are replays: their old rows end in the same commit, and so do receipts that overlap the replayed range;
+    fresh ledgers need no tombstones. With contiguous, ledgers must be gapless and start right after the watermark
+    (backfill); limits refuse a batch that is too large, and one that differs from what was declared (ledgers, rows,
+    bytes) is refused too. Bytes are those of the rows as JSON, counted only where they are asked for. Tables
+    ledger_batches and ingest_metrics are filled if the store has them. Each table's ledger is its range column in the
+    store; seq only names it inside this function.
     """
-    if not network.strip() or pinned_network(store) not in (None, network):
-        raise ValueError(f"this store belongs to network {pinned_network(store)!r}, not {network!r}")
-    keys = None
-    rows = 0
-    digests = []
+    began = time.monotonic()
+    pinned = pinned_network(store)
+    if not network.strip() or pinned not in (None, network.strip()):
+        raise ValueError(f"this store belongs to network {pinned!r}, not {network!r}")
+    network, spark = network.strip(), store.spark
+    weigh = max_bytes is not None or "ingest_metrics" in store.tables or "bytes" in (declared or {})
+    keys, digests = None, []
     for name, df in sorted(tables.items()):
-        only = df.select(F.col(store.tables[name][1]).cast("bigint").alias(seq))
-        keys = only if keys is None else keys.unionAll(only)
-        digests.append(payload_digest(df, store.tables[name][1]))
-    stats = keys.agg(F.count("*").alias("n"), F.count_if(F.col(seq).isNull()).alias("nulls")).first()
-    rows, ledgers = stats["n"], keys.distinct()
-    if stats["nulls"]:
-        raise ValueError(f"{stats['nulls']} rows have no {seq}")
-    if not rows:
-        return store.current(), False
-    bounds = ledgers.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count("*").alias("n"), is_contiguous(ledgers, seq).alias("ok")).first()
-    if (max_ledgers and bounds["n"] > max_ledgers) or (max_rows and rows > max_rows):
-        raise ValueError(f"a batch of {bounds['n']} ledgers and {rows} rows exceeds the limits")
-    digest = ":".join(digests)
-    for e in store.log():
-        if e.get("batch_id") == batch_id:
-            if e.get("digest") != digest:
-                raise CommitConflict(f"batch {batch_id} came again with other contents")
-            return e["snapshot"], False
-    mark = high_watermark(store, network)
-    if contiguous and (not bounds["ok"] or (mark is not None and bounds["lo"] != mark + 1)):
-        raise ValueError(f"ledgers {bounds['lo']} to {bounds['hi']} do not follow {mark} without gaps")
-    replayed = ledgers.where(F.col(seq) <= F.lit(mark)) if mark is not None and bounds["lo"] <= mark else None
-    spark = store.spark
-    changes = {n: Change(rows=df, clear_keys=None if replayed is None else replayed.select(F.col(seq).alias(store.tables[n][1]))) for n, df in tables.items()}
-    changes["ingest_watermarks"] = Change(rows=ledgers.select(F.lit(network).alias("network_passphrase"), F.col(seq).alias("ledger_sequence")), clear_keys=None if replayed is None else replayed.select(F.col(seq).alias("ledger_sequence")))
-    changes["receipts"] = Change(rows=spark.createDataFrame([(network, batch_id, bounds["lo"], bounds["hi"], bounds["n"], digest)], RECEIPTS))
-    return store.commit(changes, batch_id=batch_id, digest=digest)
+        own = store.tables[name][1]
+        size = F.octet_length(F.to_json(F.struct(*df.columns))) if weigh else F.lit(0)
+        # per ledger first: everything below needs one small row a ledger, or their sums
+        part = df.groupBy(F.col(own).cast("bigint").alias(seq)).agg(F.count("*").alias("n"), F.sum(row_digest(df, sorted(df.columns))).alias("s"), F.sum(size).cast("bigint").alias("b"))
+        part = part.withColumn("t", F.lit(name))
+        keys = part if keys is None else keys.unionAll(part)
+    keys = keys.persist()
+    try:
+        each = {r["t"]: r for r in keys.groupBy("t").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.sum("b").alias("b"), F.sum(F.when(F.col(seq).isNull(), F.col("n"))).alias("nulls")).collect()}
+        if nulls := sum(r["nulls"] or 0 for r in each.values()):
+            raise ValueError(f"{nulls} rows have no {seq}")
+        rows, weight = sum(r["n"] for r in each.values()), sum(r["b"] or 0 for r in each.values())
+        if not rows:
+            return store.current(), False
+        ledgers = keys.groupBy(seq).agg(F.sum("n").alias("n"))
+        bounds = ledgers.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count("*").alias("n")).first()
+        counts = {"ledgers": bounds["n"], "rows": rows, "bytes": weight}
+        for what, most in (("ledgers", max_ledgers), ("rows", max_rows), ("bytes", max_bytes)):
+            if most is not None and counts[what] > most:
+                raise ValueError(f"a batch of {counts[what]} {what} exceeds the limits")
+        if off := {k: v for k, v in (declared or {}).items() if counts[k] != v}:
+            raise ValueError(f"declared {off}, observed {counts}")
+        digest = ":".join(_hex(each[n]) if n in each else "" for n in sorted(tables))
+        for e in store.log():
+            if e.get("batch_id") == batch_id:
+                if e.get("digest") != digest:
+                    raise CommitConflict(f"batch {batch_id} came again with other contents")
+                return e["snapshot"], False
+        mark = high_watermark(store, network)
+        if contiguous and (bounds["hi"] - bounds["lo"] + 1 != bounds["n"] or (mark is not None and bounds["lo"] != mark + 1)):
+            raise ValueError(f"ledgers {bounds['lo']} to {bounds['hi']} do not follow {mark} without gaps")
+        again = ledgers.where(F.col(seq) <= F.lit(mark)).select(seq) if mark is not None and bounds["lo"] <= mark else None
+
+        def change(rows: DataFrame, own: str) -> Change:
+            return Change(rows=rows, clear_keys=None if again is None else again.select(F.col(seq).alias(own)))
+
+        changes = {n: change(df, store.tables[n][1]) for n, df in tables.items()}
+        marks = ledgers.select(F.lit(network).alias("network_passphrase"), F.col(seq).alias("ledger_sequence"), F.lit(batch_id).alias("batch_id"), F.col("n").alias("row_count"))
+        changes["ingest_watermarks"] = change(marks.select("network_passphrase", "ledger_sequence"), "ledger_sequence")
+        if "ledger_batches" in store.tables:
+            changes["ledger_batches"] = change(marks, "ledger_sequence")
+        receipt = spark.createDataFrame([(network, batch_id, bounds["lo"], bounds["hi"], bounds["n"], digest)], RECEIPTS)
+        stale = None
+        if again is not None:
+            overlap = (F.col("network_passphrase") == network) & file_overlap(F.col("ledger_start"), F.col("ledger_end"), bounds["lo"], min(bounds["hi"], mark))
+            stale = store.as_of("receipts").where(overlap).select("network_passphrase", "batch_id")
+        changes["receipts"] = Change(rows=receipt, clear_rows=stale)
+        if "ingest_metrics" in store.tables:
+            taken = again.count() if again is not None else 0
+            row = (batch_id, bounds["lo"], bounds["hi"], bounds["n"], rows, weight, taken, (time.monotonic() - began) * 1000)
+            changes["ingest_metrics"] = Change(rows=spark.createDataFrame([row], METRICS))
+        return store.commit(changes, batch_id=batch_id, digest=digest)
+    finally:
+        keys.unpersist()
 
 
 def stream_into(store: Store, stream: DataFrame, split: Callable[[DataFrame], dict[str, DataFrame]], seq: str, network: str, query: str, checkpoint: str, **limits: object):  # noqa: ANN201

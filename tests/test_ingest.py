@@ -29,6 +29,33 @@ def test_replays_receipts_and_limits(spark):
     assert store.as_of("ingest_watermarks").count() == 4 and ingest.high_watermark(store, "net") == 4
 
 
+def test_receipts_batches_and_metrics(spark):
+    tables = TABLES | {"ledger_batches": (ingest.LEDGER_BATCHES, "ledger_sequence"), "ingest_metrics": (ingest.METRICS, "ledger_start")}
+    store = Store(spark, work_path(spark, "full"), tables, width=10)
+    df = lambda *s: {"t": spark.createDataFrame([(x, "v") for x in s], S)}
+    put = lambda rows, i, **k: ingest.commit_batch(store, rows, "seq", " net ", i, **k)
+    put(df(1, 2, 3), "a")
+    put(df(4, 5), "b", declared={"ledgers": 2, "rows": 2})
+    put(df(3, 4, 4, 6), "c")  # replays 3 and 4: both receipts overlap
+    assert [r["batch_id"] for r in store.as_of("receipts").collect()] == ["c"]
+    assert sorted(map(tuple, store.as_of("ledger_batches").collect())) == [("net", 1, "a", 1), ("net", 2, "a", 1), ("net", 3, "c", 1), ("net", 4, "c", 2), ("net", 5, "b", 1), ("net", 6, "c", 1)]
+    told = {r["batch_id"]: r for r in store.as_of("ingest_metrics").collect()}
+    assert (told["c"]["ledgers"], told["c"]["rows"], told["c"]["replayed"], told["a"]["bytes"]) == (3, 4, 2, 3 * len('{"seq":1,"v":"v"}')) and told["a"]["prepare_ms"] > 0
+    with pytest.raises(ValueError, match="declared"):
+        put(df(7), "d", declared={"ledgers": 2})
+    with pytest.raises(ValueError, match="bytes exceeds"):
+        put(df(7, 8, 9), "d", max_bytes=40)
+    runs = spark.createDataFrame([("r1", 5, 100, 9), ("r2", 50, 10, 9)], "run string, ledgers long, bytes long, rows long")
+    assert list(map(tuple, ingest.declared_limits(runs, max_ledgers=10, max_bytes=1000).collect())) == [("r2", "ledgers 50 over 10")]
+
+
+def test_digests_see_places_and_nulls(spark):
+    of = lambda *rows: ingest.payload_digest(spark.createDataFrame(rows, "seq long, a string, b string"), "seq")
+    same = of((1, "x", None), (2, "y", "z"))
+    assert same == of((2, "y", "z"), (1, "x", None)) != of((1, None, "x"), (2, "y", "z"))
+    assert of((1, "x", None)) != of((1, "x", None), (1, "x", None))
+
+
 def test_stream_restart(spark):
     store = Store(spark, work_path(spark, "stream"), TABLES, width=10)
     src, offsets = work_path(spark, "in"), work_path(spark, "off")

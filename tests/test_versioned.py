@@ -103,5 +103,20 @@ def test_replica_incremental_and_full(spark):
     assert rows(target.as_of("t")) == rows(source.as_of("t"))
 
 
+def test_a_failing_table_keeps_its_mark(spark):
+    other = T.StructType([*S.fields, T.StructField("more", T.StringType())])
+    source = Store(spark, work_path(spark, "two"), {"t": (S, "seq"), "u": (S, "seq")}, width=10)
+    target = Store(spark, work_path(spark, "dst2"), {"u": (other, "seq")}, width=10)
+    source.commit({"t": Change(rows=spark.createDataFrame([(1, "a")], S)), "u": Change(rows=spark.createDataFrame([(1, "p w")], S))})
+    with pytest.raises(RuntimeError, match="unexpected"):
+        replica.sync(source, target, ["t", "u"], "r", "c", secrets=("more",))
+    marks = {r["source_table"]: r for r in target.as_of("sync_checkpoints").collect()}
+    assert (marks["t"]["last_snapshot_id"], marks["t"]["status"]) == (1, "ok") and rows(target.as_of("t")) == [(1, "a")]
+    assert (marks["u"]["last_snapshot_id"], marks["u"]["status"]) == (None, "error") and marks["u"]["error_message"] == "u: unexpected [REDACTED]"
+    target.tables["u"] = (S, "seq")
+    assert replica.sync(source, target, ["t", "u"], "r", "c") == {"t": "unchanged", "u": "incremental"}
+    assert rows(target.as_of("u")) == [(1, "p w")] and target.as_of("sync_checkpoints").count() == 2
+
+
 def test_drift_is_refused(spark):
     assert replica.column_drift(["a", "b"], ["b", "c"]) == "missing a; unexpected c"
