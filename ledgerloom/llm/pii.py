@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -189,10 +190,10 @@ def _mention_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def bootstrap(edges: DataFrame, ordinary: DataFrame, rounds: int = 3, least_score: float = 0.8, least_support: int = 5, prior: float = 1.0, doubt: float = 0.2) -> DataFrame:
     """(pattern, value, kind) graph edges, kind null for candidates, and (pattern, n) of ordinary uses -> (pattern,
-    score, kind) of the patterns trusted after some rounds.
+    score, kind, s, n) of the patterns trusted after some rounds.
 
     Each round scores a pattern by s / (s + ordinary uses + doubt * u + prior), where s sums its distinct values' scores
-    and u what they lack to one each, and a value by the best of its patterns (seeds keep 1). A word that stands before
+    and u what they lack to n, one each, and a value by the best of its patterns (seeds keep 1). A word that stands before
     anything at all is no context, however many seeds it has met; unseen identifiers speak little against one. A trusted
     pattern has least_score and least_support values; kind names
     what it finds (see LEARNED). All of it is grouped counts and equi-joins; hot patterns are pre-aggregated and their
@@ -205,14 +206,14 @@ def bootstrap(edges: DataFrame, ordinary: DataFrame, rounds: int = 3, least_scor
     for k in range(rounds):
         sums = graph.join(values, "value").groupBy("pattern").agg(F.sum("score").alias("s"), F.count("*").alias("n"))
         scored = sums.where(F.col("n") >= least_support).join(against, "pattern", "left").withColumn("p", F.col("s") / (F.col("s") + F.coalesce("ordinary", F.lit(0)) + F.lit(doubt) * (F.col("n") - F.col("s")) + F.lit(prior)))
-        patterns = stage_table(scored.where(F.col("p") >= least_score).select("pattern", "p"), "patterns")
+        patterns = stage_table(scored.where(F.col("p") >= least_score).select("pattern", "p", "s", "n"), "patterns")
         if k < rounds - 1:
-            best = graph.join(patterns, "pattern", "left").groupBy("value").agg(F.greatest(F.coalesce(F.max("p"), F.lit(0.0)), F.max(seed)).alias("score"))
+            best = graph.join(patterns.select("pattern", "p"), "pattern", "left").groupBy("value").agg(F.greatest(F.coalesce(F.max("p"), F.lit(0.0)), F.max(seed)).alias("score"))
             values = stage_table(best, "values")
-    kinds = graph.where("kind is not null").join(patterns, "pattern").groupBy("pattern", "p", "kind").agg(F.count("*").alias("n"))
+    kinds = graph.where("kind is not null").join(patterns.select("pattern", "p"), "pattern").groupBy("pattern", "p", "kind").agg(F.count("*").alias("n"))
     named = kinds.groupBy("pattern", "p").agg(F.max(F.struct("n", "kind")).alias("top"), F.sum("n").alias("n"))
     learned = F.when(F.col("top.n") >= ONE_KIND * F.col("n"), F.concat(F.lit(f"{LEARNED}_"), F.col("top.kind"))).otherwise(F.lit(LEARNED))
-    return patterns.join(named.select("pattern", learned.alias("kind")), "pattern", "left").select("pattern", F.col("p").alias("score"), F.coalesce("kind", F.lit(LEARNED)).alias("kind"))
+    return patterns.join(named.select("pattern", learned.alias("kind")), "pattern", "left").select("pattern", F.col("p").alias("score"), F.coalesce("kind", F.lit(LEARNED)).alias("kind"), "s", "n")
 
 
 def personal_data(docs: DataFrame, **settings: float) -> DataFrame:
@@ -221,11 +222,11 @@ def personal_data(docs: DataFrame, **settings: float) -> DataFrame:
     Base kinds are always there as found. Candidates (identifier-like tokens that no finder took) are added where a
     trusted pattern precedes them, of the best one's kind; seeds are the base kinds and well-formed secrets. Null texts
     are empty; repeated rows each get their row; an empty table gives an empty result; extra columns are ignored.
-    Mentions are staged, so texts are scanned once; only candidates, never texts, are shuffled.
+    Mentions are staged; docs is read once more to weigh contexts; only candidates, never texts, are shuffled.
     """
     ship_package(docs.sparkSession)
     found = _mentions(docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"))
-    return spans_of(found, trusted_patterns(found, **settings))
+    return spans_of(found, trusted_patterns(found, docs, **settings))
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
@@ -237,10 +238,52 @@ def _each(found: DataFrame) -> DataFrame:
     return found.where(F.size("starts") > 0).select("row_id", F.explode(F.arrays_zip("starts", "ends", "kinds", "entity", "patterns")).alias("m"))
 
 
-def trusted_patterns(found: DataFrame, **settings: float) -> DataFrame:
-    """Mentions -> (pattern, score, kind) by bootstrap()."""
-    edges = _each(found).select(F.explode("m.patterns").alias("pattern"), F.col("m.entity").alias("value"), F.col("m.kinds").alias("kind"))
-    return bootstrap(edges, found.select(F.explode("ordinary").alias("pattern", "n")), **settings)
+def _use_batches(batches: Iterator[pa.RecordBatch], patterns: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    """(pattern, n): how often each pattern stands before a word, or goes on inside one."""
+    two, glue = (any(p[0] == k for p in patterns) for k in "2k")
+    for b in batches:
+        n: Counter = Counter()
+        for t in b.column("text"):
+            words = [w if len(w) <= LONG_WORD else _Long(w, 0).upto(len(w)) for w in (t.as_py() or "").split()]
+            words = [w if w.startswith("sha256 ") else w.lower() for w in words]
+            n.update(p for w in words[:-1] if (p := "1:" + w) in patterns)
+            if two:
+                n.update(p for x, y in zip(words, words[1:-1], strict=False) if (p := f"2:{x} {y}") in patterns)
+            if glue:
+                n.update(p for w in words if "=" in w or ":" in w or "#" in w for m in _GLUE.finditer(w, 0, len(w) - 1) if (p := "k:" + w[: m.end()]) in patterns)
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["pattern", "n"])
+
+
+def pattern_uses(texts: DataFrame, patterns: DataFrame, at_once: int = 200_000) -> DataFrame:
+    """(pattern, n) over all texts. Patterns are broadcast in blocks of about at_once, each block in a pass of its own."""
+    spark = texts.sparkSession
+    blocks = max(1, -(-patterns.count() // at_once))
+    out = None
+    for k in range(blocks):
+        block = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k).select("pattern")
+        shared = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in block.collect()))
+
+        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            return _use_batches(batches, shared.value)
+
+        part = texts.select(F.col("text").cast("string")).mapInArrow(run, "pattern string, n long")
+        out = part if out is None else out.unionAll(part)
+    return out.groupBy("pattern").agg(F.sum("n").alias("n"))
+
+
+def trusted_patterns(found: DataFrame, texts: DataFrame, least_score: float = 0.8, prior: float = 1.0, doubt: float = 0.2, **settings: float) -> DataFrame:
+    """Mentions and the texts they are from -> (pattern, score, kind), stored.
+
+    bootstrap() knows the ordinary uses in texts with such a mention; what it trusts is then weighed by all its uses in
+    all texts, so that a word that met a few seeds by chance is left out.
+    """
+    uses = _each(found).select(F.explode("m.patterns").alias("pattern"), F.col("m.entity").alias("value"), F.col("m.kinds").alias("kind"))
+    first = stage_table(bootstrap(uses, found.select(F.explode("ordinary").alias("pattern", "n")), least_score=least_score, prior=prior, doubt=doubt, **settings), "provisional")
+    met = uses.join(first.select("pattern"), "pattern").groupBy("pattern").agg(F.count("*").alias("met"))
+    weighed = first.join(pattern_uses(texts, first).withColumnRenamed("n", "uses"), "pattern", "left").join(met, "pattern")
+    others = F.greatest(F.coalesce("uses", F.lit(0)) - F.col("met"), F.lit(0))
+    score = F.col("s") / (F.col("s") + others + F.lit(doubt) * (F.col("n") - F.col("s")) + F.lit(prior))
+    return stage_table(weighed.withColumn("score", score).where(F.col("score") >= least_score).select("pattern", "score", "kind"), "trusted")
 
 
 def spans_of(found: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -314,13 +357,13 @@ BROADCAST_PATTERNS = 200_000
 def masked(docs: DataFrame, broadcast_patterns: int = BROADCAST_PATTERNS, **settings: float) -> DataFrame:
     """The documents with personal data and secrets replaced by [KIND], and n_chars (if there) counted anew.
 
-    docs is read twice and must be a stored table. Few trusted patterns are broadcast and applied where the texts are,
+    docs is read three times and must be a stored table. Few trusted patterns are broadcast and applied where the texts are,
     so no text is shuffled; with more than broadcast_patterns the documents are stored with a number per row first, and
     their spans are joined on it. Null texts stay null, repeated rows stay, all other columns stay as they are.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    trusted = trusted_patterns(_mentions(docs.select(F.monotonically_increasing_id().alias("row_id"), F.lit(None).alias("doc_id"), "text")), **settings)
+    trusted = trusted_patterns(_mentions(docs.select(F.monotonically_increasing_id().alias("row_id"), F.lit(None).alias("doc_id"), "text")), docs, **settings)
     if trusted.count() <= broadcast_patterns:
         shared = spark.sparkContext.broadcast({r["pattern"]: (r["score"], r["kind"]) for r in trusted.collect()})
 

@@ -324,7 +324,7 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got)
     assert not any(pii.base_spans(texts[i][s:e]) for i, s, e, _ in want)  # no finder knows them
     found = pii._mentions(docs_of(spark, texts).withColumn("row_id", F.col("doc_id")))
-    trusted = {r["pattern"]: r["kind"] for r in pii.trusted_patterns(found).collect()}
+    trusted = {r["pattern"]: r["kind"] for r in pii.trusted_patterns(found, docs_of(spark, texts)).collect()}
     assert {"2:customer card:": "id_card", "k:staff-member#": "id_email"}.items() <= trusted.items() and not {"1:the", "1:der", "1:of", "1:and"} & set(trusted)
     # without the ordinary uses the function words would be contexts
     edges = pii._each(found).select(F.explode("m.patterns").alias("pattern"), F.col("m.entity").alias("value"), F.col("m.kinds").alias("kind"))
@@ -351,6 +351,16 @@ def test_ordinary_uses_against_the_plain_count(text):
     assert pii.ordinary_uses(text, found) == plain
 
 
+def test_a_chance_context_is_weighed_by_all_texts(spark):
+    """A word that stands once in each of eight texts, before a seed, but before other words in forty more."""
+    seeds = [f"so rarely user{i}@mail.org came, staff contact: u{i}@mail.org" for i in range(8)]
+    texts = [*seeds, *["it rarely rains here"] * 40, "he rarely saw AB-1234 there", "staff contact: ZQ-7781 is it"]
+    got = {r["doc_id"]: r["spans"] for r in pii.op3_pii(docs_of(spark, texts)).collect()}
+    assert got[48] == "" and got[49] == "id_email:15:22"
+    few = pii.pattern_uses(docs_of(spark, texts), spark.createDataFrame([("1:rarely",), ("2:staff contact:",), ("k:x=",)], "pattern string"), at_once=1)
+    assert {r["pattern"]: r["n"] for r in few.collect()} == {"1:rarely": 49, "2:staff contact:": 9}
+
+
 def test_masked_keeps_rows_and_columns(spark):
     rows = [(1, "mail a@b.org", 5, "x", 7), (1, "mail a@b.org", 5, "x", 7), (None, None, 0, "y", 8), (2, "", 0, "z", 9), (3, "secret: abcdefgh1234", 20, None, 10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, spans string, row_id long")
