@@ -124,7 +124,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius != RADIUS:
         raise ValueError("the segments are made for a radius of 4")
-    # each fingerprint becomes 67 index rows, so small inputs per task
+    # each fingerprint becomes 67 index rows, so small inputs per task, and neither side of the join is ever broadcast
     fps = fps.repartition(max(1, -(-fps.count() // PER_TASK)), "fp")
     variants = _variants(fps)
     plain = (F.shiftright("key", 22) % 64) == 0
@@ -142,7 +142,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         first = first | ((F.shiftright(a["key"], 28) == k) & ~earlier)
         earlier = earlier | here
     order = ((F.shiftright(a["key"], 22) % 64) != 0) | (F.col("u") < F.col("v"))
-    joined = a.join(b, (a["key"] == b["key"]) & order & first & (F.bit_count(x) <= radius)).select("u", "v")
+    joined = a.join(b.hint("merge"), (a["key"] == b["key"]) & order & first & (F.bit_count(x) <= radius)).select("u", "v")
     if not any_hot:
         return joined
     blocks = F.ceil(F.col("n") / TILE).cast("int")
