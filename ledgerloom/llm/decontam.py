@@ -143,7 +143,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def _print_batches(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
     """Adds n_words and the distinct fingerprints of each text's windows, for each number of words that items call for."""
-    for b in batches:
+    for b in (whole.slice(a, 1000) for whole in batches for a in range(0, whole.num_rows, 1000)):
         n_words, prints, upto = [], [], [0]
         for t in b.column("text"):
             _, _, _, h = _words(t.as_py())
