@@ -24,15 +24,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked fingerprints one row stays: that with the smallest doc_id (one that is null comes
-    last), the first of them where it repeats. Null and empty texts link to each other, so one of them stays."""
-    key, other = _fresh("row_key", docs.columns), _fresh("kept_key", docs.columns)
-    rows = stage_table(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
-    groups = simhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("k"), "component_id")
-    named = groups.join(rows.select(F.col(key).alias("k"), F.col("doc_id").cast("bigint").alias("d")), "k")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("d").isNull(), "d", "k")).alias("least"))
-    kept = stage_table(first.select(F.col("least.k").alias(other)), "kept")
-    return rows.join(kept, rows[key] == kept[other], "left_semi").drop(key)
+    """Of each component of linked fingerprints the document with the smallest doc_id stays. Rows that repeat that doc_id
+    are that document and stay with it; where all ids of a component are null its rows cannot be told apart and stay.
+    Null and empty texts link to each other, so one of them stays."""
+    kept, other = simhash.near_duplicates(docs).where("doc_id <=> component_id"), _fresh("kept_id", docs.columns)
+    kept = stage_table(kept.select(F.col("doc_id").alias(other)).distinct(), "kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[other]), "left_semi")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
