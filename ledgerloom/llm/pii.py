@@ -37,6 +37,9 @@ _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_@./:-]{3,}[A-Za-z0-9]")
 _QUOTES = "\"'([{<"
 _WORD = re.compile(r"\S+")
 _GLUE = re.compile(r"[=:#]")
+_SPACE = re.compile(r"\s")
+#: Characters, about, of a text that are split into words at once.
+PIECE = 1 << 18
 #: Words longer than this stand in patterns as a digest of all of them, so that patterns stay small.
 LONG_WORD = 64
 
@@ -158,18 +161,33 @@ def mentions(text: str) -> list[tuple[int, int, str | None, str, list[str]]]:
     return out
 
 
+def context_uses(text: str, patterns: frozenset[str] | Counter) -> Counter:
+    """How often each of the patterns stands in a text before a word, or goes on inside one. A long text is split into
+    words piece by piece."""
+    uses: Counter = Counter()
+    two, glue = (any(p[0] == k for p in patterns) for k in "2k")
+    before: list[str] = []
+    at = 0
+    while at < len(text):
+        edge = _SPACE.search(text, at + PIECE)
+        end = edge.start() if edge else len(text)
+        words = [w.lower() if len(w) <= LONG_WORD else _Long(w, 0).upto(len(w)) for w in text[at:end].split()]
+        at, new = end, words
+        words = before + words
+        uses.update(p for w in words[max(0, len(before) - 1) : -1] if (p := "1:" + w) in patterns)
+        if two:
+            uses.update(p for x, y in zip(words, words[1:-1], strict=False) if (p := f"2:{x} {y}") in patterns)
+        if glue:
+            uses.update(p for w in new if "=" in w or ":" in w or "#" in w for m in _GLUE.finditer(w, 0, len(w) - 1) if (p := "k:" + w[: m.end()]) in patterns)
+        before = words[-2:]
+    return uses
+
+
 def ordinary_uses(text: str, found: list[tuple[int, int, str | None, str, list[str]]]) -> dict[str, int]:
     """How often the context patterns of a text's mentions stand in it before something that is no mention."""
-    uses = Counter(p for m in found for p in m[4])
-    if not uses:
-        return {}
-    words = [w.lower() if len(w) <= LONG_WORD else _Long(w, 0).upto(len(w)) for w in text.split()]
-    seen = Counter("1:" + w for w in words[:-1] if "1:" + w in uses)
-    if any(p[0] == "2" for p in uses):
-        seen.update(p for a, b in zip(words, words[1:-1], strict=False) if (p := f"2:{a} {b}") in uses)
-    if any(p[0] == "k" for p in uses):
-        seen.update(p for w in words for m in _GLUE.finditer(w, 0, len(w) - 1) if (p := "k:" + w[: m.end()]) in uses)
-    return {p: n for p in uses if (n := seen[p] - uses[p]) > 0}
+    met = Counter(p for m in found for p in m[4])
+    uses = context_uses(text, met) if met else met
+    return {p: n for p in met if (n := uses[p] - met[p]) > 0}
 
 
 MENTIONS = "row_id long, doc_id long, starts array<int>, ends array<int>, kinds array<string>, entity array<string>, patterns array<array<string>>, ordinary map<string,bigint>"
@@ -239,18 +257,10 @@ def _each(found: DataFrame) -> DataFrame:
 
 
 def _use_batches(batches: Iterator[pa.RecordBatch], patterns: frozenset[str]) -> Iterator[pa.RecordBatch]:
-    """(pattern, n): how often each pattern stands before a word, or goes on inside one."""
-    two, glue = (any(p[0] == k for p in patterns) for k in "2k")
     for b in batches:
         n: Counter = Counter()
         for t in b.column("text"):
-            words = [w if len(w) <= LONG_WORD else _Long(w, 0).upto(len(w)) for w in (t.as_py() or "").split()]
-            words = [w if w.startswith("sha256 ") else w.lower() for w in words]
-            n.update(p for w in words[:-1] if (p := "1:" + w) in patterns)
-            if two:
-                n.update(p for x, y in zip(words, words[1:-1], strict=False) if (p := f"2:{x} {y}") in patterns)
-            if glue:
-                n.update(p for w in words if "=" in w or ":" in w or "#" in w for m in _GLUE.finditer(w, 0, len(w) - 1) if (p := "k:" + w[: m.end()]) in patterns)
+            n.update(context_uses(t.as_py() or "", patterns))
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["pattern", "n"])
 
 

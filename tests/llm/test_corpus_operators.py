@@ -332,8 +332,9 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from(["a", "the", "key:", "key:AB-123", "x=ZZ-9991", "x=", "x=plain", "AB-123", "12345", "u@v.org"]), max_size=12).map(" ".join))
-def test_ordinary_uses_against_the_plain_count(text):
+@given(st.lists(st.sampled_from(["a", "the", "key:", "key:AB-123", "x=ZZ-9991", "x=", "x=plain", "AB-123", "12345", "u@v.org"]), max_size=12).map(" ".join), st.integers(1, 40))
+def test_ordinary_uses_against_the_plain_count(text, piece):
+    pii.PIECE = piece
     found = pii.mentions(text)
     starts = {m[0] for m in found}
     plain = {}
@@ -349,6 +350,7 @@ def test_ordinary_uses_against_the_plain_count(text):
         if n > 0:
             plain[p] = n
     assert pii.ordinary_uses(text, found) == plain
+    pii.PIECE = 1 << 18
 
 
 def test_a_chance_context_is_weighed_by_all_texts(spark):
