@@ -125,7 +125,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius != RADIUS:
         raise ValueError("the segments are made for a radius of 4")
     # each fingerprint becomes 67 index rows, so small inputs per task, and neither side of the join is ever broadcast
-    fps = fps.repartition(max(1, -(-fps.count() // PER_TASK)), "fp")
+    fps = fps.repartition(max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // PER_TASK)), "fp")
     variants = _variants(fps)
     plain = (F.shiftright("key", 22) % 64) == 0
     probe = _variants(fps.where(F.pmod(F.xxhash64("fp"), F.lit(PROBE)) == 0))
