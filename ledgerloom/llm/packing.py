@@ -36,7 +36,7 @@ class Encoder(dict):
     other parts are encoded whole.
     """
 
-    def __init__(self, ranks_path: str | None = None, remember: int = 300_000) -> None:
+    def __init__(self, ranks_path: str | None = None, remember: int = 120_000) -> None:
         import public_tokenizers
         import tiktoken
 
