@@ -6,6 +6,7 @@ lineitem for operations and for watermarks with gaps. The operators take column
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -648,3 +649,63 @@ def corpus_scan_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high, a, b = _middle_half(spark, sf_dir)
     corpus.record_corpus(_orders(spark, sf_dir), path, "o_orderkey", max(500, -(-(high - low + 1) // 100)))
     return corpus.scan_corpus(spark, path, "o_orderkey bigint, o_orderstatus string, o_orderpriority string", "o_orderkey", a, b)
+
+
+@query(f"""SELECT gate, passed, n AS source_rows FROM (SELECT 'confinement' AS gate, true AS passed UNION ALL SELECT 'reproducibility', true UNION ALL SELECT 'replay', true UNION ALL SELECT 'foreign/confinement', false
+UNION ALL SELECT 'reconciliation/few_assets', (SELECT count(DISTINCT event_type) <= 2 FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM {_LAST} WHERE late))), (SELECT count(*) AS n FROM events)""")
+def gate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gates of a proposal with an invariant that does not hold, and of one that reads a file besides its source."""
+    _, start, end = _last_tenth(spark, sf_dir)
+    store, proposal = _silver(spark, sf_dir, start, end)
+    few = dataclasses.replace(proposal, invariants=(("few_assets", "SELECT count(DISTINCT asset) <= 2 FROM candidate"),))
+    foreign = dataclasses.replace(proposal, transformation=f"{proposal.transformation} UNION ALL SELECT r_name, current_date(), 1, 1 FROM parquet.`{sf_dir}/region.parquet`".replace("current_date()", "DATE '2024-01-01'"))
+    gates = gatekeeper.run_gates(spark, store, few)[1] + [(f"foreign/{n}", ok) for n, ok in gatekeeper.run_gates(spark, store, foreign)[1]]
+    return store.as_of("transfers").agg(F.count("*").alias("source_rows")).withColumn("g", F.explode(F.array(*[F.struct(F.lit(n).alias("gate"), F.lit(ok).alias("passed")) for n, ok in gates]))).select("g.*", "source_rows")
+
+
+@query(f"SELECT 'orders' AS source_table, CAST(3 AS BIGINT) AS last_snapshot_id, 'ok' AS status, count(*) AS target_rows FROM {_V2} WHERE o_orderkey % 50 <> 0 UNION ALL SELECT 'drifted', NULL, 'error', 0")
+def replica_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables to a new replica, one of which has other columns there: its checkpoint tells the error, the other is synced."""
+    source = _history(spark, sf_dir)
+    source.tables = source.tables | {"drifted": (_ORDERS, "o_orderkey")}
+    target = Store(spark, work_path(spark, "replica"), {"drifted": (T.StructType(_ORDERS.fields[:2]), "o_orderkey")}, width=1000)
+    try:
+        replica.sync(source, target, ["orders", "drifted"], "r", "c")
+    except RuntimeError:
+        counts = target.as_of("orders").agg(F.lit("orders").alias("source_table"), F.count("*").alias("n"))
+        marks = target.as_of("sync_checkpoints").select("source_table", "last_snapshot_id", "status")
+        return marks.join(counts, "source_table", "left").select("source_table", "last_snapshot_id", "status", F.coalesce("n", F.lit(0)).alias("target_rows"))
+    raise AssertionError("a table with other columns was synced")
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> Store:
+    """All ledgers in two batches, then the last quarter of them once more."""
+    tables = {"transfers": (_TRANSFERS, "ledger_sequence"), "ingest_watermarks": (ingest.WATERMARKS, "ledger_sequence"), "receipts": (ingest.RECEIPTS, "ledger_start"), "ledger_batches": (ingest.LEDGER_BATCHES, "ledger_sequence"), "ingest_metrics": (ingest.METRICS, "ledger_start")}
+    store = Store(spark, work_path(spark, "replayed"), tables)
+    rows = transfers(spark, sf_dir).select(*_TRANSFERS.fieldNames())
+    low, high = _span(rows, "ledger_sequence")
+    half, last = low + (high - low) // 2, high - (high - low) // 4
+    for name, a, b in (("first", low - 1, half), ("second", half, high), ("again", last, high)):
+        ingest.commit_batch(store, {"transfers": rows.where(C.half_open(F.col("ledger_sequence"), a, b))}, "ledger_sequence", "net", name)
+    return store
+
+
+_PARTS = "(SELECT event_id // 10 AS q, lo, lo + (hi - lo) // 2 AS half, hi - (hi - lo) // 4 AS last FROM events, (SELECT min(event_id // 10) AS lo, max(event_id // 10) AS hi FROM events))"
+
+
+@query(f"SELECT CASE WHEN q <= half THEN 'first' ELSE 'again' END AS batch_id, min(q) AS ledger_start, max(q) AS ledger_end, count(DISTINCT q) AS ledger_count FROM {_PARTS} WHERE q <= half OR q > last GROUP BY 1")
+def receipts_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay ends the receipts that overlap it."""
+    return _replayed(spark, sf_dir).as_of("receipts").select("batch_id", "ledger_start", "ledger_end", "ledger_count")
+
+
+@query(f"SELECT q AS ledger_sequence, CASE WHEN q <= half THEN 'first' WHEN q > last THEN 'again' ELSE 'second' END AS batch_id, count(*) AS row_count FROM {_PARTS} GROUP BY 1, 2")
+def ledger_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which batch each ledger's rows are from, and how many they are."""
+    return _replayed(spark, sf_dir).as_of("ledger_batches").select("ledger_sequence", "batch_id", "row_count")
+
+
+@query(f"""SELECT batch_id, count(DISTINCT q) AS ledgers, count(*) AS rows, CAST(count(DISTINCT CASE WHEN batch_id = 'again' THEN q END) AS BIGINT) AS replayed FROM
+(SELECT 'first' AS batch_id, q FROM {_PARTS} WHERE q <= half UNION ALL SELECT 'second', q FROM {_PARTS} WHERE q > half UNION ALL SELECT 'again', q FROM {_PARTS} WHERE q > last) GROUP BY 1""")
+def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replayed(spark, sf_dir).as_of("ingest_metrics").select("batch_id", "ledgers", "rows", "replayed")

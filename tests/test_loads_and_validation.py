@@ -91,7 +91,7 @@ def test_maintenance(spark):
     store = Store(spark, work_path(spark, "upkeep"), {"t": (S, "seq"), "sync_checkpoints": (replica.CHECKPOINTS, "last_snapshot_id")}, width=10)
     for i in range(3):
         store.commit({"t": Change(rows=spark.createDataFrame([(i, "a")], S))})
-    lagging = spark.createDataFrame([("r", "c", "t", 1, "ok", None)], replica.CHECKPOINTS)
+    lagging = spark.createDataFrame([("r", "c", "t", 1, "ok", None, None)], replica.CHECKPOINTS)
     with pytest.raises(ValueError, match="replica"):
         loads.maintain(store, retain=1, checkpoints=lagging)
     assert loads.maintain(store, retain=1) == {"expire": "2"}
