@@ -813,6 +813,25 @@ def test_every_language_is_known(spark, monkeypatch):
 # --- pipeline
 
 
+def test_near_duplicate_stage_rows(spark):
+    """Nulls, repeated ids, ties and a clashing column; whether Spark broadcasts what goes or not, the same rows stay."""
+    import corpus_pipeline
+
+    a, b = "one two three four five six", "other words stand in this text here"
+    rows = [(5, a), (3, a), (3, a), (None, a), (9, b), (9, a), (7, None), (8, ""), (None, "alone it has no other text like it"), (None, "alone it has no other text like it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("dropped_id", F.lit("x"))
+    want = sorted(map(str, [(3, a), (3, a), (7, None), (9, b), (9, a), *rows[-2:], (None, a)]))
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            out = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+            assert out.columns == docs.columns
+            assert sorted(str((r["doc_id"], r["text"])) for r in out.collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_against_the_stages_by_hand(spark):
     import corpus_pipeline
 
