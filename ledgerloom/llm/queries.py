@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, collocations, decontam, html, langid, media, packing, pii, simhash, toxicity, warc
+from ledgerloom.llm import chat, collocations, decontam, fim, html, langid, media, packing, pii, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat": lambda s, d: chat.op9_chat(_table(s, d, "conversations")),
         "op10_toxicity": lambda s, d: toxicity.op10_toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op11_collocations": lambda s, d: collocations.op11_collocations(_table(s, d, "documents")),
+        "op12_fim": lambda s, d: fim.op12_fim(_table(s, d, "documents")),
+        "op13_sharding": lambda s, d: sharding.op13_sharding(_table(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.OP1_SQL, "op7_decontamination": decontam.OP7_SQL, "op9_chat": chat.OP9_SQL, "op11_collocations": collocations.OP11_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op7_decontamination": decontam.OP7_SQL, "op9_chat": chat.OP9_SQL, "op11_collocations": collocations.OP11_SQL, "op12_fim": fim.OP12_SQL}
