@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Neighbouring places that share a group of the next level.
@@ -13,11 +13,6 @@ FANOUT = 4096
 LEVELS = 2
 
 
-def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of all the keys."""
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
 def carried(df: DataFrame, at: str, keys: list[str] | None = None, sums: tuple[str, ...] = (), maxes: tuple[str, ...] = (), levels: int = LEVELS) -> DataFrame:
     """One row per (keys, at), `at` a whole number -> the same rows with `<c>_before` for each column c: its sum (0 for
     none) or largest value (null for none) over all smaller places of the same keys.
@@ -29,14 +24,15 @@ def carried(df: DataFrame, at: str, keys: list[str] | None = None, sums: tuple[s
     keys = keys or []
     names = [*sums, *maxes]
     group = F.floor(F.col(at) / F.lit(FANOUT)).cast("bigint") if levels else F.col(at) * 0  # a key for the root too
-    rows = df.withColumn("_up", group)
-    before = Window.partitionBy(*keys, "_up").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    up = f"_up{levels}"
+    rows = df.withColumn(up, group)
+    before = Window.partitionBy(*keys, up).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     total = {c: (F.sum if c in sums else F.max)(c) for c in names}
     inside = rows.withColumns({f"{c}_before": f.over(before) for c, f in total.items()})
     if levels:
-        above = carried(rows.groupBy(*keys, "_up").agg(*(f.alias(c) for c, f in total.items())), "_up", keys, sums, maxes, levels - 1)
-        above = above.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_up").alias("_above"), *(F.col(f"{c}_before").alias(f"_{c}") for c in names))
-        met = reduce(lambda x, y: x & y, [inside[k].eqNullSafe(above[f"_k{i}"]) for i, k in enumerate(keys)], inside["_up"] == above["_above"])
+        above = carried(rows.groupBy(*keys, up).agg(*(f.alias(c) for c, f in total.items())), up, keys, sums, maxes, levels - 1)
+        above = above.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col(up).alias("_above"), *(F.col(f"{c}_before").alias(f"_{c}") for c in names))
+        met = reduce(lambda x, y: x & y, [inside[k].eqNullSafe(above[f"_k{i}"]) for i, k in enumerate(keys)], inside[up] == above["_above"])
         inside = inside.join(above, met)
         both = {c: (F.coalesce(f"{c}_before", F.lit(0)) + F.col(f"_{c}")) if c in sums else F.greatest(f"{c}_before", f"_{c}") for c in names}
     else:
