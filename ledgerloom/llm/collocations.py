@@ -17,9 +17,9 @@ from ledgerloom.session import ship_package, stage_table
 #: Words of the longest phrase, occurrences that a candidate needs, and phrases that a language's report has.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Words that a shard indexes at once; a task makes as many shards as its rows need.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 #: Bytes of text that are cut into words at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Rows that a task hands on at once.
 CHUNK = 50_000
 #: Bits of a filter of frequent words or pairs, at most (32 MB); a fuller filter lets more rare phrases through to be
@@ -76,10 +76,10 @@ def _portions(words: pa.Array, lens: np.ndarray, langs: np.ndarray, most: int) -
 def _order(seq: np.ndarray, depth: int) -> np.ndarray:
     """Positions of a circular sequence, sorted by the depth symbols from each on: patterns up to that length have one
     interval each, and ties stand by position."""
-    rank, have = seq.astype(np.int64), 1
+    rank, have = seq.astype(np.int32), 1
     while True:
         step = min(have, depth - have)
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
+        key = rank * np.int64(int(rank.max()) + 1) + np.roll(rank, -step)
         order = np.argsort(key, kind="stable")
         have += step
         if have >= depth:
@@ -107,7 +107,7 @@ def _shard(sign: int, words: pa.Array, lens: np.ndarray, langs: np.ndarray, name
     v = len(coded.dictionary)
     code = np.repeat(langs.astype(np.int64), lens) * v + coded.indices.to_numpy(zero_copy_only=False)
     kinds, ids = np.unique(code, return_inverse=True)
-    seq = np.zeros(len(ids) + len(lens), np.int64)
+    seq = np.zeros(len(ids) + len(lens), np.int32)
     seq[np.arange(len(ids)) + np.repeat(np.arange(1, len(lens) + 1), lens)] = ids + 1
     bwts = [_pack(s[_order(s, LONGEST) - 1]) for s in (seq, seq[::-1].copy())]
     lang_of = kinds // v
@@ -183,9 +183,9 @@ class _Side:
 
     def __init__(self, bwt: np.ndarray):
         self.bwt = bwt
-        self.edges = np.concatenate((np.zeros(1, np.int64), np.cumsum(bwt == 0)))
-        self.to = np.empty(len(bwt), np.int64)
-        self.to[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+        self.edges = np.concatenate((np.zeros(1, np.int32), np.cumsum(bwt == 0, dtype=np.int32)))
+        self.to = np.empty(len(bwt), np.int32)
+        self.to[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
 
     def neighbours(self, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
         return size - (self.edges[lo + size] - self.edges[lo])
@@ -195,10 +195,10 @@ def _extend(side: _Side, lo: np.ndarray, size: np.ndarray, other: np.ndarray) ->
     """Every extension of the intervals by one symbol: (interval, symbol, its start in this direction, its size, its start in
     the other direction, which moves by the symbols that sort before it)."""
     begin = np.cumsum(size) - size
-    of = np.repeat(np.arange(len(lo)), size)
-    rows = np.arange(len(of)) + (lo - begin)[of]
-    symbol = side.bwt[rows].astype(np.int64)
-    key = of * (int(symbol.max(initial=0)) + 1) + symbol
+    of = np.repeat(np.arange(len(lo), dtype=np.int32), size)
+    rows = np.arange(len(of), dtype=np.int32) + (lo - begin).astype(np.int32)[of]
+    symbol = side.bwt[rows]
+    key = of * np.int64(int(symbol.max(initial=0)) + 1) + symbol
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
