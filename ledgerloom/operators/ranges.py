@@ -1,6 +1,7 @@
 """Sequence ranges: gaps, contiguity, duplicates, packing and splitting.
 
-Windows are never over a whole table: they run inside range buckets, and one row per bucket stitches the edges.
+Windows are never over a whole table: they run inside range buckets, and what comes before a bucket is carried down a tree of
+groups of buckets (`prefix.carried`).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import RANGE_WIDTH, range_bucket
+from ledgerloom.operators.prefix import carried
 
 
 def neighbours(df: DataFrame, seq: str, keys: list[str] | None = None, width: int = RANGE_WIDTH) -> DataFrame:
@@ -19,7 +21,7 @@ def neighbours(df: DataFrame, seq: str, keys: list[str] | None = None, width: in
     keys = keys or []
     rows = df.where(F.col(seq).isNotNull()).select(*keys, F.col(seq).cast("bigint").alias(seq)).distinct().withColumn("_b", range_bucket(F.col(seq), width))
     edges = rows.groupBy(*keys, "_b").agg(F.max(seq).alias("_top"))
-    edges = edges.select(*keys, "_b", F.lag("_top").over(Window.partitionBy(*keys).orderBy("_b")).alias("_before"))
+    edges = carried(edges, "_b", keys, maxes=("_top",)).select(*keys, "_b", F.col("_top_before").alias("_before"))
     inside = rows.withColumn("_prev", F.lag(seq).over(Window.partitionBy(*keys, "_b").orderBy(seq)))
     same = [inside[k].eqNullSafe(edges[k]) for k in [*keys, "_b"]]
     cond = same[0]
@@ -71,31 +73,6 @@ def continuity_report(df: DataFrame, seq: str, keys: list[str], width: int = RAN
     )
 
 
-def pack_microbatches(sizes: DataFrame, shard: str, seq: str, size_bytes: str, rows: str, max_ledgers: int, max_bytes: int, max_rows: int) -> DataFrame:
-    """Greedy contiguous batches per shard: (shard, batch, ledger_start, ledger_end, ledgers, bytes, rows).
-
-    The first ledger that does not fit opens the next batch; one too large on its own, or a hole inside a shard, is an
-    error. Sequential by nature, hence per shard: a fold over the shard's sorted (ledger, bytes, rows) triples, which
-    is small since there is one per ledger of a bounded shard.
-    """
-    item = F.struct(F.col(seq).cast("bigint").alias("s"), F.col(size_bytes).cast("bigint").alias("b"), F.col(rows).cast("bigint").alias("r"))
-    lists = sizes.groupBy(shard).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    batch = "struct<lo:bigint,hi:bigint,n:bigint,b:bigint,r:bigint>"
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        fits = F.coalesce((last["n"] + 1 <= max_ledgers) & (last["b"] + x["b"] <= max_bytes) & (last["r"] + x["r"] <= max_rows), F.lit(False))
-        grown = F.struct(last["lo"].alias("lo"), x["s"].alias("hi"), (last["n"] + 1).alias("n"), (last["b"] + x["b"]).alias("b"), (last["r"] + x["r"]).alias("r"))
-        fresh = F.struct(x["s"].alias("lo"), x["s"].alias("hi"), F.lit(1).cast("bigint").alias("n"), x["b"].alias("b"), x["r"].alias("r"))
-        too_large = (x["b"] > max_bytes) | (x["r"] > max_rows)
-        added = F.when(fits, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc, F.array(fresh)))
-        checked = F.when(too_large, F.raise_error(F.lit("a single ledger exceeds the batch limits")).cast(f"array<{batch}>")).otherwise(added)
-        return F.when(last["hi"] + 1 != x["s"], F.raise_error(F.lit("ledgers of a shard are not contiguous")).cast(f"array<{batch}>")).otherwise(checked)
-
-    packed = lists.select(shard, F.posexplode(F.aggregate("items", F.array().cast(f"array<{batch}>"), step)).alias("batch", "x"))
-    return packed.select(shard, F.col("batch").cast("bigint"), F.col("x.lo").alias("ledger_start"), F.col("x.hi").alias("ledger_end"), F.col("x.n").alias("ledgers"), F.col("x.b").alias("bytes"), F.col("x.r").alias("rows"))
-
-
 def split_half_open(df: DataFrame, low: str, high: str, size: int) -> DataFrame:
     """Rows with bounds (low, high] -> one row per chunk (chunk_start, chunk_end]; an empty range gives one empty chunk."""
     starts = F.when(F.col(high) > F.col(low), F.sequence(F.col(low), F.col(high) - 1, F.lit(size).cast("bigint"))).otherwise(F.array(low))
@@ -117,13 +94,19 @@ def shard_split(df: DataFrame, low: str, high: str, shards: int) -> DataFrame:
     return out.withColumn("shard_start", (F.col(low) + k * base + F.least(k, extra)).cast("bigint")).withColumn("shard_end", (F.col("shard_start") + base + F.when(k < extra, 0).otherwise(-1)).cast("bigint"))
 
 
-def coverage_violations(entries: DataFrame, start: str, end: str, low: int, high: int) -> DataFrame:
+def coverage_violations(entries: DataFrame, start: str, end: str, low: int, high: int, width: int = RANGE_WIDTH) -> DataFrame:
     """(start, end, problem) of manifest entries that do not cover [low, high] end to end.
 
-    Entries are one row per file or shard, already reduced; their order is checked by one window over them.
+    Entries are ordered inside range buckets of their start; the last entry before a bucket and the first one after it are
+    carried to it. Null bounds are an error of their own.
     """
-    order = Window.orderBy(start, end)
-    e = entries.select(start, end).withColumn("_prev", F.lag(end).over(order)).withColumn("_next", F.lead(start).over(order))
+    e = entries.select(start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_b", range_bucket(F.col(start), width))
+    order = Window.partitionBy("_b").orderBy(start, end)
+    edges = e.groupBy("_b").agg(F.max(F.struct(F.col(start).alias("s"), F.col(end).alias("e"))).alias("_last"), F.max(-F.col(start)).alias("_first"))
+    before = carried(edges, "_b", maxes=("_last",)).select("_b", F.col("_last_before")["e"].alias("_before"))
+    after = carried(edges.select((-F.col("_b")).alias("_b"), "_first"), "_b", maxes=("_first",)).select((-F.col("_b")).alias("_b"), (-F.col("_first_before")).alias("_after"))
+    near = e.withColumn("_p", F.lag(end).over(order)).withColumn("_n", F.lead(start).over(order)).join(before, "_b").join(after, "_b")
+    near = near.withColumns({"_prev": F.coalesce("_p", "_before"), "_next": F.coalesce("_n", "_after")})
     problem = (
         F.when(F.col(end) < F.col(start), "ends before it starts")
         .when(F.col("_prev").isNull() & (F.col(start) != low), "does not start the range")
@@ -131,7 +114,17 @@ def coverage_violations(entries: DataFrame, start: str, end: str, low: int, high
         .when(F.col(start) <= F.col("_prev"), "overlaps")
         .when(F.col("_next").isNull() & (F.col(end) != high), "does not end the range")
     )
-    return e.withColumn("problem", problem).where(F.col("problem").isNotNull()).select(start, end, "problem")
+    found = near.withColumn("problem", problem).where(F.col("problem").isNotNull()).select(start, end, "problem")
+    return found.unionAll(entries.where(F.col(start).isNull() | F.col(end).isNull()).select(start, end, F.lit("has no bounds").alias("problem")))
+
+
+def batch_violations(df: DataFrame, seq: str, network: str, width: int = RANGE_WIDTH) -> DataFrame:
+    """(seq, problem) of a batch that must be one run of ledgers, each once, of the first ledger's network (null is none)."""
+    copies = df.where(F.col(seq).isNotNull()).groupBy(seq).agg(F.count("*").alias("_n")).where("_n > 1").select(seq, F.lit("repeated").alias("problem"))
+    holes = contiguity_violations(df, seq, width=width).select(seq, F.lit("does not follow").alias("problem"))
+    first = df.agg(F.min_by(network, seq).alias("_network"))  # one row
+    other = df.join(F.broadcast(first), ~F.col(network).eqNullSafe(F.col("_network")) | F.col(network).isNull()).where(F.col(seq).isNotNull()).select(seq, F.lit("another network").alias("problem")).distinct()
+    return copies.unionAll(holes).unionAll(other).unionAll(df.where(F.col(seq).isNull()).select(seq, F.lit("no ledger").alias("problem")).distinct())
 
 
 def range_descriptors(rows: DataFrame, group: str, seq: str, payload: str) -> DataFrame:
@@ -158,7 +151,7 @@ def take_after(df: DataFrame, seq: str, offset: int, count: int, width: int = RA
     """
     ledgers = df.where(F.col(seq).isNotNull()).select(F.col(seq).cast("bigint").alias("s")).distinct().withColumn("b", range_bucket(F.col("s"), width))
     sizes = ledgers.groupBy("b").agg(F.count("*").alias("n"))
-    ends = sizes.withColumn("upto", F.sum("n").over(Window.orderBy("b"))).withColumn("before", F.col("upto") - F.col("n"))
+    ends = carried(sizes, "b", sums=("n",)).select("b", F.col("n_before").alias("before"), (F.col("n_before") + F.col("n")).alias("upto"))
     bounds = []
     for place in (offset + 1, offset + count):
         at = ends.where((F.col("before") < place) & (F.col("upto") >= place)).first()

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import INDEX_WIDTH, exact_amount, half_open, index_bucket
+from ledgerloom.operators.quantiles import histogram, histogram_quantile, merged, with_quantiles
+
+#: Bounds of the ingest latency histogram, in seconds.
+LATENCY_BOUNDS = [0.01, 0.025, 0.05, 0.075, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.75, 1.0, 2.0, 5.0, 10.0]
 
 
 def asset_daily_volume(transfers: DataFrame, seq: str, asset: str, sender: str, amount: str, at: str, scale: int = 18) -> DataFrame:
@@ -47,9 +51,11 @@ def contract_events_index(events: DataFrame, start: int, end: int, width: int =
 
 
 def latency_summary(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
-    """count, min, nearest-rank median, p95 and p99, max and mean of a latency."""
-    ranks = [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {value})").alias(n) for q, n in ((0.5, "median"), (0.95, "p95"), (0.99, "p99"))]
-    return df.groupBy(*(keys or [])).agg(F.count(value).alias("n"), F.min(value).alias("min"), *ranks, F.max(value).alias("max"), F.round(F.avg(value), 6).alias("mean"))
+    """count, min, nearest-rank median, p95 and p99, max and mean of a latency; a hot key's values are never in one task."""
+    keys = keys or []
+    sums = df.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.round(F.avg(value), 6).alias("mean"))
+    ranks = {"median": 0.5, "p95": 0.95, "p99": 0.99}
+    return with_quantiles(sums, df, value, ranks, keys).select(*keys, "n", "min", *ranks, "max", "mean")
 
 
 def run_rollup(workers: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,11 +75,20 @@ def phase_reconcile(df: DataFrame, keys: list[str], phases: list[str], total: st
 
 def windowed_p99(df: DataFrame, at: str, value: str, window: str = "15 minutes", threshold: float | None = None) -> DataFrame:
     """Per window: count and exact p99; with a threshold only windows above it (alerts)."""
-    out = df.groupBy(F.window(at, window).alias("w")).agg(F.count("*").alias("n"), F.expr(f"percentile_disc(0.99) WITHIN GROUP (ORDER BY {value})").alias("p99"))
-    out = out.select(F.col("w.start").alias("window_start"), "n", "p99")
+    rows = df.where(F.col(at).isNotNull()).select(F.window(at, window)["start"].alias("window_start"), F.col(value).alias("_v"))
+    out = with_quantiles(rows.groupBy("window_start").agg(F.count("*").alias("n")), rows, "_v", {"p99": 0.99}, ["window_start"])
     return out if threshold is None else out.where(F.col("p99") > threshold)
 
 
+def windowed_histogram_p99(df: DataFrame, at: str, value: str, bounds: list[float] = LATENCY_BOUNDS, window: str = "15 minutes", step: str = "5 minutes", keys: list[str] | None = None) -> DataFrame:
+    """(window_start, n, p99) as a monitor tells it: bucket counts per step, summed over keys and over the steps of each window."""
+    keys = keys or []
+    rows = df.where(F.col(at).isNotNull()).select(*keys, F.window(at, step)["start"].alias("_step"), F.col(value).alias("_v"))
+    each = histogram(rows, "_v", bounds, [*keys, "_step"])
+    whole = merged(each.withColumn("window_start", F.window("_step", window)["start"]), ["window_start"])
+    return histogram_quantile(whole, 0.99, ["window_start"], "p99")
+
+
 def table_counts_match(source: DataFrame, output: DataFrame, name: str) -> DataFrame:
     """Tables whose row counts differ between source and output, also those on one side only."""
     a, b = source.groupBy(name).agg(F.count("*").alias("a")), output.groupBy(name).agg(F.count("*").alias("b"))

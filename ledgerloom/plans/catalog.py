@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import columns as C
-from ledgerloom.operators import mutations, parity, ranges, rollups, validation
+from ledgerloom.operators import batching, mutations, parity, ranges, rollups, validation
 from ledgerloom.plans import gatekeeper, loads, replica
 from ledgerloom.plans.versioned import Change, Store
 from ledgerloom.session import stage_table, work_path
@@ -284,16 +284,62 @@ def latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.latest_row(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], "event_id")
 
 
-@query("""WITH RECURSIVE s AS (SELECT event_id // 10 // 20 AS shard, event_id // 10 AS q, CAST(sum(length(props) + user_id % 100) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1, 2),
-p AS (SELECT shard, q, b, r, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS an, b AS ab, r AS ar FROM s WHERE q = shard * 20
-UNION ALL SELECT s.shard, s.q, s.b, s.r, batch + CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN 0 ELSE 1 END,
-CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN an + 1 ELSE 1 END, CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN ab + s.b ELSE s.b END, CASE WHEN an < 7 AND ab + s.b <= 3000 AND ar + s.r <= 60 THEN ar + s.r ELSE s.r END
+def _packed_sql(shard: str, first: str, most: int, size: int, rows: int) -> str:
+    fits = f"an < {most} AND ab + s.b <= {size} AND ar + s.r <= {rows}"
+    return f"""WITH RECURSIVE s AS (SELECT {shard} AS shard, event_id // 10 AS q, CAST(sum(strlen(props)) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1, 2),
+p AS (SELECT shard, q, b, r, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS an, b AS ab, r AS ar FROM s WHERE q = {first}
+UNION ALL SELECT s.shard, s.q, s.b, s.r, batch + CASE WHEN {fits} THEN 0 ELSE 1 END, CASE WHEN {fits} THEN an + 1 ELSE 1 END, CASE WHEN {fits} THEN ab + s.b ELSE s.b END, CASE WHEN {fits} THEN ar + s.r ELSE s.r END
 FROM p JOIN s ON s.shard = p.shard AND s.q = p.q + 1)
-SELECT shard, batch, min(q) AS ledger_start, max(q) AS ledger_end, count(*) AS ledgers, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(r) AS BIGINT) AS rows FROM p GROUP BY 1, 2""")
-def microbatch_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+SELECT shard, batch, min(q) AS ledger_start, max(q) AS ledger_end, count(*) AS ledgers, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(r) AS BIGINT) AS rows FROM p GROUP BY 1, 2"""
+
+
+def _ledger_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(q, b, r): each ledger's bytes of payload and rows."""
     e = table(spark, sf_dir, "events").withColumn("q", F.floor(F.col("event_id") / 10).cast("bigint"))
-    sizes = e.groupBy(F.floor(F.col("q") / 20).cast("bigint").alias("shard"), "q").agg(F.sum(F.length("props") + F.col("user_id") % 100).alias("b"), F.count("*").alias("r"))
-    return ranges.pack_microbatches(sizes, "shard", "q", "b", "r", max_ledgers=7, max_bytes=3000, max_rows=60)
+    return e.groupBy("q").agg(F.sum(F.octet_length("props")).cast("bigint").alias("b"), F.count("*").alias("r"))
+
+
+@query(_packed_sql("event_id // 10 // 20", "shard * 20", 7, 600, 65))
+def microbatch_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small shards: a block each."""
+    sizes = _ledger_sizes(spark, sf_dir).withColumn("shard", F.floor(F.col("q") / 20).cast("bigint"))
+    return batching.pack_microbatches(sizes, "shard", "q", "b", "r", max_ledgers=7, max_bytes=600, max_rows=65)
+
+
+@query(_packed_sql("CAST(0 AS BIGINT)", "(SELECT min(event_id // 10) FROM events)", 50, 3000, 400))
+def microbatch_pack_one_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table is one shard, in blocks of 64 ledgers joined by pointer jumping."""
+    return batching.pack_microbatches(_ledger_sizes(spark, sf_dir).withColumn("shard", F.lit(0).cast("bigint")), "shard", "q", "b", "r", max_ledgers=50, max_bytes=3000, max_rows=400, block=64)
+
+
+@query("SELECT event_id // 10 AS q, CAST(sum(strlen(props)) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1 HAVING sum(strlen(props)) > 92 OR count(*) > 9")
+def oversized_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.oversized(_ledger_sizes(spark, sf_dir), "b", "r", 92, 9)
+
+
+@query("""WITH f AS (SELECT min_by(event_type, event_id) AS w FROM events), l AS (SELECT event_id, event_type FROM events WHERE value < 90),
+g AS (SELECT event_id, lag(event_id) OVER (ORDER BY event_id) AS p FROM (SELECT DISTINCT event_id FROM l))
+SELECT event_id, 'does not follow' AS problem FROM g WHERE event_id <> p + 1
+UNION ALL SELECT DISTINCT event_id, 'another network' FROM l WHERE event_type <> (SELECT min_by(event_type, event_id) FROM l)
+UNION ALL SELECT event_id, 'repeated' FROM l GROUP BY 1 HAVING count(*) > 1""")
+def batch_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as ledgers, their type as the network; those of 90 and more are missing."""
+    return ranges.batch_violations(table(spark, sf_dir, "events").where("value < 90"), "event_id", "event_type", width=1000)
+
+
+_EDGES = "[0.01, 0.025, 0.05, 0.075, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.75, 1.0, 2.0, 5.0, 10.0, CAST('inf' AS DOUBLE)]"
+
+
+@query(f"""WITH e AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, value / 100 AS v FROM events),
+b AS (SELECT DISTINCT window_start, le FROM e, (SELECT unnest({_EDGES}) AS le)),
+h AS (SELECT b.window_start, le, count(v) FILTER (v <= le) AS n FROM b JOIN e USING (window_start) GROUP BY ALL),
+o AS (SELECT *, coalesce(lag(n) OVER w, 0) AS below, lag(le) OVER w AS f, max(n) OVER (PARTITION BY window_start) AS total FROM h WINDOW w AS (PARTITION BY window_start ORDER BY le))
+SELECT window_start, total AS n, round(CASE WHEN isinf(le) THEN f ELSE coalesce(f, 0) + (le - coalesce(f, 0)) * ((total * 0.99::DOUBLE - below) / (n - below)) END, 6) AS p99
+FROM o WHERE n >= total * 0.99::DOUBLE AND (below < total * 0.99::DOUBLE OR f IS NULL)""")
+def histogram_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("ts", "event_type", (F.col("value") / 100).alias("v"))
+    out = rollups.windowed_histogram_p99(e, "ts", "v", window="6 hours", step="1 hour", keys=["event_type"])
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("p99", 6).alias("p99"))
 
 
 _BOUNDS = "(SELECT o_orderstatus, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders GROUP BY 1)"

@@ -2,9 +2,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 import pytest
 
-from ledgerloom.operators import ranges
+from ledgerloom.operators import batching, ranges
 
-few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @few
@@ -32,14 +32,14 @@ def greedy(items, most):
 def test_packing_model(spark, sizes):
     items = [(i, b, r) for i, (b, r) in enumerate(sizes)]
     df = spark.createDataFrame([("a", *x) for x in items], "shard string, seq long, b long, r long")
-    got = ranges.pack_microbatches(df, "shard", "seq", "b", "r", 4, 20, 15).orderBy("batch").collect()
+    got = batching.pack_microbatches(df, "shard", "seq", "b", "r", 4, 20, 15, block=5).orderBy("batch").collect()
     assert [[r["ledger_start"], r["ledger_end"], r["ledgers"], r["bytes"], r["rows"]] for r in got] == greedy(items, (4, 20, 15))
 
 
 def test_packing_refuses(spark):
-    for rows in ([("a", 0, 99, 1)], [("a", 0, 1, 1), ("a", 2, 1, 1)]):
+    for rows in ([("a", 0, 99, 1)], [("a", 0, 1, 1), ("a", 2, 1, 1)], [("a", 0, 1, 1), ("a", 2, 1, 1), ("a", 2, 1, 1)], [("a", 0, None, 1)]):
         with pytest.raises(Exception, match="exceeds|contiguous"):
-            ranges.pack_microbatches(spark.createDataFrame(rows, "shard string, seq long, b long, r long"), "shard", "seq", "b", "r", 4, 20, 15).collect()
+            batching.pack_microbatches(spark.createDataFrame(rows, "shard string, seq long, b long, r long"), "shard", "seq", "b", "r", 4, 20, 15).collect()
 
 
 @few
@@ -56,8 +56,35 @@ def test_splits_cover(spark, low, n, k):
 
 def test_coverage(spark):
     df = spark.createDataFrame([(0, 9), (10, 19), (21, 30), (30, 40)], "s long, e long")
-    got = {(r["s"], r["problem"]) for r in ranges.coverage_violations(df, "s", "e", 0, 41).collect()}
-    assert got == {(21, "leaves a gap"), (30, "overlaps")} or (30, "overlaps") in got
+    for width in (1, 7, 1000):
+        found = ranges.coverage_violations(df, "s", "e", 0, 40, width)
+        assert {(r["s"], r["problem"]) for r in found.collect()} == {(21, "leaves a gap"), (30, "overlaps")}
+        assert "SinglePartition" not in found._jdf.queryExecution().toString()
+    ends = spark.createDataFrame([(5, 9), (10, 12), (3, None)], "s long, e long")
+    assert {(r["s"], r["problem"]) for r in ranges.coverage_violations(ends, "s", "e", 0, 41, 4).collect()} == {(5, "does not start the range"), (10, "does not end the range"), (3, "has no bounds")}
+
+
+def test_no_window_over_the_whole_table(spark):
+    df = spark.createDataFrame([(x, "n") for x in [1, 2, 5, 90, 91, 400]], "seq long, network string")
+    for out in (ranges.gap_ranges(df, "seq", width=8), ranges.contiguity_violations(df, "seq", width=8)):
+        assert "SinglePartition" not in out._jdf.queryExecution().toString()
+    assert [r["seq"] for r in ranges.take_after(df, "seq", 2, 3, width=8).orderBy("seq").collect()] == [5, 90, 91]
+    with pytest.raises(ValueError, match="fewer"):
+        ranges.take_after(df, "seq", 2, 5, width=8)
+
+
+def test_batches_are_one_run_of_one_network(spark):
+    rows = [(1, "a"), (2, "a"), (2, "a"), (4, "b"), (5, None), (None, "a")]
+    got = {tuple(r) for r in ranges.batch_violations(spark.createDataFrame(rows, "seq long, network string"), "seq", "network", width=2).collect()}
+    assert got == {(2, "repeated"), (4, "does not follow"), (4, "another network"), (5, "another network"), (None, "no ledger")}
+
+
+def test_a_million_ledgers_in_one_shard(spark):
+    sizes = spark.range(1_000_000).selectExpr("'x' as shard", "id + 7 as seq", "(id * 7919) % 1000 + 1 as b", "id % 5 as r")
+    got = batching.pack_microbatches(sizes, "shard", "seq", "b", "r", 100, 20_000, 1000).orderBy("batch").collect()
+    items = [(i + 7, (i * 7919) % 1000 + 1, i % 5) for i in range(1_000_000)]
+    assert [[r["ledger_start"], r["ledger_end"], r["ledgers"], r["bytes"], r["rows"]] for r in got] == greedy(items, (100, 20_000, 1000))
+    assert [r["batch"] for r in got] == list(range(len(got)))
 
 
 def test_nulls_and_empty(spark):
