@@ -32,7 +32,14 @@ _BAD = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply replies disqus related recommended recommendations share sharing social "
     "widget pagination pager login signup search toolbar copyright legal disclaimer".split()
 )
-_NEUTRAL = frozenset("left right top bottom site page global box wrapper wrap container inner outer area bar block list item items links icons buttons posts slot unit section group panel main primary secondary form".split())
+_NEUTRAL = frozenset(
+    "left right top bottom site page global box wrapper wrap container inner outer area bar block list item items links icons buttons posts slot unit section group panel main primary secondary form "
+    "col column columns row cell zone region module mobile desktop sticky fixed floating mini mega rail reader readers user users visitor visitors guest latest recent popular thread count".split()
+)
+#: Last parts of names that speak for boilerplate whatever stands before them, as in "article-comments", unless the name only
+#: tells whether there are any, as "has-sidebar" does.
+_BAD_LAST = frozenset("comments comment disqus sidebar footer navbar breadcrumb breadcrumbs newsletter advert adverts cookie cookies pagination".split())
+_WHETHER = frozenset("has with no without is show hide hidden".split())
 _GOOD = frozenset("article content post story entry article-body article-content post-content post-body entry-content story-body main-content content-body".split())
 _ATTR = r"[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+"
 _TAG = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^A-Za-z][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<attrs>(?:{_ATTR})*+)(?:>|\Z)", re.DOTALL)
@@ -45,12 +52,20 @@ _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figcaption
 #: Parts of text that belong to what is around them, unlike the sections of a page.
 _TEXTUAL = _LEAF | frozenset("ul ol dl table thead tbody tfoot tr figure details hr".split())
 
-#: Smoothness: neighbours in page order, parts of a text and their parent, the same inside the article, page sections.
-NEXT, PART, INSIDE, LOOSE = 0.6, 3.0, 4.0, 0.5
+#: Smoothness: neighbours in page order, the same below different parents, parts of a text and their parent, the same inside the
+#: article, page sections.
+NEXT, ACROSS, PART, INSIDE, LOOSE = 0.6, 0.2, 3.0, 4.0, 0.5
+#: The same on a page that marks no article, between a text and a plain section around it, and one that is named as content.
+SECTION, NAMED = 0.3, 1.5
 #: A text's own log-odds stay inside this, so that a tie to its parent can outweigh them.
 OWN = 2.5
 #: Log-odds of an element that is boilerplate or article by itself, and for each block below it.
 FIRM, EACH = 6.0, 3.0
+#: The same of a form outside the article, which may be the frame of a whole page: enough text in it outweighs that.
+FRAME = 3.0
+
+
+_PAGE = frozenset(["", "html", "body"])
 
 
 class Element:
@@ -71,6 +86,8 @@ class Block:
 
 def _is_bad(name: str) -> bool:
     parts = [p for p in re.split(r"[-_]+|\d+", name) if p]
+    if len(parts) > 1 and parts[-1] in _BAD_LAST and parts[0] not in _WHETHER:
+        return True
     return any(p in _BAD for p in parts) and all(p in _BAD or p in _NEUTRAL for p in parts)
 
 
@@ -209,7 +226,7 @@ def page_graph(elements: list[Element], blocks: list[Block]) -> tuple[list[tuple
 
     A block's capacities come from its text alone, an element's from its tag, role and names, with a weight for each
     block below it. What an element says reaches the texts only over edges: from each node to its parent, and from
-    each block to the next one.
+    each block to the next one, less so across parents where no article is marked.
     """
     below, children, texts = ([0] * len(elements) for _ in range(3))
     for b in blocks:
@@ -222,30 +239,40 @@ def page_graph(elements: list[Element], blocks: list[Block]) -> tuple[list[tuple
     for i in range(len(elements) - 1, 0, -1):
         below[elements[i].parent] += below[i]
     first = len(blocks)
+    marked = any(e.says == 1.0 for e in elements)
     z = [log_odds(b, elements[b.element].tag) for b in blocks] + [0.0] * len(elements)
     for i, e in enumerate(elements):
-        if e.says in (-1.0, 1.0):
+        if e.tag == "form" and not inside[i] and not marked:
+            z[first + i] = -FRAME
+        elif e.says in (-1.0, 1.0):
             z[first + i] = e.says * (FIRM + EACH * below[i])
         elif e.tag == "header":  # the page's own, or the article's
             z[first + i] = -3.0 if inside[i] else -3.0 - EACH * below[i]
         else:
             z[first + i] = e.says * (3.0 + below[i])
     # a page that marks its article has the rest as boilerplate, another one has it as content
-    z[first] = -3.0 - EACH * texts[0] if any(e.says == 1.0 for e in elements) else 2.0
-    edges = [(i - 1, i, NEXT) for i in range(1, len(blocks))]
+    z[first] = -3.0 - EACH * texts[0] if marked else 2.0 + LOOSE * sum(children[i] for i, e in enumerate(elements) if e.tag in _PAGE)
     alone = [e.tag in _LEAF and e.says == 0.0 and not children[i] and texts[i] == 1 for i, e in enumerate(elements)]
 
     def tie(child: str, parent: int) -> float:
+        """On a page without a marked article the texts say what is content: what they share is a section at most, and a strong
+        tie to it would let a list of links outvote the paragraphs beside it."""
         if inside[parent]:
             return INSIDE
-        return PART if child in _TEXTUAL or elements[parent].says == -1.0 else LOOSE
-
+        if elements[parent].says == -1.0 or (child in _TEXTUAL and (marked or elements[parent].tag in _TEXTUAL)):
+            return PART
+        if not marked and child in _PAGE:
+            return PART
+        return LOOSE if marked else NAMED if elements[parent].says > 0 else SECTION
+
+    above = [elements[b.element].parent if alone[b.element] else b.element for b in blocks]
+    edges = [(i - 1, i, NEXT if marked or above[i - 1] == above[i] else ACROSS) for i in range(1, len(blocks))]
     for i, b in enumerate(blocks):
         e = b.element
         if alone[e]:  # the block stands for its element
             edges.append((i, first + elements[e].parent, tie(elements[e].tag, elements[e].parent)))
         else:
-            edges.append((i, first + e, INSIDE if inside[e] else PART))
+            edges.append((i, first + e, INSIDE if inside[e] else PART if marked or elements[e].tag in _TEXTUAL | _PAGE or elements[e].says == -1.0 else NAMED if elements[e].says > 0 else SECTION))
     for i, e in enumerate(elements):
         if i and below[i] and not alone[i]:
             edges.append((first + i, first + e.parent, tie(e.tag, e.parent)))
