@@ -327,9 +327,10 @@ def op3_pii(docs: DataFrame) -> DataFrame:
 
 
 def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
-    """Each span replaced by [KIND]; overlapping spans by the first one's kind."""
+    """Each span replaced by [KIND]; overlapping spans by the kind of the one that begins first, of those the longest. The order
+    in which spans are given doesn't matter."""
     out, at, last = [], 0, 0
-    for s, e, kind in spans:
+    for s, e, kind in sorted(spans, key=lambda x: (x[0], -x[1], x[2])):
         if s >= last:
             out += [text[at:s], f"[{kind.upper()}]"]
         at = last = max(last, e)
