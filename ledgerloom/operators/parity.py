@@ -56,3 +56,33 @@ def quality_gates(df: DataFrame, gates: dict[str, str]) -> DataFrame:
     counts = df.agg(*[F.count_if(F.expr(c)).alias(n) for n, c in gates.items()])
     long = counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("gate"), F.col(n).alias("observed")) for n in gates])).alias("g")).select("g.*")
     return long.where("observed > 0")
+
+
+def ordered_text(df: DataFrame, keys: list[str], item: str, order: str, sep: str = ",", flag: str | None = None, name: str = "items") -> DataFrame:
+    """(keys, <name>, and has_flag with a condition): each key's items in order as one text, and whether any row meets flag.
+
+    A key's text is one value, so its length is the key's size; ties in order stand by item. Null items are left out.
+    """
+    pairs = df.where(F.col(item).isNotNull()).select(*keys, F.col(order).alias("_o"), F.col(item).cast("string").alias("_i"))
+    texts = pairs.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_i"))), lambda x: x["_i"]), sep).alias(name))
+    if flag is None:
+        return texts
+    flags = df.groupBy(*keys).agg(F.coalesce(F.bool_or(F.expr(flag)), F.lit(False)).alias("has_flag"))
+    cond = reduce(lambda x, y: x & y, [flags[k].eqNullSafe(texts[k]) for k in keys])
+    return flags.join(texts, cond, "left").select(*[flags[k] for k in keys], texts[name], "has_flag")
+
+
+def populated(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    """(table_name, column, problem) of columns that must exist and have a value somewhere; one pass per table."""
+    parts = []
+    for name, wanted in sorted(columns.items()):
+        df = tables[name]
+        there = [c for c in wanted if c in df.columns]
+        absent = [(name, c, "no such column") for c in wanted if c not in df.columns]
+        if absent:
+            parts.append(df.sparkSession.createDataFrame(absent, "table_name string, column string, problem string"))
+        if there:
+            counts = df.agg(*[F.count(c).alias(c) for c in there])
+            each = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in there])).alias("x")).where("x.n = 0")
+            parts.append(each.select(F.lit(name).alias("table_name"), "x.column", F.lit("never populated").alias("problem")))
+    return reduce(DataFrame.unionAll, parts)

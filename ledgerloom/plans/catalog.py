@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import columns as C
-from ledgerloom.operators import batching, mutations, parity, ranges, rollups, validation
+from ledgerloom.operators import acceptance, batching, digests, mutations, parity, ranges, rollups, validation
 from ledgerloom.plans import gatekeeper, loads, replica
 from ledgerloom.plans.versioned import Change, Store
 from ledgerloom.session import stage_table, work_path
-from ledgerloom.sources import corpus, envelope
+from ledgerloom.sources import corpus, envelope, footers, lookup
 from ledgerloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -312,9 +312,9 @@ def microbatch_pack_one_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.pack_microbatches(_ledger_sizes(spark, sf_dir).withColumn("shard", F.lit(0).cast("bigint")), "shard", "q", "b", "r", max_ledgers=50, max_bytes=3000, max_rows=400, block=64)
 
 
-@query("SELECT event_id // 10 AS q, CAST(sum(strlen(props)) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1 HAVING sum(strlen(props)) > 92 OR count(*) > 9")
+@query("SELECT event_id // 10 AS q, CAST(sum(strlen(props)) AS BIGINT) AS b, count(*) AS r FROM events GROUP BY 1 HAVING sum(strlen(props)) > 88 OR count(*) > 10")
 def oversized_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batching.oversized(_ledger_sizes(spark, sf_dir), "b", "r", 92, 9)
+    return batching.oversized(_ledger_sizes(spark, sf_dir), "b", "r", 88, 10)
 
 
 @query("""WITH f AS (SELECT min_by(event_type, event_id) AS w FROM events), l AS (SELECT event_id, event_type FROM events WHERE value < 90),
@@ -755,3 +755,85 @@ def ledger_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 (SELECT 'first' AS batch_id, q FROM {_PARTS} WHERE q <= half UNION ALL SELECT 'second', q FROM {_PARTS} WHERE q > half UNION ALL SELECT 'again', q FROM {_PARTS} WHERE q > last) GROUP BY 1""")
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed(spark, sf_dir).as_of("ingest_metrics").select("batch_id", "ledgers", "rows", "replayed")
+
+
+_TEXT = "octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR)"
+_ROW = " || ',' || ".join(f"coalesce({_TEXT.format(c)}, '-')" for c in ("o_orderkey", "o_orderstatus", "o_orderpriority"))
+
+
+@query(f"""WITH r AS (SELECT sha256({_ROW}) AS h, count(*) AS n FROM orders WHERE o_orderkey > 10 AND o_orderkey <= 100000000 GROUP BY 1),
+b AS (SELECT substr(h, 1, 2) AS p, sha256(string_agg(h || ':' || n, ',' ORDER BY h || ':' || n)) AS d FROM r GROUP BY 1),
+a AS (SELECT substr(p, 1, 1) AS p, sha256(string_agg(p || ':' || d, ',' ORDER BY p || ':' || d)) AS d FROM b GROUP BY 1)
+SELECT CAST((SELECT sum(n) FROM r) AS BIGINT) AS rows, (SELECT count(*) FROM r) AS distinct_rows, 'sha256:' || sha256(string_agg(p || ':' || d, ',' ORDER BY p || ':' || d)) AS digest FROM a""")
+def table_digest_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.range_digest(_orders(spark, sf_dir), "o_orderkey", 10, 100_000_000, depth=2)
+
+
+@query("SELECT true AS agree")
+def generations_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of orders per thousand keys, in another order and at other places."""
+    entries = _orders(spark, sf_dir).groupBy(F.floor(F.col("o_orderkey") / 1000).alias("f")).agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("min_ledger"), F.max("o_orderkey").alias("max_ledger"))
+    again = entries.withColumn("uri", F.concat(F.lit("b/"), "f")).repartition(5, "rows")
+    return digests.generations_agree(entries.withColumn("uri", F.concat(F.lit("a/"), "f")), again).select("agree")
+
+
+@query("""SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS tx_hash, o_orderkey // 10 AS ledger_sequence, CAST(o_custkey % 100 AS INTEGER) AS operation_count
+FROM orders WHERE o_orderkey IN (SELECT n_nationkey * 40 + 1 FROM nation)""")
+def tx_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index over all transactions, and the hashes of a few looked up in it."""
+    path = work_path(spark, "lookup")
+    rows = transactions(spark, sf_dir).select(F.col("transaction_hash").alias("tx_hash"), "ledger_sequence", "operation_count")
+    lookup.write_lookup_index(rows, path, "tx_hash")
+    keys = [r[0] for r in table(spark, sf_dir, "nation").select(F.sha2((F.col("n_nationkey") * 40 + 1).cast("string"), 256)).collect()]
+    return lookup.lookup(spark, path, "tx_hash", keys, "tx_hash string, ledger_sequence bigint, operation_count int")
+
+
+@query("""SELECT l_orderkey, string_agg(l_linestatus, ',' ORDER BY l_linenumber, l_linestatus) AS statuses, bool_or(l_returnflag = 'R') AS has_flag FROM lineitem GROUP BY 1""")
+def ordered_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.ordered_text(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linestatus", "l_linenumber", flag="l_returnflag = 'R'", name="statuses")
+
+
+@query("SELECT * FROM (VALUES ('events', 'missing', 'no such column')) AS t(table_name, \"column\", problem) UNION ALL SELECT 'orders', 'gone', 'never populated' FROM (SELECT count(*) FILTER (o_orderkey < 0) AS n FROM orders) WHERE n = 0")
+def populated_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumn("gone", F.when(F.col("o_orderkey") < 0, F.col("o_orderkey")))
+    return parity.populated({"orders": orders, "events": table(spark, sf_dir, "events")}, {"orders": ["o_orderkey", "gone"], "events": ["ts", "missing"]})
+
+
+_FILES = "(SELECT o_orderkey // 1000 AS f, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders GROUP BY 1)"
+
+
+@query(f"""SELECT f, p AS problem FROM {_FILES}, (VALUES ('rows', 1), ('range', 2), ('missing', 3), ('not declared', 4)) AS k(p, m)
+WHERE (m = 1 AND f % 4 = 1) OR (m = 2 AND f % 4 = 2) OR (m = 4 AND f % 4 = 3) UNION ALL SELECT f + 1000000, 'missing' FROM {_FILES} WHERE f % 4 = 3""")
+def footer_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a thousand keys each; of four in a row one is declared right, one with a row too many, one with another range, and
+    one under another name."""
+    path = work_path(spark, "footers")
+    rows = _orders(spark, sf_dir).withColumn("f", F.floor(F.col("o_orderkey") / 1000).cast("bigint"))
+    rows.repartition("f").write.partitionBy("f").parquet(path)
+    name = F.regexp_extract("uri", "/f=([0-9]+)/", 1).cast("bigint")
+    found = footers.footers(footers.listed(spark, path), "o_orderkey").withColumn("uri", name.cast("string"))
+    kind = F.col("f") % 4
+    declared = rows.groupBy("f").agg((F.count("*") + F.when(kind == 1, 1).otherwise(0)).alias("rows"), F.min("o_orderkey").alias("min_ledger"), (F.max("o_orderkey") + F.when(kind == 2, 1).otherwise(0)).alias("max_ledger"))
+    declared = declared.withColumn("uri", (F.col("f") + F.when(kind == 3, 1_000_000).otherwise(0)).cast("string"))
+    return footers.footer_violations(found, declared).select(F.col("uri").cast("bigint").alias("f"), "problem")
+
+
+@query(f"""WITH e AS (SELECT f, n, lo, hi, 'lake.t' || f % 3 AS t FROM {_FILES}), o AS (SELECT *, row_number() OVER (ORDER BY t, lo) AS place FROM e)
+SELECT 's3://b/' || f AS subject, p AS problem FROM o, (VALUES ('uri', 5), ('no rows', 6), ('file digest', 7)) AS k(p, m) WHERE f % 11 = m
+UNION ALL SELECT 'lake.t0', 'row count' UNION ALL SELECT 'result', 'attempt' UNION ALL SELECT 'result', 'ledger count'""".replace("'s3://b/' || f AS subject", "CASE WHEN f % 11 = 5 THEN 's3:///' || f ELSE 's3://b/' || f END AS subject"))
+def result_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result of one file per thousand orders with bad places, counts and digests, and two wrong facts."""
+    files = _orders(spark, sf_dir).groupBy(F.floor(F.col("o_orderkey") / 1000).cast("bigint").alias("f")).agg(F.count("*").alias("n"), (F.min("o_orderkey") + 1).alias("min_ledger"), (F.max("o_orderkey") + 1).alias("max_ledger"))
+    kind, good = F.col("f") % 11, F.concat(F.lit("sha256:"), F.sha2(F.col("f").cast("string"), 256))
+    files = files.select(
+        F.concat(F.lit("lake.t"), F.col("f") % 3).alias("table"), F.concat(F.when(kind == 5, "s3:///").otherwise("s3://b/"), "f").alias("uri"), F.when(kind == 7, F.upper(good)).otherwise(good).alias("sha256"),
+        good.alias("schema_sha256"), (F.col("n") * 10).alias("bytes"), F.when(kind == 6, 0).otherwise(F.col("n")).alias("rows"), "min_ledger", "max_ledger",
+    )
+    # a file's table and range tell its place: three tables, each by its lowest key
+    files = stage_table(files.withColumn("place", F.substring("table", 7, 1).cast("bigint") * 10**12 + F.col("min_ledger")), "entries")
+    counts = files.groupBy("table").agg((F.sum("rows") + F.when(F.col("table") == "lake.t0", 1).otherwise(0)).alias("rows"))
+    low, high = files.agg(F.min("min_ledger"), F.max("max_ledger")).first()
+    shard = {"format_version": 1, "job_id": "j", "shard_id": "s", "ledger_start": low, "ledger_end": high, "max_attempts": 3}
+    digest = "sha256:" + "0" * 64
+    result = shard | {"generation_digest": acceptance.generation_digest(files), "ledger_count": high - low, "source_digest": digest, "schema_fingerprint": digest, "worker_id": "w", "attempt": 4, "started_at": "2024-01-01T00:00:00Z", "completed_at": "2024-01-01T00:00:01Z"}
+    return acceptance.result_violations(result, shard, files, counts)
