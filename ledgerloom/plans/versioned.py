@@ -10,8 +10,9 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ class Change:
     clear_keys: DataFrame | None = None
     #: Or rows to clear by equal values (null equals null) of this table's columns, whatever their range.
     clear_rows: DataFrame | None = None
+    #: The caller knows that rows are so few that one task writes them, without a shuffle.
+    few: bool = False
 
 
 _TOMB = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
@@ -98,16 +101,22 @@ class Store:
             self._fs.delete(part, False)
             raise CommitConflict(f"snapshot {entry['snapshot']} was taken by another writer") from e
 
-    def _write(self, rows: DataFrame, seq: str, path: str) -> None:
+    def _write(self, rows: DataFrame, seq: str, path: str, few: bool = False) -> None:
         """Rows of a range bucket go to one file, sorted, so that its statistics prune. Rebalancing lets small buckets
         share a file and splits a hot one over several tasks; no folder per bucket is made, whose number would grow
         with ledgers times commits."""
+        if few:  # one file, no shuffle
+            rows.coalesce(1).sortWithinPartitions(seq).write.parquet(f"{self.root}/{path}")
+            return
         bucket = range_bucket(F.coalesce(F.col(seq), F.lit(-1)), self.width)
         dealt = rows.withColumn("_bucket", bucket).hint("rebalance", F.col("_bucket"))
         dealt.sortWithinPartitions(seq).drop("_bucket").write.parquet(f"{self.root}/{path}")
 
-    def commit(self, changes: dict[str, Change], batch_id: str | None = None, digest: str | None = None) -> tuple[int, bool]:
-        """All changes under one snapshot id -> (id, whether it was new). A batch id that is known is not done again."""
+    def commit(self, changes: dict[str, Change], batch_id: str | None = None, digest: str | None = None, facts: dict | None = None) -> tuple[int, bool]:
+        """All changes under one snapshot id -> (id, whether it was new). A batch id that is known is not done again.
+
+        The tables' files are written at the same time, the log entry after all of them; facts (such as a watermark) stand in it.
+        """
         log = self.log()
         for e in log:
             if batch_id is not None and e.get("batch_id") == batch_id:
@@ -117,13 +126,14 @@ class Store:
         n = self._taken + 1
         attempt = uuid.uuid4().hex
         wrote: dict[str, dict[str, str]] = {}
+        writes = []
         for name, c in sorted(changes.items()):
             schema, seq = self.tables[name]
             done = wrote.setdefault(name, {})
             if c.rows is not None:
                 rows = c.rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
                 done["rows"] = f"{name}/rows/begin={n}/{attempt}"
-                self._write(rows, seq, done["rows"])
+                writes.append(partial(self._write, rows, seq, done["rows"], c.few))
             if (None, None) in c.clear:
                 done["all"] = "cleared"
             ranges = [r for r in c.clear if r != (None, None)]
@@ -133,12 +143,16 @@ class Store:
                     key = F.col(seq).cast("bigint")
                     tombs = tombs.unionByName(c.clear_keys.where(F.col(seq).isNotNull()).select(key.alias("lo"), key.alias("hi")).distinct())
                 done["tombstones"] = f"{name}/tombstones/end={n}/{attempt}"
-                tombs.write.parquet(f"{self.root}/{done['tombstones']}")
+                writes.append(partial(tombs.write.parquet, f"{self.root}/{done['tombstones']}"))
             if c.clear_rows is not None:
                 done["keys"] = f"{name}/keys/end={n}/{attempt}"
                 done["key_columns"] = ",".join(sorted(c.clear_rows.columns))
-                c.clear_rows.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in sorted(c.clear_rows.columns)]).distinct().write.parquet(f"{self.root}/{done['keys']}")
-        self._append_log({"snapshot": n, "kind": "commit", "batch_id": batch_id, "digest": digest, "at": time.time(), "tables": wrote})
+                gone = c.clear_rows.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in sorted(c.clear_rows.columns)]).distinct()
+                writes.append(partial(gone.write.parquet, f"{self.root}/{done['keys']}"))
+        with ThreadPoolExecutor(8) as pool:
+            for job in [pool.submit(w) for w in writes]:
+                job.result()
+        self._append_log({"snapshot": n, "kind": "commit", "batch_id": batch_id, "digest": digest, "at": time.time(), "tables": wrote} | ({"facts": facts} if facts else {}))
         return n, True
 
     def floor(self) -> int:

@@ -48,10 +48,18 @@ def declared_limits(totals: DataFrame, max_ledgers: int | None = None, max_bytes
     return totals.withColumn("problem", problem).where("problem <> ''").select(*[c for c in totals.columns if c not in limits], "problem")
 
 
+def _told(store: Store) -> list[dict] | None:
+    """What the commits that wrote watermarks say of themselves in the log; None if one of them says nothing."""
+    wrote = [e for e in store.log() if "ingest_watermarks" in e.get("tables", {})]
+    return [e["facts"] for e in wrote] if all("watermark" in e.get("facts", {}) for e in wrote) else None
+
+
 def high_watermark(store: Store, network: str) -> int | None:
-    """The largest committed ledger of a network."""
+    """The largest committed ledger of a network: from the log entries, or from the table where one lacks it."""
     if not store.current():
         return None
+    if (told := _told(store)) is not None:
+        return max((f["watermark"] for f in told if f["network"] == network), default=None)
     return store.as_of("ingest_watermarks").where(F.col("network_passphrase") == network).agg(F.max("ledger_sequence")).first()[0]
 
 
@@ -59,12 +67,19 @@ def pinned_network(store: Store) -> str | None:
     """The one network of a store; two are an error."""
     if not store.current():
         return None
-    found = [r[0] for r in store.as_of("ingest_watermarks").select("network_passphrase").distinct().limit(2).collect()]
+    if (told := _told(store)) is not None:
+        found = sorted({f["network"] for f in told})
+    else:
+        found = [r[0] for r in store.as_of("ingest_watermarks").select("network_passphrase").distinct().limit(2).collect()]
     if len(found) > 1:
         raise ValueError(f"a store holds one network, found {sorted(found)}")
     return found[0] if found else None
 
 
+#: A batch of so many rows at most is written by one task for each table.
+FEW_ROWS = 20_000
+
+
 def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network: str, batch_id: str, contiguous: bool = False, max_ledgers: int | None = None, max_rows: int | None = None, max_bytes: int | None = None, declared: dict[str, int] | None = None) -> tuple[int, bool]:
     """One batch of rows for several tables under one snapshot -> (snapshot, whether anything was written).
 
@@ -92,14 +107,18 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
         keys = part if keys is None else keys.unionAll(part)
     keys = keys.persist()
     try:
-        each = {r["t"]: r for r in keys.groupBy("t").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.sum("b").alias("b"), F.sum(F.when(F.col(seq).isNull(), F.col("n"))).alias("nulls")).collect()}
+        each = {r["t"]: r for r in keys.groupBy("t").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.sum("b").alias("b"), F.sum(F.when(F.col(seq).isNull(), F.col("n"))).alias("nulls"), F.count("*").alias("ledgers")).collect()}
         if nulls := sum(r["nulls"] or 0 for r in each.values()):
             raise ValueError(f"{nulls} rows have no {seq}")
         rows, weight = sum(r["n"] for r in each.values()), sum(r["b"] or 0 for r in each.values())
         if not rows:
             return store.current(), False
         ledgers = keys.groupBy(seq).agg(F.sum("n").alias("n"))
-        bounds = ledgers.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count("*").alias("n")).first()
+        if len(each) == 1:
+            (only,) = each.values()
+            bounds = {"lo": only["lo"], "hi": only["hi"], "n": only["ledgers"]}
+        else:
+            bounds = ledgers.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count("*").alias("n")).first()
         counts = {"ledgers": bounds["n"], "rows": rows, "bytes": weight}
         for what, most in (("ledgers", max_ledgers), ("rows", max_rows), ("bytes", max_bytes)):
             if most is not None and counts[what] > most:
@@ -118,7 +137,7 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
         again = ledgers.where(F.col(seq) <= F.lit(mark)).select(seq) if mark is not None and bounds["lo"] <= mark else None
 
         def change(rows: DataFrame, own: str) -> Change:
-            return Change(rows=rows, clear_keys=None if again is None else again.select(F.col(seq).alias(own)))
+            return Change(rows=rows, clear_keys=None if again is None else again.select(F.col(seq).alias(own)), few=counts["rows"] <= FEW_ROWS)
 
         changes = {n: change(df, store.tables[n][1]) for n, df in tables.items()}
         marks = ledgers.select(F.lit(network).alias("network_passphrase"), F.col(seq).alias("ledger_sequence"), F.lit(batch_id).alias("batch_id"), F.col("n").alias("row_count"))
@@ -130,12 +149,13 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
         if again is not None:
             overlap = (F.col("network_passphrase") == network) & file_overlap(F.col("ledger_start"), F.col("ledger_end"), bounds["lo"], min(bounds["hi"], mark))
             stale = store.as_of("receipts").where(overlap).select("network_passphrase", "batch_id")
-        changes["receipts"] = Change(rows=receipt, clear_rows=stale)
+        changes["receipts"] = Change(rows=receipt, clear_rows=stale, few=True)
         if "ingest_metrics" in store.tables:
             taken = again.count() if again is not None else 0
             row = (batch_id, bounds["lo"], bounds["hi"], bounds["n"], rows, weight, taken, (time.monotonic() - began) * 1000)
-            changes["ingest_metrics"] = Change(rows=spark.createDataFrame([row], METRICS))
-        return store.commit(changes, batch_id=batch_id, digest=digest)
+            changes["ingest_metrics"] = Change(rows=spark.createDataFrame([row], METRICS), few=True)
+        facts = {"network": network, "watermark": max(bounds["hi"], mark if mark is not None else bounds["hi"])}
+        return store.commit(changes, batch_id=batch_id, digest=digest, facts=facts)
     finally:
         keys.unpersist()
 
