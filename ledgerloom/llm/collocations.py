@@ -20,8 +20,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 SHARD_WORDS = 1_000_000
 #: Bytes of text that are cut into words at once.
 SLICE_BYTES = 2 << 20
-#: Rows that a task hands on at once.
-CHUNK = 50_000
+#: Phrases that a task gathers before it packs them, and words of the corpus for each part that phrases are dealt to.
+HELD, PART_WORDS, LEAST_PARTS = 500_000, 8_000_000, 64
 #: Bits of a filter of frequent words or pairs, at most (32 MB); a fuller filter lets more rare phrases through to be
 #: counted and dropped, it never loses one.
 MOST_BITS = 1 << 28
@@ -31,6 +31,7 @@ PARTS = 64
 _PIECE_EDGE = r"[.,;:!?\x0A-\x0D]"
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SHARD = "sign int, langs array<string>, totals array<long>, lang_of binary, words array<string>, forward binary, backward binary"
+_PACKED = "part long, lang string, rows long, payload binary"
 _GRAM = "lang string, words int, phrase string, n long, left_n long, right_n long"
 
 
@@ -231,25 +232,86 @@ def _grams_of(row: dict, shortest: int, longest: int, frequent: np.ndarray | Non
             yield words, size, sides["left"].neighbours(lo["left"], size), sides["right"].neighbours(lo["right"], size)
 
 
-def _grams(shortest: int, longest: int, frequent, pairs):
+def _packed(parts: np.ndarray, langs: np.ndarray, names: list[str], phrases: pa.Array, numbers: np.ndarray) -> pa.RecordBatch:
+    """Phrases with their numbers -> a compressed row per (part, language). A phrase has no line end, so one separates them."""
+    order = np.lexsort((langs, parts))
+    parts, langs, numbers = parts[order], langs[order], numbers[:, order]
+    first = np.flatnonzero(np.concatenate(([True], (parts[1:] != parts[:-1]) | (langs[1:] != langs[:-1]))))
+    edges = np.append(first, len(order))
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), phrases.take(pa.array(order))), "\n").to_pylist()
+    pack = zstandard.ZstdCompressor(level=1).compress
+    rows = [pack(np.ascontiguousarray(numbers[:, a:b]).tobytes() + t.encode()) for a, b, t in zip(edges, edges[1:], texts, strict=False)]
+    columns = [pa.array(parts[first], pa.int64()), pa.array([names[x] for x in langs[first]]), pa.array(np.diff(edges), pa.int64()), pa.array(rows, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "lang", "rows", "payload"])
+
+
+def _grams(shortest: int, longest: int, parts: int, frequent, pairs):
     """frequent, pairs: broadcast filters, or None for no filter."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, met = (x and x.value for x in (frequent, pairs))
+        names: dict[str, int] = {}
+        held: list[tuple] = []
+        size = 0
         for b in batches:
             for i in range(len(b)):
                 row = {c: b.column(c)[i].as_py() for c in ("sign", "langs", "lang_of", "forward", "backward")}
-                words = b.column("words")[i].values
-                langs = pa.array(row["langs"], pa.string()).take(pa.array(_unpack(row["lang_of"])))
-                row |= {"words": words, "hashes": _word_hashes(langs.to_pylist(), words.to_pylist())}
+                words, lang_of = b.column("words")[i].values, _unpack(row["lang_of"])
+                row |= {"words": words, "hashes": _word_hashes([row["langs"][x] for x in lang_of], words.to_pylist())}
+                own = np.array([names.setdefault(x, len(names)) for x in row["langs"]], np.int64)[lang_of]
                 for ids, *numbers in _grams_of(row, shortest, longest, known, met):
-                    for at in range(0, len(ids[0]), CHUNK):
-                        part = [pa.array(x[at : at + CHUNK] - 1) for x in ids]
-                        phrase = pc.binary_join_element_wise(*(words.take(x) for x in part), " ")
-                        yield pa.RecordBatch.from_arrays(
-                            [langs.take(part[0]), pa.array(np.full(len(phrase), len(ids)), pa.int32()), phrase, *(pa.array(x[at : at + CHUNK] * row["sign"], pa.int64()) for x in numbers)],
-                            ["lang", "words", "phrase", "n", "left_n", "right_n"],
-                        )
+                    hashed = np.zeros(len(ids[0]), np.uint64)
+                    for x in ids:
+                        hashed = _pair(hashed, row["hashes"][x - 1])
+                    phrase = pc.binary_join_element_wise(*(words.take(pa.array(x - 1)) for x in ids), " ")
+                    held.append(((hashed >> np.uint64(20)) % np.uint64(parts), own[ids[0] - 1], phrase, np.array(numbers, np.int64) * row["sign"]))
+                    size += len(phrase)
+                    if size >= HELD:
+                        yield _packed(*_together(held, names))
+                        held, size = [], 0
+        if size:
+            yield _packed(*_together(held, names))
+
+    return make
+
+
+def _together(held: list[tuple], names: dict[str, int]) -> tuple:
+    parts, langs, phrases, numbers = zip(*held, strict=True)
+    return np.concatenate(parts).astype(np.int64), np.concatenate(langs), list(names), pa.concat_arrays(phrases), np.concatenate(numbers, axis=1)
+
+
+def _sums(least: int):
+    """Rows sorted by part -> each part's phrases with their numbers summed, those with at least `least` occurrences."""
+
+    def whole(tables: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([(c, "sum") for c in ("n", "left_n", "right_n")])
+        return t.rename_columns([c.removesuffix("_sum") for c in t.column_names])
+
+    def done(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        t = whole(tables)
+        t = t.filter(pc.greater_equal(t["n"], least))
+        t = t.append_column("words", pc.add(pc.count_substring(t["phrase"], " "), 1).cast(pa.int32()))
+        yield from t.select(["lang", "words", "phrase", "n", "left_n", "right_n"]).to_batches()
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tables, size = None, [], 0
+        for b in batches:
+            for part, lang, rows, payload in zip(*(b.column(c).to_pylist() for c in ("part", "lang", "rows", "payload")), strict=True):
+                if tables and part != now:
+                    yield from done(tables)
+                    tables, size = [], 0
+                now = part
+                raw = zstandard.ZstdDecompressor().decompress(payload)
+                numbers = np.frombuffer(raw, np.int64, 3 * rows).reshape(3, rows)
+                phrases = pc.split_pattern(pa.array([raw[24 * rows :].decode()]), "\n").flatten()
+                langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(rows, np.int32)), pa.array([lang])).cast(pa.string())
+                tables.append(pa.table([langs, phrases, *map(pa.array, numbers)], ["lang", "phrase", "n", "left_n", "right_n"]))
+                size += rows
+                if size > 4 * HELD:
+                    tables = [whole(tables)]
+                    size = len(tables[0])
+        if tables:
+            yield from done(tables)
 
     return make
 
@@ -279,29 +341,37 @@ def _filter_of(phrases: DataFrame):
     return phrases.sparkSession.sparkContext.broadcast(out)
 
 
-def _summed(grams: DataFrame, least: int) -> DataFrame:
-    return grams.groupBy("lang", "words", "phrase").agg(*(F.sum(c).alias(c) for c in ("n", "left_n", "right_n"))).where(F.col("n") >= least)
+def words_by_language(shards: DataFrame) -> DataFrame:
+    """(lang, total), stored: all word occurrences."""
+    each = shards.select(F.explode(F.arrays_zip("langs", "totals")).alias("t"))
+    return stage_table(each.groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("total")), "words-by-language")
 
 
-def frequent_phrases(shards: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+def frequent_phrases(shards: DataFrame, least: int = LEAST, longest: int = LONGEST, total: int | None = None) -> DataFrame:
     """(lang, words, phrase, n, left_n, right_n), stored: all phrases of up to `longest` words (single words too) that occur
     at least `least` times, with the occurrences that have a word before or after them in their piece (exact up to one word
     less than LONGEST).
 
     Three passes over the stored indexes: words; pairs of frequent words; longer phrases all of whose pairs are frequent.
-    Each pass sends a row per phrase and task to the sum across shards. Frequent words and pairs reach the shards as
-    filters of bounded size.
+    Frequent words and pairs reach the shards as filters of bounded size. In each pass phrases are dealt by a hash to parts, one
+    for each PART_WORDS words of the corpus, and a task packs what it has for a part into compressed rows, which are a fraction
+    of a row for each phrase; the task that has a part sums them. A very frequent phrase is one row from each task.
     """
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"phrases have 2 to {LONGEST} words")
-    run = lambda a, b, *filters: shards.select("sign", "langs", "lang_of", "words", "forward", "backward").mapInArrow(_grams(a, b, *filters), _GRAM)
-    words = stage_table(_summed(run(1, 1, None, None), least), "frequent-words")
+    if total is None:
+        total = words_by_language(shards).agg(F.sum("total")).first()[0] or 0
+    parts = max(LEAST_PARTS, -(-total // PART_WORDS))
+
+    def counted(a: int, b: int, *filters) -> DataFrame:
+        packed = shards.select("sign", "langs", "lang_of", "words", "forward", "backward").mapInArrow(_grams(a, b, parts, *filters), _PACKED)
+        return stage_table(packed.repartition("part").sortWithinPartitions("part").mapInArrow(_sums(least), _GRAM), "frequent-phrases")
+
+    words = counted(1, 1, None, None)
     frequent = _filter_of(words)
-    pairs = stage_table(_summed(run(2, 2, frequent, None), least), "frequent-pairs")
+    pairs = counted(2, 2, frequent, None)
     out = words.unionAll(pairs)
-    if longest > 2:
-        out = out.unionAll(stage_table(_summed(run(3, longest, frequent, _filter_of(pairs)), least), "frequent-phrases"))
-    return out
+    return out.unionAll(counted(3, longest, frequent, _filter_of(pairs))) if longest > 2 else out
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -316,8 +386,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sh
     Repeated rows count as often as they stand. Texts and pieces of any length are indexed whole.
     """
     shards = index_shards(docs, shard_words)
-    counted = frequent_phrases(shards, least, longest)
-    totals = stage_table(shards.select(F.explode(F.arrays_zip("langs", "totals")).alias("t")).groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("total")), "words-by-language")
+    totals = words_by_language(shards)
+    counted = frequent_phrases(shards, least, longest, totals.agg(F.sum("total")).first()[0] or 0)
     candidates = counted.where("words > 1")
     taken = lambda a, b: F.array_join(F.slice(F.split("phrase", " ", -1), a, b), " ")
     ends = candidates.where("words > 2").select("lang", F.col("n").alias("as_often"), F.explode(F.array(taken(F.lit(1), F.col("words") - 1), taken(F.lit(2), F.col("words") - 1))).alias("phrase"))
