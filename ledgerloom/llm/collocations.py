@@ -17,11 +17,11 @@ from ledgerloom.session import ship_package, stage_table
 #: Words of the longest phrase, occurrences that a candidate needs, and phrases that a language's report has.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Words that a shard indexes at once; a task makes as many shards as its rows need.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Bytes of text that are cut into words at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Phrases that a task gathers before it packs them, and words of the corpus for each part that phrases are dealt to.
-HELD, PART_WORDS, LEAST_PARTS = 500_000, 8_000_000, 64
+HELD, PART_WORDS, LEAST_PARTS = 200_000, 8_000_000, 64
 #: Bits of a filter of frequent words or pairs, at most (32 MB); a fuller filter lets more rare phrases through to be
 #: counted and dropped, it never loses one.
 MOST_BITS = 1 << 28
@@ -229,7 +229,8 @@ def _grams_of(row: dict, shortest: int, longest: int, frequent: np.ndarray | Non
             words = [w[of] for w in words]
             words = [*words, symbol] if way == "right" else [symbol, *words]
         if n >= shortest:
-            yield words, size, sides["left"].neighbours(lo["left"], size), sides["right"].neighbours(lo["right"], size)
+            none = np.zeros(len(size), np.int64)  # of the longest nobody asks how it goes on
+            yield words, size, *((none, none) if n == LONGEST else (sides[x].neighbours(lo[x], size) for x in ("left", "right")))
 
 
 def _packed(parts: np.ndarray, langs: np.ndarray, names: list[str], phrases: pa.Array, numbers: np.ndarray) -> pa.RecordBatch:
@@ -239,7 +240,7 @@ def _packed(parts: np.ndarray, langs: np.ndarray, names: list[str], phrases: pa.
     first = np.flatnonzero(np.concatenate(([True], (parts[1:] != parts[:-1]) | (langs[1:] != langs[:-1]))))
     edges = np.append(first, len(order))
     texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), phrases.take(pa.array(order))), "\n").to_pylist()
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=3).compress
     rows = [pack(np.ascontiguousarray(numbers[:, a:b]).tobytes() + t.encode()) for a, b, t in zip(edges, edges[1:], texts, strict=False)]
     columns = [pa.array(parts[first], pa.int64()), pa.array([names[x] for x in langs[first]]), pa.array(np.diff(edges), pa.int64()), pa.array(rows, pa.binary())]
     return pa.RecordBatch.from_arrays(columns, ["part", "lang", "rows", "payload"])
@@ -269,6 +270,8 @@ def _grams(shortest: int, longest: int, parts: int, frequent, pairs):
                     if size >= HELD:
                         yield _packed(*_together(held, names))
                         held, size = [], 0
+                del row, words, own
+                pa.default_memory_pool().release_unused()  # idle workers keep what they hold
         if size:
             yield _packed(*_together(held, names))
 
@@ -349,8 +352,7 @@ def words_by_language(shards: DataFrame) -> DataFrame:
 
 def frequent_phrases(shards: DataFrame, least: int = LEAST, longest: int = LONGEST, total: int | None = None) -> DataFrame:
     """(lang, words, phrase, n, left_n, right_n), stored: all phrases of up to `longest` words (single words too) that occur
-    at least `least` times, with the occurrences that have a word before or after them in their piece (exact up to one word
-    less than LONGEST).
+    at least `least` times, with the occurrences that have a word before or after them in their piece (0 for LONGEST words).
 
     Three passes over the stored indexes: words; pairs of frequent words; longer phrases all of whose pairs are frequent.
     Frequent words and pairs reach the shards as filters of bounded size. In each pass phrases are dealt by a hash to parts, one
