@@ -721,6 +721,9 @@ def test_toxicity_rows_and_columns(spark, tables):
 WORDS = {"de": "der die und nicht ein ist das mit", "en": "the and of that is with for not", "fr": "le la les et est pas une dans"}
 
 
+MARKUP = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>", re.DOTALL | re.IGNORECASE)
+
+
 def brute_languages(pages, docs):
     """Naive Bayes with the smoothed host hierarchy, in plain Python: (text language, language, confidence) per page."""
     import html as entities
@@ -730,12 +733,12 @@ def brute_languages(pages, docs):
     for text, lang in docs:
         if lang:
             np.add.at(table[:, langs.index(lang)], langid.buckets_of(text or ""), 1)
-    logp = np.log(table / table.sum(0)).astype(np.float32)
+    logp = np.log(table / table.sum(0))
     texts, said, hosts = [], [], []
     for _, url, page in pages:
-        k = langid.buckets_of(entities.unescape(langid._DROP.sub(" ", page or "")))
+        k = langid.buckets_of(entities.unescape(MARKUP.sub(" ", page or "")))
         z = logp[k].sum(0, dtype=np.float64)
-        texts.append(((z - z.max()) * min(langid.TEMPER, langid.MOST / max(1, len(k)))).round(6))
+        texts.append(((z - z.max()) * langid.TEMPER * (min(len(k), 300) + 300 * np.log(max(1, len(k) / 300))) / max(1, len(k))).round(6))
         m = re.search(r"<html[^>]*?lang=([a-z]+)", page or "")
         said.append("" if not m else m[1] if m[1] in langs else "?")
         hosts.append((re.search("//([^/]*)", url or "") or [None, ""])[1])
@@ -796,20 +799,55 @@ def test_language(spark, tables):
     assert {r["lang"] for r in langid.op5_langid(pages, tables("documents").limit(0)).collect()} == {"und"}
 
 
-def test_every_language_is_known(spark, monkeypatch):
-    """Three hundred made-up languages: none is dropped, the model keeps its size, and texts are told apart."""
-    monkeypatch.setattr(langid, "CELLS", 1 << 20)
+def test_every_language_is_known(spark):
+    """Three hundred made-up languages: none is dropped, and what a text says of one does not depend on the others."""
     names = [f"l{i:03d}" for i in range(300)]
     rng = np.random.default_rng(5)
     words = {x: ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(8)] for x in names}
     docs = spark.createDataFrame([(i, " ".join(words[x] * 4), x) for i, x in enumerate(names)], "doc_id long, text string, lang string")
-    model = langid.fit(docs)
-    assert model.langs == names and model.logp.size <= 1 << 20
+    model, few = langid.fit(docs), langid.fit(docs.where("doc_id < 10"))
+    assert model.langs == names and few.langs == names[:10]
+    k = langid.buckets_of(" ".join(words["l003"][:4] + words["l200"][:3]))
+    assert np.allclose(model.score(k)[:10], few.score(k))
     pages = spark.createDataFrame([(i, f"http://h{i}.org/", "<p>" + " ".join(words[x] * 3)) for i, x in enumerate(names)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text_lang"] for r in langid.op5_langid(pages, docs).collect()}
     assert sum(got[i] == x for i, x in enumerate(names)) >= 297
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<!--", "-->", "--", "<script", "<SCRIPT>", "</script>", "</script \n>", "</style>", "<style>", "<p>", "<", ">", "a", " ", "ß\n", "<scripts>"]), max_size=25))
+def test_markup_as_by_expression(parts):
+    page = "".join(parts)
+    assert langid.without_markup(page) == MARKUP.sub(" ", page)
+
+
+def test_markup_that_never_ends():
+    """Megabytes of opened comments, elements, tags and attributes: linear, where a search for each end is quadratic."""
+    import time
+
+    began = time.monotonic()
+    for part in ("<!-- ", "<script> ", "<script></style", "<", "</script ", "<html lang ", "<html lang='", "<html a=\"", "<html =", "<html   "):
+        page = part * (5_000_000 // len(part))
+        langid.without_markup(page)
+        langid.declared_language(page)
+    assert time.monotonic() - began < 60
+
+
+def test_declared_language():
+    for tag, want in {
+        "<html lang=de>": "de", "<HTML class='a b' LANG = 'en-US'>": "en", "<html data-lang=fr>": None, "<html xml:lang=fr lang=it>": "it", "<html title='lang=fr'>": None,
+        "<html lang>": None, "<html lang=''>": None, "<html><html lang=es>": "es", "<htmlx lang=de>": None, "": None, "<html lang=\"pt": "pt", "<html lang/>": None,
+    }.items():
+        assert langid.declared_language(tag) == want, tag
+
+
+def test_more_text_says_more():
+    """Evidence grows with every trigram: a long text outweighs a declaration and a host that a short one does not."""
+    total = [n * langid.weight(n) for n in (1, 299, 300, 301, 3_000, 300_000, 30_000_000)]
+    assert total == sorted(total) and len(set(total)) == len(total) and abs(total[2] - 60) < 1e-9
+
+
+
 # --- pipeline
 
 
