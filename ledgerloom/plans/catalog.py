@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import columns as C
 from ledgerloom.operators import acceptance, batching, digests, mutations, parity, ranges, rollups, validation
-from ledgerloom.plans import gatekeeper, loads, replica
+from ledgerloom.plans import gatekeeper, loads, migrations, replica
 from ledgerloom.plans.versioned import Change, Store
 from ledgerloom.session import stage_table, work_path
 from ledgerloom.sources import corpus, envelope, footers, lookup
@@ -837,3 +837,53 @@ def result_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = "sha256:" + "0" * 64
     result = shard | {"generation_digest": acceptance.generation_digest(files), "ledger_count": high - low, "source_digest": digest, "schema_fingerprint": digest, "worker_id": "w", "attempt": 4, "started_at": "2024-01-01T00:00:00Z", "completed_at": "2024-01-01T00:00:01Z"}
     return acceptance.result_violations(result, shard, files, counts)
+
+
+_WIDER = T.StructType([*_TRANSFERS.fields, T.StructField("kind", T.StringType()), T.StructField("large", T.BooleanType())])
+
+
+@query("SELECT event_id // 10 AS ledger_sequence, event_type, user_id, CAST(value AS DECIMAL(18,2)) AS amount, ts, upper(event_type) AS kind, CAST(value AS DECIMAL(18,2)) > 50 AS large FROM events")
+def migrated_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers written before two columns were declared, then two migrations that fill them, run twice."""
+    path = work_path(spark, "migrated")
+    Store(spark, path, {"transfers": (_TRANSFERS, "ledger_sequence")}).commit({"transfers": Change(rows=transfers(spark, sf_dir))})
+    store = Store(spark, path, {"transfers": (_WIDER, "ledger_sequence"), "schema_migrations": (migrations.MIGRATIONS, "version")})
+    steps = [migrations.Migration(2, "large", migrations.filled("transfers", large=F.col("amount") > 50)), migrations.Migration(1, "kind", migrations.filled("transfers", kind=F.upper("event_type")))]
+    for _ in range(2):
+        migrations.apply_migrations(store, steps)
+    return store.as_of("transfers")
+
+
+@query("SELECT event_id // 10 AS ledger_sequence, event_type, user_id, CAST(value AS DECIMAL(18,2)) AS amount, ts FROM events")
+def backfill_after_lost_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in four gapless runs of ledgers; each is written, its answer counts as lost, and it comes again under another
+    batch id: the same ledgers are replaced."""
+    tables = {"transfers": (_TRANSFERS, "ledger_sequence"), "ingest_watermarks": (ingest.WATERMARKS, "ledger_sequence"), "receipts": (ingest.RECEIPTS, "ledger_start")}
+    store = Store(spark, work_path(spark, "lost"), tables)
+    rows = transfers(spark, sf_dir).select(*_TRANSFERS.fieldNames())
+    low, high = _span(rows, "ledger_sequence")
+    writer, step = ingest.Writer(store, "ledger_sequence", "net", "backfill"), -(-(high - low + 1) // 4)
+    for k in range(4):
+        part = rows.where(C.half_open(F.col("ledger_sequence"), low - 1 + k * step, low - 1 + (k + 1) * step))
+        if part.isEmpty():
+            continue
+        writer.write({"transfers": part}, f"lost-{k}")
+        writer.force_replay = True  # as after an answer that never came
+        writer.write({"transfers": part}, f"again-{k}")
+    return store.as_of("transfers")
+
+
+@query("""WITH d AS (SELECT user_id, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total FROM events GROUP BY 1)
+SELECT user_id, n, total FROM d""")
+def promoted_into_a_new_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proposal whose target does not exist yet, published twice with reports: the table is made once, then replaced by keys."""
+    path = work_path(spark, "new-target")
+    store = Store(spark, path, {"transfers": (_TRANSFERS, "ledger_sequence"), "promotions": (gatekeeper.RECEIPTS, "source_snapshot_id")})
+    store.commit({"transfers": Change(rows=transfers(spark, sf_dir)), "promotions": Change(rows=spark.createDataFrame([], gatekeeper.RECEIPTS))})
+    low, high = _span(store.as_of("transfers"), "ledger_sequence")
+    sql = "SELECT user_id, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM source WHERE ledger_sequence > :start_ledger AND ledger_sequence <= :end_ledger GROUP BY user_id"
+    proposal = gatekeeper.Proposal("new", "agent", "lake.bronze.transfers", 1, low - 1, high, "lake.silver.by_user", ("user_id",), sql, (("unique_users", "SELECT count(*) = count(DISTINCT user_id) FROM candidate"),))
+    for _ in range(2):
+        gatekeeper.promote_reported(spark, store, proposal, work_path(spark, "reports"))
+    again = Store(spark, path, gatekeeper.created_tables(store))
+    return again.as_of("by_user")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators.parity import equal
 from ledgerloom.plans.versioned import Change, Store
-from ledgerloom.session import stage_table
+from ledgerloom.session import drop_path, work_path
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*\Z")
 
@@ -108,12 +108,31 @@ def _items(seq: object) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
+#: Expressions whose value belongs to the run or its session, not to the data (Spark's own class names).
+_OF_THE_RUN = frozenset((
+    "CurrentCatalog", "CurrentDatabase", "CurrentDate", "CurrentTime", "CurrentTimeZone", "CurrentTimestamp", "CurrentUser", "InputFileBlockLength", "InputFileBlockStart",
+    "InputFileName", "LocalTimestamp", "Now", "SparkVersion",
+))
+
+
+def _of_the_run(plan: object, allowed: set[str]) -> bool:
+    """Whether an expression of the plan, subqueries among them, differs from run to run; allowed views are not looked into."""
+    if plan.getClass().getSimpleName() == "View" and plan.desc().identifier().table().lower() in allowed:
+        return False
+    todo = _items(plan.expressions())
+    while todo:
+        e = todo.pop()
+        if e.getClass().getSimpleName() in _OF_THE_RUN:
+            return True
+        todo += _items(e.children())
+    return any(_of_the_run(child, allowed) for child in [*_items(plan.children()), *_items(plan.subqueries())])
+
+
 def confined(df: DataFrame, views: set[str]) -> bool:
     """The analysed plan is a deterministic query that reads nothing but these views: no command, no other table or file,
-    nothing that differs from run to run."""
-    plan = df._jdf.queryExecution().analyzed()
-    changing = re.search(r"current_timestamp|current_date|now\(|rand\(|uuid\(", plan.toString(), re.IGNORECASE)
-    return plan.deterministic() and "Command" not in plan.getClass().getSimpleName() and not changing and not _foreign(plan, {v.lower() for v in views})
+    nothing that differs from run to run. Expressions are judged by their classes, so a text that names one is none."""
+    plan, allowed = df._jdf.queryExecution().analyzed(), {v.lower() for v in views}
+    return plan.deterministic() and "Command" not in plan.getClass().getSimpleName() and not _foreign(plan, allowed) and not _of_the_run(plan, allowed)
 
 
 def _naming(sql: str, views: dict[str, str]) -> str:
@@ -130,13 +149,28 @@ RECEIPTS = T.StructType(
 )
 
 
-def run_gates(spark: SparkSession, store: Store, p: Proposal) -> tuple[DataFrame, list[tuple[str, bool]]]:
+#: What a report has; fixed names, as other tools read reports by them.
+REPORT = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("status", "proposal_id", "proposal_hash", "promotion_id")]
+    + [T.StructField("promoted_rows", T.LongType()), T.StructField("gates", T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("passed", T.BooleanType())]))), T.StructField("error", T.StringType())]
+)
+
+
+def _staged(df: DataFrame, staging: str, name: str) -> DataFrame:
+    path = f"{staging}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_gates(spark: SparkSession, store: Store, p: Proposal, staging: str | None = None) -> tuple[DataFrame, list[tuple[str, bool]]]:
     """Build twice, compare, check invariants, replay a sample -> the candidate and all gates' results.
 
     Nothing is built where the transformation is not confined to the source. An invariant that reads anything but the
-    candidate and the source, or is not exactly one boolean row, is an error, not a failed gate.
+    candidate and the source, or is not exactly one boolean row, is an error, not a failed gate. What is built stands below
+    staging (a new folder named by the proposal's digest where none is given) and stays there.
     """
     p.validate()
+    staging = staging or work_path(spark, f"proposal-{p.digest()[:16]}")
     if p.snapshot > store.current():
         raise ValueError("the proposal pins a snapshot that does not exist yet")
     views = {n: f"_{n}_{uuid.uuid4().hex}" for n in ("source", "candidate")}
@@ -150,7 +184,7 @@ def run_gates(spark: SparkSession, store: Store, p: Proposal) -> tuple[DataFrame
         gates = [("confinement", confined(built, {views["source"]}))]
         if not gates[0][1]:
             return built, gates
-        a, b = stage_table(built, "candidate-a"), stage_table(ask(p.transformation, p.start, p.end, "source"), "candidate-b")
+        a, b = _staged(built, staging, "a"), _staged(ask(p.transformation, p.start, p.end, "source"), staging, "b")
         gates.append(("reproducibility", equal(a, b)))
         a.createOrReplaceTempView(views["candidate"])
         for name, sql in p.invariants:
@@ -162,19 +196,36 @@ def run_gates(spark: SparkSession, store: Store, p: Proposal) -> tuple[DataFrame
                 raise ValueError(f"invariant {name} did not return one boolean row")
             gates.append((f"reconciliation/{name}", got[0][0]))
         low, high = p.replay_range()
-        gates.append(("replay", equal(*(stage_table(ask(p.transformation, low, high, "source"), f"replay-{x}") for x in "ab"))))
+        gates.append(("replay", equal(*(_staged(ask(p.transformation, low, high, "source"), staging, f"replay-{x}") for x in "ab"))))
         return a, gates
     finally:
         for v in views.values():
             spark.catalog.dropTempView(v)
 
 
+def created_tables(store: Store) -> dict[str, tuple[T.StructType, str]]:
+    """Targets that promotions have made, as the store's declarations: {name: (schema, range column)}, from the log."""
+    return {n: (T.StructType.fromJson(json.loads(schema)), seq) for e in store.log() for n, (schema, seq) in e.get("facts", {}).get("created", {}).items()}
+
+
+def _new_target(candidate: DataFrame, keys: tuple[str, ...]) -> tuple[T.StructType, str]:
+    """The candidate's columns; rows are laid out by the first replace key that is a whole number."""
+    whole = [k for k in keys if isinstance(candidate.schema[k].dataType, T.IntegralType)]
+    if not whole:
+        raise ValueError("a target that does not exist yet needs a whole number among its replace_keys")
+    return candidate.schema, whole[0]
+
+
 def promote(spark: SparkSession, store: Store, p: Proposal) -> dict:
     """Publish into the store's target table with a receipt in table promotions, under one snapshot, or raise Rejected.
 
-    Published rows with a candidate's keys end by key tombstones; the rest of the target is neither read nor rewritten.
+    Published rows with a candidate's keys end by key tombstones; the rest of the target is neither read nor rewritten. A
+    target that the store does not know is made with the candidate's columns, in the same snapshot (see created_tables).
+    What was built is deleted after success; what was rejected stays to be looked at.
     """
-    candidate, gates = run_gates(spark, store, p)
+    store.tables |= {n: t for n, t in created_tables(store).items() if n not in store.tables}
+    staging = work_path(spark, f"proposal-{p.digest()[:16]}")
+    candidate, gates = run_gates(spark, store, p, staging)
     if not all(ok for _, ok in gates):
         raise Rejected(gates)
     target = p.target.split(".")[2]
@@ -185,5 +236,38 @@ def promote(spark: SparkSession, store: Store, p: Proposal) -> dict:
         "source_snapshot_id": p.snapshot, "start_ledger_exclusive": p.start, "end_ledger_inclusive": p.end, "target_relation": p.target, "promoted_rows": rows, "gate_results_json": json.dumps(gates),
     }
     row = spark.createDataFrame([receipt], T.StructType([f for f in RECEIPTS.fields if f.name != "promoted_at"])).withColumn("promoted_at", F.timestamp_seconds(F.lit(now)))
-    store.commit({target: Change(rows=candidate, clear_rows=candidate.select(*p.replace_keys)), "promotions": Change(rows=row)}, batch_id=receipt["promotion_id"])
+    known, facts = target in store.tables, None
+    if not known:
+        schema, seq = _new_target(candidate, p.replace_keys)
+        store.tables[target], facts = (schema, seq), {"created": {target: [schema.json(), seq]}}
+    try:
+        store.commit({target: Change(rows=candidate, clear_rows=candidate.select(*p.replace_keys) if known else None), "promotions": Change(rows=row)}, batch_id=receipt["promotion_id"], facts=facts)
+    except BaseException:
+        if not known:
+            del store.tables[target]
+        raise
+    drop_path(spark, staging)
     return receipt
+
+
+def promote_reported(spark: SparkSession, store: Store, p: Proposal, folder: str) -> dict:
+    """promote(), with a report of how it ended as one JSON row in a new folder below `folder` -> the report.
+
+    Its status is promoted, rejected (all gates' results are in it) or error (with the message); only an error is raised
+    again, after its report is written.
+    """
+    report = {"status": "error", "proposal_id": p.proposal_id, "proposal_hash": p.digest(), "promotion_id": None, "promoted_rows": None, "gates": [], "error": None}
+    failed: Exception | None = None
+    try:
+        receipt = promote(spark, store, p)
+        report |= {"status": "promoted", "promotion_id": receipt["promotion_id"], "promoted_rows": receipt["promoted_rows"], "gates": json.loads(receipt["gate_results_json"])}
+    except Rejected as e:
+        report |= {"status": "rejected", "gates": [list(g) for g in e.gates]}
+    except Exception as e:  # noqa: BLE001
+        failed = e
+        report["error"] = str(e)
+    gates = [{"name": n, "passed": ok} for n, ok in report["gates"]]
+    spark.createDataFrame([report | {"gates": gates}], REPORT).coalesce(1).write.json(f"{folder}/report-{uuid.uuid4().hex}", ignoreNullFields=False)
+    if failed is not None:
+        raise failed
+    return report

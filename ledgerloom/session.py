@@ -54,6 +54,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a path that work_path() made; anything outside the shared folder is refused."""
+    if not path.startswith(work_root(spark) + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

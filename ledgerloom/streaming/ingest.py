@@ -80,12 +80,13 @@ def pinned_network(store: Store) -> str | None:
 FEW_ROWS = 20_000
 
 
-def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network: str, batch_id: str, contiguous: bool = False, max_ledgers: int | None = None, max_rows: int | None = None, max_bytes: int | None = None, declared: dict[str, int] | None = None) -> tuple[int, bool]:
+def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network: str, batch_id: str, contiguous: bool = False, max_ledgers: int | None = None, max_rows: int | None = None, max_bytes: int | None = None, declared: dict[str, int] | None = None, replay: bool = False, profile: str | None = None) -> tuple[int, bool]:
     """One batch of rows for several tables under one snapshot -> (snapshot, whether anything was written).
 
     A batch id seen before with the same contents does nothing, with others it is refused. Ledgers at or below the
     watermark are replays: their old rows end in the same commit, and so do receipts that overlap the replayed range;
-    fresh ledgers need no tombstones. With contiguous, ledgers must be gapless and start right after the watermark
+    fresh ledgers need no tombstones. With replay all of them are taken for replays, whatever the
+    watermark says, and contiguous only forbids gaps in and before them. A profile is kept in the log. With contiguous, ledgers must be gapless and start right after the watermark
     (backfill); limits refuse a batch that is too large, and one that differs from what was declared (ledgers, rows,
     bytes) is refused too. Bytes are those of the rows as JSON, counted only where they are asked for. Tables
     ledger_batches and ingest_metrics are filled if the store has them. Each table's ledger is its range column in the
@@ -132,9 +133,12 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
                     raise CommitConflict(f"batch {batch_id} came again with other contents")
                 return e["snapshot"], False
         mark = high_watermark(store, network)
-        if contiguous and (bounds["hi"] - bounds["lo"] + 1 != bounds["n"] or (mark is not None and bounds["lo"] != mark + 1)):
+        if contiguous and (bounds["hi"] - bounds["lo"] + 1 != bounds["n"] or (mark is not None and bounds["lo"] != mark + 1 and not (replay and bounds["lo"] <= mark))):
             raise ValueError(f"ledgers {bounds['lo']} to {bounds['hi']} do not follow {mark} without gaps")
-        again = ledgers.where(F.col(seq) <= F.lit(mark)).select(seq) if mark is not None and bounds["lo"] <= mark else None
+        if replay:
+            again = ledgers.select(seq)
+        else:
+            again = ledgers.where(F.col(seq) <= F.lit(mark)).select(seq) if mark is not None and bounds["lo"] <= mark else None
 
         def change(rows: DataFrame, own: str) -> Change:
             return Change(rows=rows, clear_keys=None if again is None else again.select(F.col(seq).alias(own)), few=counts["rows"] <= FEW_ROWS)
@@ -147,19 +151,68 @@ def commit_batch(store: Store, tables: dict[str, DataFrame], seq: str, network:
         receipt = spark.createDataFrame([(network, batch_id, bounds["lo"], bounds["hi"], bounds["n"], digest)], RECEIPTS)
         stale = None
         if again is not None:
-            overlap = (F.col("network_passphrase") == network) & file_overlap(F.col("ledger_start"), F.col("ledger_end"), bounds["lo"], min(bounds["hi"], mark))
-            stale = store.as_of("receipts").where(overlap).select("network_passphrase", "batch_id")
+            overlap = (F.col("network_passphrase") == network) & file_overlap(F.col("ledger_start"), F.col("ledger_end"), bounds["lo"], bounds["hi"] if replay else min(bounds["hi"], mark))
+            stale = None if not store.current() else store.as_of("receipts").where(overlap).select("network_passphrase", "batch_id")
         changes["receipts"] = Change(rows=receipt, clear_rows=stale, few=True)
         if "ingest_metrics" in store.tables:
             taken = again.count() if again is not None else 0
             row = (batch_id, bounds["lo"], bounds["hi"], bounds["n"], rows, weight, taken, (time.monotonic() - began) * 1000)
             changes["ingest_metrics"] = Change(rows=spark.createDataFrame([row], METRICS), few=True)
         facts = {"network": network, "watermark": max(bounds["hi"], mark if mark is not None else bounds["hi"])}
-        return store.commit(changes, batch_id=batch_id, digest=digest, facts=facts)
+        return store.commit(changes, batch_id=batch_id, digest=digest, facts=facts | ({"profile": profile} if profile else {}))
     finally:
         keys.unpersist()
 
 
+class Writer:
+    """The one writer of a store, for one profile, that repeats a commit whose answer was lost.
+
+    "live" takes batches of one ledger; "backfill" takes gapless ones within its limits (max_ledgers, max_rows, max_bytes).
+    A store keeps the two apart: while its last commit by a writer came from the other profile, batches are refused until
+    take_over() says that the change is meant. After any failure it is unknown whether the commit was done, so the next
+    try (and the next batch, if no try worked) replaces its ledgers instead of adding to them.
+    """
+
+    def __init__(self, store: Store, seq: str, network: str, profile: str = "live", attempts: int = 2, wait: float = 0.0, **limits: int) -> None:
+        if profile not in ("live", "backfill"):
+            raise ValueError("the profile is live or backfill")
+        if attempts < 1:
+            raise ValueError("there is at least one attempt")
+        if limits and profile == "live":
+            raise ValueError("limits are for backfill, a live batch is one ledger")
+        self.store, self.seq, self.network, self.profile = store, seq, network, profile
+        self.attempts, self.wait, self.limits = attempts, wait, limits
+        self.force_replay = False
+        self.retries = 0
+        self._taken_over = False
+
+    def take_over(self) -> None:
+        """The other profile is done with this store."""
+        self._taken_over = True
+
+    def write(self, tables: dict[str, DataFrame], batch_id: str) -> tuple[int, bool]:
+        """Commit one batch, as commit_batch() does. What the batch itself has wrong is raised at once and forces nothing."""
+        told = [p for e in self.store.log() if (p := e.get("facts", {}).get("profile"))]
+        if told and told[-1] != self.profile and not self._taken_over:
+            raise ValueError(f"this store is written by the {told[-1]} profile")
+        own = {"contiguous": True, **self.limits} if self.profile == "backfill" else {"max_ledgers": 1}
+        for attempt in range(1, self.attempts + 1):
+            try:
+                done = commit_batch(self.store, tables, self.seq, self.network, batch_id, replay=self.force_replay, profile=self.profile, **own)
+            except (ValueError, CommitConflict):
+                raise
+            except Exception:
+                self.force_replay = True
+                if attempt == self.attempts:
+                    raise
+                self.retries += 1
+                time.sleep(self.wait * 2 ** (attempt - 1))
+            else:
+                self.force_replay = False
+                return done
+        raise AssertionError("unreachable")
+
+
 def stream_into(store: Store, stream: DataFrame, split: Callable[[DataFrame], dict[str, DataFrame]], seq: str, network: str, query: str, checkpoint: str, **limits: object):  # noqa: ANN201
     """Start a query whose batches go through commit_batch; its own checkpoint and the batch ids make reruns harmless."""
 

@@ -5,7 +5,7 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FAST = ["asset_daily_volume", "gap_ranges", "continuity_report", "microbatch_pack", "as_of_version", "shard_split", "row_ordinals", "upsert_latest", "symmetric_diff"]
+FAST = ["asset_daily_volume", "gap_ranges", "continuity_report", "microbatch_pack", "as_of_version", "shard_split", "row_ordinals", "upsert_latest", "symmetric_diff", "migrated_transfers", "backfill_after_lost_answers", "promoted_into_a_new_table"]
 
 
 def test_entry(spark):

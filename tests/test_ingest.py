@@ -85,3 +85,50 @@ def test_fan_out(spark):
     seen = []
     ingest.fan_out(spark.range(3), [lambda d: seen.append(d.count()), lambda d: seen.append(d.agg(F.sum("id")).first()[0])])
     assert seen == [3, 3]
+
+
+def test_writer_repeats_after_a_lost_answer(spark, monkeypatch):
+    store = Store(spark, work_path(spark, "writer"), TABLES, width=10)
+    df = lambda *s, v="a": {"t": spark.createDataFrame([(x, v) for x in s], S)}
+    w, commit = ingest.Writer(store, "seq", "net", "backfill", max_ledgers=3), store.commit
+    with pytest.raises(ValueError, match="limits"):
+        w.write(df(1, 2, 3, 4), "big")
+    assert not w.force_replay and w.write(df(1, 2, 3), "b1") == (1, True)
+    lost = iter([True, False])
+
+    def forgetful(*a, **k):
+        got = commit(*a, **k)
+        if next(lost):
+            raise OSError("no answer")
+        return got
+
+    monkeypatch.setattr(store, "commit", forgetful)
+    assert w.write(df(4, 5), "b2") == (2, False) and w.retries == 1 and not w.force_replay  # it had been done: found by its id
+    monkeypatch.setattr(store, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("down")))
+    with pytest.raises(OSError):
+        w.write(df(6), "b3")
+    assert w.force_replay and w.retries == 2
+    monkeypatch.setattr(store, "commit", commit)
+    with pytest.raises(ValueError, match="follow"):
+        w.write(df(8), "gap")
+    w.write(df(5, 6, v="b"), "b4")  # replaces what may have been written, whatever the watermark says
+    assert not w.force_replay and sorted(map(tuple, store.as_of("t").collect())) == [(1, "a"), (2, "a"), (3, "a"), (4, "a"), (5, "b"), (6, "b")]
+    assert sorted(r["batch_id"] for r in store.as_of("receipts").collect()) == ["b1", "b4"]
+
+
+def test_profiles_do_not_mix(spark):
+    store = Store(spark, work_path(spark, "profiles"), TABLES, width=10)
+    df = lambda *s: {"t": spark.createDataFrame([(x, "a") for x in s], S)}
+    back, live = ingest.Writer(store, "seq", "net", "backfill"), ingest.Writer(store, "seq", "net")
+    back.write(df(1, 2), "b")
+    with pytest.raises(ValueError, match="backfill profile"):
+        live.write(df(3), "l")
+    live.take_over()
+    live.write(df(3), "l")
+    with pytest.raises(ValueError, match="limits"):
+        live.write(df(4, 5), "two")
+    with pytest.raises(ValueError, match="live profile"):
+        back.write(df(4), "b2")
+    for bad in ({"profile": "other"}, {"attempts": 0}, {"max_rows": 1}):
+        with pytest.raises(ValueError):
+            ingest.Writer(store, "seq", "net", **bad)

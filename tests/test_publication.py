@@ -85,3 +85,46 @@ def test_constants_and_clauses_are_allowed(spark, store):
     G.promote(spark, store, dataclasses.replace(P, transformation=sql, invariants=(both,)))
     assert {r["k"]: r["n"] for r in store.as_of("out").collect()} == {None: 1, "old": 2, "k0": 5, "k1": 6}
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("_source", "_candidate"))]
+
+
+@pytest.mark.parametrize("sql", ["localtimestamp()", "current_user()", "current_timezone()", "now()", "current_date()", "current_database()", "unix_timestamp()", "(SELECT max(current_user()) FROM source)"])
+def test_what_belongs_to_the_run_is_refused(spark, store, sql):
+    gates = G.run_gates(spark, store, dataclasses.replace(P, transformation=f"SELECT k, CAST({sql} AS STRING) AS n FROM source"))[1]
+    assert gates == [("confinement", False)]
+
+
+def test_a_text_that_names_a_function_is_none(spark, store):
+    gates = G.run_gates(spark, store, dataclasses.replace(P, transformation="SELECT k, count(*) AS n FROM source WHERE 'now(' <> 'rand(' GROUP BY k"))[1]
+    assert all(ok for _, ok in gates)
+
+
+def _reports(spark, folder):
+    return sorted(map(tuple, spark.read.schema(G.REPORT).json(f"{folder}/*").select("status", "promoted_rows", "error").collect()), key=str)
+
+
+def test_new_target_reports_and_staging(spark, store):
+    """A missing target is made once; reports say promoted, rejected and error; only a rejected candidate stays."""
+    folder, before = work_path(spark, "reports"), set(_staging(spark))
+    new = dataclasses.replace(P, target="c.s.fresh", replace_keys=("n",), transformation="SELECT count(*) AS n, k FROM source WHERE ledger > :start_ledger AND ledger <= :end_ledger GROUP BY k")
+    G.promote_reported(spark, store, new, folder)
+    assert set(_staging(spark)) == before
+    other = Store(spark, store.root, {"src": (SRC, "ledger"), "promotions": (G.RECEIPTS, "source_snapshot_id")})
+    G.promote_reported(spark, other, new, folder)
+    want = sorted([(4, None), (5, "k0"), (6, "k1"), (5, "k2")], key=str)
+    assert sorted(map(tuple, other.as_of("fresh").collect()), key=str) == want and other.as_of("promotions").count() == 2
+    report = G.promote_reported(spark, store, dataclasses.replace(new, invariants=(("none", "SELECT count(*) = 0 FROM candidate"),)), folder)
+    assert report["status"] == "rejected" and ["reconciliation/none", False] in report["gates"] and len(set(_staging(spark)) - before) == 1
+    with pytest.raises(ValueError, match="does not exist yet"):
+        G.promote_reported(spark, store, dataclasses.replace(new, snapshot=99), folder)
+    with pytest.raises(ValueError, match="whole number"):
+        G.promote_reported(spark, store, dataclasses.replace(new, target="c.s.none", replace_keys=("k",)), folder)
+    assert "none" not in store.tables
+    got = _reports(spark, folder)
+    assert [g[:2] for g in got] == [("error", None), ("error", None), ("promoted", 4), ("promoted", 4), ("rejected", None)] and got[0][2] and got[4][2] is None
+
+
+def _staging(spark):
+    import os
+
+    root = work_path(spark, "x").removeprefix("file://").rsplit("/", 1)[0]
+    return [n for n in os.listdir(root) if n.startswith("proposal-")]
