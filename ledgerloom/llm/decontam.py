@@ -130,15 +130,22 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(n, print, window, items): each distinct window of the benchmark with the ids of its items, null among them.
+def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """windows (n, print, window, class) and members (class, item_id, size), both stored; nothing of them is on the driver.
 
-    n is WINDOW, or the number of words of an item that has fewer. Stored; no window or item is on the driver.
+    windows has each distinct window of the benchmark once; n is WINDOW, or the number of words of an item that has
+    fewer. Windows that the same items hold are of one class, so a passage of many items (a prompt's opening) names
+    them once, not once a window. Classes are told apart by the number of items and two 64-bit sums of their hashes.
     """
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(_window_batches, "item_id string, n int, print long, window string")
-    known = rows.groupBy("n", "print", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed"))
-    items = F.when(F.col("unnamed"), F.concat("items", F.array(F.lit(None).cast("string")))).otherwise(F.col("items"))
-    return stage_table(known.select("n", "print", "window", items.alias("items")), "windows")
+    texts = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    held = stage_table(texts.mapInArrow(_window_batches, "item_id string, n int, print long, window string").distinct(), "item-windows")
+    sums = [F.sum(F.xxhash64(F.lit(k), F.col("item_id").isNull(), "item_id").cast("decimal(20,0)")).alias(f"s{k}") for k in (1, 2)]
+    signed = held.groupBy("n", "print", "window").agg(F.count("*").alias("size"), *sums)
+    first = signed.groupBy("size", "s1", "s2").agg(F.min("window").alias("first_window"))
+    classes = stage_table(first.withColumn("class", F.monotonically_increasing_id()), "classes")
+    windows = stage_table(signed.join(classes, ["size", "s1", "s2"]).select("n", "print", "window", "class"), "windows")
+    members = held.join(classes, F.col("window") == F.col("first_window")).select("class", "item_id", "size")
+    return windows, stage_table(members, "members")
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +193,7 @@ def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             new = np.concatenate(([True], starts[1:] > ends[:-1]))
             last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(starts) - 1]))
             spans.append(np.stack([starts[new], ends[last]], 1).ravel().tolist())
-        yield pa.RecordBatch.from_arrays([b.column("row_key"), pa.array(spans, pa.list_(pa.int64())), b.column("items")], ["row_key", "hit_spans", "items"])
+        yield pa.RecordBatch.from_arrays([b.column("row_key"), pa.array(spans, pa.list_(pa.int64())), b.column("classes")], ["row_key", "hit_spans", "classes"])
 
 
 def _marked(docs: DataFrame, carry: list[str], sizes: list[int]) -> DataFrame:
@@ -200,7 +207,7 @@ def _marked(docs: DataFrame, carry: list[str], sizes: list[int]) -> DataFrame:
 
 
 def _hits(marked: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row_key, hit_spans, items) of the rows that hold a window of the benchmark.
+    """(row_key, hit_spans, classes) of the rows that hold a window of the benchmark; classes are sorted.
 
     Fingerprints are joined on equality, each of a row with at most one of the benchmark. Only rows that share one are
     read again; their windows with a shared fingerprint are joined on their words with the benchmark's distinct
@@ -214,9 +221,33 @@ def _hits(marked: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
     met = marked.select("row_key", F.explode("prints").alias("print")).join(known, "print").groupBy("row_key").agg(F.collect_list("print").alias("shared"))
     shared = stage_table(met, "shared")
     places = marked.select("row_key", "text").join(shared, "row_key").mapInArrow(place, "row_key long, n int, window string, places array<int>")
-    found = places.join(windows.select("window", "items"), "window")
-    each = found.groupBy("row_key").agg(F.collect_list(F.struct("n", "places")).alias("found"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    return stage_table(each.mapInArrow(_span_batches, "row_key long, hit_spans array<long>, items array<string>"), "hits")
+    found = places.join(windows.select("window", "class"), "window")
+    each = found.groupBy("row_key").agg(F.collect_list(F.struct("n", "places")).alias("found"), F.array_sort(F.collect_set("class")).alias("classes"))
+    return stage_table(each.mapInArrow(_span_batches, "row_key long, hit_spans array<long>, classes array<long>"), "hits")
+
+
+def _item_sets(hits: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """named (classes, set_id) for the sets of classes that occur, and sets (set_id, items), items sorted, null last.
+
+    Items are gathered once for each different set, never once a row. Before that a class goes whose items the set's
+    largest class holds anyway, so that rows with the same opening and a question each mostly share a set.
+    """
+    combos = stage_table(hits.groupBy("classes").agg(F.min("row_key").alias("combo")), "combos")
+    each = combos.select("combo", F.explode("classes").alias("class")).join(members.select("class", "size").distinct(), "class")
+    largest = each.groupBy("combo").agg(F.max(F.struct("size", "class")).getField("class").alias("base"))
+    paired = stage_table(each.join(largest, "combo"), "paired")
+    pairs = paired.where("class <> base").select("class", "base", "size").distinct()
+    base_items = members.select(F.col("class").alias("base"), F.col("item_id").alias("base_item"))
+    asked = pairs.join(members.select("class", "item_id"), "class").alias("asked")
+    shared = asked.join(base_items.alias("b"), (F.col("asked.base") == F.col("b.base")) & F.col("item_id").eqNullSafe(F.col("base_item")))
+    inside = shared.groupBy("class", "asked.base", "size").agg(F.count("*").alias("n")).where("n = size").select("class", "base")
+    fewer = paired.join(stage_table(inside, "inside"), ["class", "base"], "left_anti")
+    fewer = stage_table(fewer.groupBy("combo").agg(F.array_sort(F.collect_list("class")).alias("fewer")), "fewer")
+    kept = stage_table(fewer.groupBy("fewer").agg(F.min("combo").alias("set_id")), "sets")
+    ids = kept.select("set_id", F.explode("fewer").alias("class")).join(members, "class").select("set_id", "item_id").distinct()
+    items = ids.groupBy("set_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed"))
+    sets = items.select("set_id", F.when(F.col("unnamed"), F.concat("items", F.array(F.lit(None).cast("string")))).otherwise(F.col("items")).alias("items"))
+    return combos.join(fewer, "combo").join(kept, "fewer").select("classes", "set_id"), sets
 
 
 def _measure(spans: F.Column) -> F.Column:
@@ -240,14 +271,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     any other and stand as one null among the items. Each row has its own hits, also where doc_id is null or repeated.
     Other columns are ignored. An empty benchmark gives no hits, an empty table no rows.
     """
+    rows, hits, named, sets = _contamination(docs, benchmark)
+    found = hits.join(stage_table(named, "named"), "classes").join(sets, "set_id").select("row_key", "hit_spans", "items")
+    none = F.coalesce("hit_spans", F.array().cast("array<long>")), F.coalesce("items", F.array().cast("array<string>"))
+    return rows.join(found, "row_key", "left").select("doc_id", "n_words", none[0].alias("hit_spans"), none[1].alias("items"))
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """rows (row_key, doc_id, n_words), one for each row of docs, their hits, and named and sets as in _item_sets()."""
     ship_package(docs.sparkSession)
-    windows = benchmark_windows(benchmark)
+    windows, members = benchmark_windows(benchmark)
     sizes = _sizes(windows)
     marked = _marked(docs.select(F.col("doc_id").cast("bigint"), "text"), ["doc_id"], sizes)
-    base = marked.select("row_key", F.col("c0").alias("doc_id"), "n_words")
-    return base.join(_hits(marked, windows, sizes), "row_key", "left").select(
-        "doc_id", "n_words", F.coalesce("hit_spans", F.array().cast("array<long>")).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
-    )
+    hits = _hits(marked, windows, sizes)
+    return marked.select("row_key", F.col("c0").alias("doc_id"), "n_words"), hits, *_item_sets(hits, members)
 
 
 def _contaminated(n_words: F.Column, n_hit: F.Column) -> F.Column:
@@ -257,7 +294,7 @@ def _contaminated(n_words: F.Column, n_hit: F.Column) -> F.Column:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that are not contaminated, each judged by itself as in contamination()."""
     ship_package(docs.sparkSession)
-    windows = benchmark_windows(benchmark)
+    windows, _ = benchmark_windows(benchmark)
     sizes, carry = _sizes(windows), [c for c in docs.columns if c != "text"]
     marked = _marked(docs, carry, sizes)
     judged = marked.select("row_key", "n_words").join(_hits(marked, windows, sizes), "row_key")
@@ -266,23 +303,25 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return kept.select(*[F.col("text" if c == "text" else f"c{carry.index(c)}").alias(c) for c in docs.columns])
 
 
-def contamination_digest(found: DataFrame) -> DataFrame:
-    """contamination() -> doc_id, n_words, n_hit, n_items, items_sha256 (ids that are null left out), contaminated."""
-    return found.withColumn("n_hit", _measure(F.col("hit_spans"))).select(
+def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The contract's columns, for all documents against the whole benchmark; ids that are null are left out of the digest.
+
+    Ids are joined and hashed once for each set of items, so rows carry a digest and never the ids."""
+    rows, hits, named, sets = _contamination(docs, benchmark)
+    digests = sets.select("set_id", F.size("items").cast("long").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("digest"))
+    digests = stage_table(named.join(digests, "set_id").select("classes", "n", "digest"), "digests")
+    found = hits.join(digests, "classes").select("row_key", _measure(F.col("hit_spans")).alias("hit"), "n", "digest")
+    none = F.lit(0).cast("long")
+    return rows.join(found, "row_key", "left").withColumn("n_hit", F.coalesce("hit", none)).select(
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        F.coalesce("n", none).alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         _contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
     )
 
 
-def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The contract's columns, for all documents against the whole benchmark."""
-    return contamination_digest(contamination(docs, benchmark))
-
-
 OP7_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

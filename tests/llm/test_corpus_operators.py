@@ -136,6 +136,33 @@ def test_decontamination_against_brute_force(spark):
     assert decontam.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_items_of_shared_openings_are_named_once(spark, monkeypatch):
+    """300 items open alike, some share more; ids meet the documents once a set of items, never once a document."""
+    opening = " ".join(f"opening{i}" for i in range(30))
+    items = [(i, f"{opening} " + " ".join(f"q{i % 100}w{k}" for k in range(15))) for i in range(300)] + [(None, opening), (300, "q1w1 q1w2 q1w3"), (5, opening)]
+    texts = [f"{i} {items[i][1]} tail" for i in range(150)] + [f"{opening} tail {i}" for i in range(150)] + [" ".join(f"q{i}w{k}" for k in range(15)) for i in range(3)]
+    docs, bench = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    sizes = {}
+
+    def counted(df, label):
+        out = stage_table(df, label)
+        sizes[label] = out.count()
+        return out
+
+    stage_table = decontam.stage_table
+    monkeypatch.setattr(decontam, "stage_table", counted)
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontam.op7_decontamination(docs, bench).collect())
+    held = [brute_hits(t, items) for t in texts]
+    named = [sorted({str(i) for i, t in items if brute_hits(d, [(i, t)])[1]} - {"None"}) for d in texts[:1] + texts[-2:]]
+    assert [g[1:3] + (g[5],) for g in got] == [h[:2] + (h[4],) for h in held]
+    nulls = [int(opening in t) for t in texts]
+    assert [g[4] for g in got] == [h[3] for h in held] and [g[3] for g in got] == [h[2] for h in held]
+    assert sum(nulls) == 300 and [g[4] for g in (got[0], *got[-2:])] == [hashlib.sha256(",".join(n).encode()).hexdigest() for n in named]
+    assert sizes["hits"] == 303 and sizes["sets"] <= 8 and sizes["members"] < 4 * len(items)
+    full = {r["doc_id"]: r["items"] for r in decontam.contamination(docs, bench).collect()}
+    assert full[0] == [*sorted(str(i) for i in range(300)), None] and full[302] == sorted(["102", "2", "202"])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.integers(0, 3), max_size=60), st.integers(1, 13))
 def test_shared_windows_share_a_fingerprint(a, b, n):
