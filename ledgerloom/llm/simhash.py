@@ -49,13 +49,19 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = np.array([fingerprint(t.as_py()) for t in b.column("text")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(fps, pa.int64())], ["doc_id", "text_key", "fp"])
+
+
+def text_key(text: F.Column) -> F.Column:
+    """64 bits that tell the texts of one doc_id apart; a null text has its own."""
+    return F.xxhash64(text.isNull(), text)
 
 
 def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp bigint), one row per input row."""
+    """(doc_id, text_key, fp bigint), one row per input row."""
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(_fingerprints, "doc_id long, text_key long, fp long")
 
 
 def _segment(k: int) -> F.Column:
@@ -161,7 +167,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links of at most RADIUS bits.
+    """(doc_id, fp, component_id, text_key, root): component_id is the smallest doc_id reachable over links of at most
+    RADIUS bits, root the component's own name, which also tells components without an id or with the same id apart.
 
     Null texts count as empty; a text without words has fingerprint zero and links like any other. Repeated rows
     keep their own result rows; a null doc_id takes part but is never a component's id unless all its ids are null.
@@ -173,8 +180,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = classes.join(comps, classes["fp"] == comps["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     roots = stage_table(roots, "roots")
     lows = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = roots.join(lows, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = roots.join(lows, "root").select("fp", "component_id", "root")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "text_key", "root")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that stay: one of each component.
+
+    It is the row with the smallest doc_id (null only where all are), of several texts with that id one; of rows that
+    repeat both id and text one stays, any where their other columns differ. Rows are named by doc_id wherever all
+    rows of an id go, and by doc_id and text_key where an id is null or has other rows that stay. What goes is stored
+    before it is joined: it is far less than what stays, so Spark, which knows its size, can mostly spare the texts a
+    shuffle. Null and empty texts have the same fingerprint, so one of all of them stays.
+    """
+    found = stage_table(near_duplicates(docs).select("doc_id", "text_key", "root"), "found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("k")
+    stay = found.groupBy("root").agg(first).select(F.col("k.doc_id").alias("id"), F.col("k.text_key").alias("key"), F.lit(True).alias("stays"))
+    rows = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    judged = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    judged = stage_table(judged.select("doc_id", "text_key", "n", F.coalesce("stays", F.lit(False)).alias("stays")), "judged")
+    ids = judged.where("doc_id is not null").groupBy("doc_id").agg(F.max("stays").alias("any"))
+    ids = stage_table(ids.where("not any").select("doc_id"), "dropped")
+    some = stage_table(judged.where("not stays").join(ids, "doc_id", "left_anti").select("doc_id", "text_key"), "dropped-texts")
+    repeats = stage_table(judged.where("stays and n > 1").select("doc_id", "text_key"), "repeats")
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text").cast("string")).alias("text_key"), row)
+
+    def same(left: DataFrame, right: DataFrame) -> F.Column:
+        return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
+
+    kept = keyed.join(ids, "doc_id", "left_anti")
+    if not some.isEmpty():
+        kept = kept.join(some, same(kept, some), "left_anti")
+    if not repeats.isEmpty():
+        once = kept.join(repeats, same(kept, repeats), "left_semi").dropDuplicates(["doc_id", "text_key"])
+        kept = kept.join(repeats, same(kept, repeats), "left_anti").unionAll(once)
+    return kept.select("row.*")
 
 
 def op4_simhash(docs: DataFrame) -> DataFrame:
