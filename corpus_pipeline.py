@@ -24,14 +24,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked fingerprints the document with the smallest doc_id stays. Rows that repeat that doc_id
-    are that document and stay with it; where all ids of a component are null its rows cannot be told apart and stay.
-    Null and empty texts link to each other, so one of them stays. The ids that go are stored before the join: they are far
-    fewer than those that stay, so Spark, which knows their size, can mostly spare the texts a shuffle."""
-    found, other = simhash.near_duplicates(docs), _fresh("dropped_id", docs.columns)
-    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
-    dropped = stage_table(stays.where("not stays").select(F.col("doc_id").alias(other)), "dropped")
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[other]), "left_anti")
+    """Of each component of linked fingerprints one row stays, that with the smallest doc_id; rows are judged by themselves,
+    so copies go also where they share their doc_id with another text or have none. Null and empty texts link to each
+    other, so one of them stays. Columns stay as they are."""
+    return simhash.representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
