@@ -35,7 +35,7 @@ class Change:
 
     rows: DataFrame | None = None
     clear: list[tuple[int | None, int | None]] = field(default_factory=list)
-    #: Or the single sequence numbers to clear, as a table with the range column.
+    #: Or the single sequence numbers to clear, as a table with the range column; met by equality, however many.
     clear_keys: DataFrame | None = None
     #: Or rows to clear by equal values (null equals null) of this table's columns, whatever their range.
     clear_rows: DataFrame | None = None
@@ -137,13 +137,15 @@ class Store:
             if (None, None) in c.clear:
                 done["all"] = "cleared"
             ranges = [r for r in c.clear if r != (None, None)]
-            if ranges or c.clear_keys is not None:
-                tombs = self.spark.createDataFrame(ranges, _TOMB)
-                if c.clear_keys is not None:
-                    key = F.col(seq).cast("bigint")
-                    tombs = tombs.unionByName(c.clear_keys.where(F.col(seq).isNotNull()).select(key.alias("lo"), key.alias("hi")).distinct())
+            if ranges:
                 done["tombstones"] = f"{name}/tombstones/end={n}/{attempt}"
-                writes.append(partial(tombs.write.parquet, f"{self.root}/{done['tombstones']}"))
+                writes.append(partial(self.spark.createDataFrame(ranges, _TOMB).write.parquet, f"{self.root}/{done['tombstones']}"))
+            if c.clear_keys is not None:
+                # not ranges of one: those would meet every row of their bucket
+                key = F.col(seq).cast("bigint").try_cast(schema[seq].dataType).alias(seq)
+                single = c.clear_keys.select(key).where(F.col(seq).isNotNull()).distinct()
+                done["ledgers"] = f"{name}/keys/end={n}/{attempt}-ledgers"
+                writes.append(partial(single.write.parquet, f"{self.root}/{done['ledgers']}"))
             if c.clear_rows is not None:
                 done["keys"] = f"{name}/keys/end={n}/{attempt}"
                 done["key_columns"] = ",".join(sorted(c.clear_rows.columns))
@@ -188,6 +190,8 @@ class Store:
                     rows, tombs, keys, cleared = [], [], {}, []
             rows += [(at["rows"], e["snapshot"])] if "rows" in at else []
             tombs += [(at["tombstones"], e["snapshot"])] if "tombstones" in at else []
+            if "ledgers" in at:
+                keys.setdefault(self.tables[name][1], []).append((at["ledgers"], e["snapshot"]))
             if "keys" in at:
                 keys.setdefault(at["key_columns"], []).append((at["keys"], e["snapshot"]))
         return rows, tombs, keys, cleared

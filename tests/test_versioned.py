@@ -120,3 +120,21 @@ def test_a_failing_table_keeps_its_mark(spark):
 
 def test_drift_is_refused(spark):
     assert replica.column_drift(["a", "b"], ["b", "c"]) == "missing a; unexpected c"
+
+
+def test_single_ledgers_end_by_equality(spark):
+    """In one range bucket: no join compares a bucket's rows with all its ended ledgers; null sequence numbers stay."""
+    store = Store(spark, work_path(spark, "single"), TABLES)
+    store.commit({"t": Change(rows=spark.createDataFrame([(k, "old") for k in range(200)] + [(None, "none")], S))})
+    gone = spark.createDataFrame([(k,) for k in range(0, 200, 2)] + [(0,), (None,), (9_999,)], "seq int")
+    store.commit({"t": Change(rows=spark.createDataFrame([(4, "new")], S), clear_keys=gone, clear=[(101, 103)], clear_rows=spark.createDataFrame([(7, "old")], S))})
+    store.commit({"t": Change(clear_rows=spark.createDataFrame([(9,)], "seq long"))})
+    want = [(-1, "none"), (4, "new")] + [(k, "old") for k in range(1, 200, 2) if k not in (7, 9, 101, 103)]
+    assert rows(store.as_of("t")) == sorted(want)
+    ended = store.table_changes("t", 2, 3).where("change_type = 'delete'")
+    assert sorted((r["snapshot_id"], r["seq"]) for r in ended.collect()) == sorted([(2, k) for k in range(0, 200, 2)] + [(2, 7), (2, 101), (2, 103), (3, 9)])
+    only = Store(spark, work_path(spark, "only"), TABLES)
+    only.commit({"t": Change(rows=spark.createDataFrame([(1, "a"), (2, "b")], S))})
+    only.commit({"t": Change(clear_keys=spark.createDataFrame([(1,)], "seq long"))})
+    plan = only.as_of("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(only.as_of("t")) == [(2, "b")] and "sequence(" not in plan and " lo#" not in plan
