@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-
+import os
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import digest_ok, file_overlap
+from ledgerloom.session import ship_package
 
 CODECS = ("zstd", "snappy", "uncompressed")
 MANIFEST = "path string, sha256 string, bytes bigint, rows bigint, ledger_start bigint, ledger_end bigint, ledgers bigint"
@@ -70,16 +80,111 @@ def _sizes(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(_below(F.col("path"), folder).alias("path"), F.col("length").alias("bytes"))
 
 
+#: Bytes of rows that a file's writer holds before it makes a row group of them.
+GROUP_BYTES = 32 << 20
+
+
+class _KeyFile:
+    """One Parquet file under a hidden name, which gets its own name when it is whole; repeated tasks replace it."""
+
+    def __init__(self, folder: str, name: str, schema: pa.Schema) -> None:
+        self.name, self.schema, self.rows = name, schema, 0
+        self.path, self.part = f"{folder}/{name}", f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self.writer, self.held, self.bytes = pq.ParquetWriter(self.part, schema, compression="snappy"), [], 0
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.held.append(rows)
+        self.rows += rows.num_rows
+        self.bytes += rows.nbytes
+        if self.bytes >= GROUP_BYTES:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            self.writer.write_table(pa.Table.from_batches(self.held, self.schema))
+        self.held, self.bytes = [], 0
+
+    def close(self) -> tuple[str, int]:
+        self.flush()
+        self.writer.close()
+        os.replace(self.part, self.path)
+        return self.name, self.rows
+
+
+def _key_files(folder: str, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, current, value = [], None, None
+        for b in batches:
+            at = b.schema.get_field_index(key)
+            rows = pa.RecordBatch.from_arrays([c for i, c in enumerate(b.columns) if i != at], schema=b.schema.remove(at))
+            start = 0
+            for v, run in groupby(b.column(at).to_pylist()):
+                n = sum(1 for _ in run)
+                if current is None or v != value:
+                    done += [current.close()] if current else []
+                    current, value = _KeyFile(folder, f"{key}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}.parquet", rows.schema), v
+                current.add(rows.slice(start, n))
+                start += n
+        done += [current.close()] if current else []
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], ["name", "rows"])
+
+    return make
+
+
+def write_keyed(df: DataFrame, path: str, key: str, order: list[str]) -> None:
+    """One Parquet file for each value of a whole-number column, which is left out of it; rows in the given order; never over
+    an existing folder.
+
+    On a shared file system (file:) the tasks write <key>=<value>.parquet into one folder: Hadoop's local file system starts two
+    processes for each file it makes, and a folder for each file is one more task to list. Elsewhere Spark's writer makes
+    a folder <key>=<value> with one file.
+    """
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise ValueError(f"{key} is not a whole number")
+    spark = df.sparkSession
+    dealt = df.repartition(key).sortWithinPartitions(key, *order)
+    if not path.startswith("file:"):
+        dealt.write.mode("errorifexists").partitionBy(key).parquet(path)
+        return
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder):
+        raise FileExistsError(path)
+    system.mkdirs(folder)
+    ship_package(spark)
+    dealt.mapInArrow(_key_files(folder.toUri().getPath(), key), "name string, rows long").write.format("noop").mode("overwrite").save()
+
+
+def _manifest_batches(seq: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for path, size, content in zip(b.column("path"), b.column("bytes"), b.column("content"), strict=True):
+                data = content.as_buffer()
+                ledgers = pq.ParquetFile(pa.BufferReader(data)).read(columns=[seq], use_threads=False).column(seq)
+                ends = pc.min_max(ledgers).as_py()
+                out.append((path.as_py(), hashlib.sha256(data).hexdigest(), size.as_py(), len(ledgers), ends["min"], ends["max"], pc.count_distinct(ledgers).as_py()))
+            kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
+            names = ["path", "sha256", "bytes", "rows", "ledger_start", "ledger_end", "ledgers"]
+            columns = list(zip(*out, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return make
+
+
 def record_corpus(df: DataFrame, path: str, seq: str, ledgers_per_file: int) -> DataFrame:
-    """Write df in files of so many ledgers below path/data and the manifest, last, below path/manifest; returns it."""
+    """Write df in files of so many ledgers below path/data and the manifest, last, below path/manifest; returns it.
+
+    Each written file is read once, for its digest and its ledgers.
+    """
     spark = df.sparkSession
     low = df.agg(F.min(seq)).first()[0]
     chunk = F.floor((F.col(seq) - F.lit(low)) / ledgers_per_file).cast("bigint")
-    df.withColumn("_chunk", chunk).repartition("_chunk").sortWithinPartitions("_chunk", seq).write.mode("errorifexists").partitionBy("_chunk").parquet(f"{path}/data")
-    name = _below(F.col("_metadata.file_path"), f"{path}/data")
-    ranges = spark.read.schema(df.schema).parquet(f"{path}/data").select(seq, name.alias("path")).groupBy("path").agg(F.count("*").alias("rows"), F.min(seq).alias("ledger_start"), F.max(seq).alias("ledger_end"), F.count_distinct(seq).alias("ledgers"))
-    manifest = file_table(spark, f"{path}/data").join(ranges, "path").select("path", "sha256", "bytes", "rows", "ledger_start", "ledger_end", "ledgers")
-    manifest.coalesce(1).write.mode("errorifexists").json(f"{path}/manifest")
+    write_keyed(df.withColumn("_chunk", chunk), f"{path}/data", "_chunk", [seq])
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(f"{path}/data")
+    files = files.select(_below(F.col("path"), f"{path}/data").alias("path"), F.col("length").alias("bytes"), "content")
+    files.mapInArrow(_manifest_batches(seq), MANIFEST).hint("rebalance").write.mode("errorifexists").json(f"{path}/manifest")
     return read_manifest(spark, path)
 
 

@@ -1,5 +1,7 @@
 from pathlib import Path
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +71,30 @@ def test_corpus(spark):
         corpus.record_corpus(df, path, "q", 30)
 
 
+def test_corpus_files_share_one_folder(spark):
+    """No folder and no listing task for each file; the manifest tells what each file holds, nulls too."""
+    path = work_path(spark, "flat")
+    df = spark.range(1000).select((F.col("id") - 500).alias("q"), F.col("id").cast("string").alias("v")).unionAll(spark.sql("select cast(null as bigint), 'n' union all select 3L, 'again'"))
+    spark.sparkContext.setJobGroup("flat", "recorded")
+    manifest = corpus.record_corpus(df, path, "q", 10)
+    status = spark.sparkContext.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("flat") for s in status.getJobInfo(j).stageIds if status.getStageInfo(s)]
+    spark.sparkContext.setJobGroup("", "")
+    folder = Path(path.removeprefix("file://")) / "data"
+    names = {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in folder.iterdir()}
+    got = {r["path"]: r for r in manifest.collect()}
+    assert len(names) == 101 and all(p.is_file() for p in folder.iterdir()) and {p: r["sha256"] for p, r in got.items()} == names
+    assert max(tasks) < 50
+    assert [tuple(r)[3:] for r in got.values() if r["ledger_start"] is None] == [(1, None, None, 0)]
+    assert [tuple(r)[3:] for r in got.values() if r["ledger_start"] == 0] == [(11, 0, 9, 10)]
+    assert sorted(map(tuple, corpus.scan_corpus(spark, path, "q long, v string", "q", -3, 3).collect())) == sorted([(k, str(k + 500)) for k in range(-3, 4)] + [(3, "again")])
+    other = work_path(spark, "folders").removeprefix("file://")  # not known to be a shared file system: Spark's writer
+    there = corpus.record_corpus(df, other, "q", 10)
+    same = ["rows", "ledger_start", "ledger_end", "ledgers"]
+    assert parity.equal(there.select(*same), manifest.select(*same)) and (Path(other) / "data").is_dir()
+    assert corpus.scan_corpus(spark, other, "q long, v string", "q", -3, 3).count() == 8
+
+
 def test_shards_never_overwrite(spark):
     path = work_path(spark, "shard")
     corpus.write_shard(spark.range(10), path, "id")
