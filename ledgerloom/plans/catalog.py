@@ -809,8 +809,8 @@ def footer_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     one under another name."""
     path = work_path(spark, "footers")
     rows = _orders(spark, sf_dir).withColumn("f", F.floor(F.col("o_orderkey") / 1000).cast("bigint"))
-    rows.repartition("f").write.partitionBy("f").parquet(path)
-    name = F.regexp_extract("uri", "/f=([0-9]+)/", 1).cast("bigint")
+    corpus.write_keyed(rows, path, "f", ["o_orderkey"])
+    name = F.regexp_extract("uri", r"/f=(-?[0-9]+)[./]", 1).cast("bigint")
     found = footers.footers(footers.listed(spark, path), "o_orderkey").withColumn("uri", name.cast("string"))
     kind = F.col("f") % 4
     declared = rows.groupBy("f").agg((F.count("*") + F.when(kind == 1, 1).otherwise(0)).alias("rows"), F.min("o_orderkey").alias("min_ledger"), (F.max("o_orderkey") + F.when(kind == 2, 1).otherwise(0)).alias("max_ledger"))

@@ -1,11 +1,13 @@
 import hashlib
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import acceptance, digests, parity
 from ledgerloom.session import work_path
-from ledgerloom.sources import footers, lookup
+from ledgerloom.sources import corpus, footers, lookup
 
 COLUMNS = "place long, table string, uri string, sha256 string, schema_sha256 string, bytes long, rows long, min_ledger long, max_ledger long"
 SHA = "sha256:" + "ab" * 32
@@ -85,6 +87,29 @@ def test_footers_find_tampered_files(spark, tmp_path):
     assert footers.same_schema(found).count() >= 1
 
 
+def test_a_file_for_each_key_in_one_folder(spark, tmp_path, monkeypatch):
+    df = spark.sql("""select id, case when id < 25000 then 7 when id = 25000 then null else -(id % 3) end as k, timestamp_micros(id) as at, cast(id / 7 as decimal(20, 3)) as d,
+        array(struct(id as a, cast(null as string) as b)) as nested, case when id % 2 = 0 then 'x' end as s from range(30000)""")
+    path = f"file://{tmp_path}/keyed"
+    corpus.write_keyed(df, path, "k", ["id"])
+    found = {r["uri"].rsplit("/", 1)[1]: r for r in footers.footers(footers.listed(spark, path), "id").collect()}
+    assert {n: r["rows"] for n, r in found.items()} == {"k=7.parquet": 25000, "k=__HIVE_DEFAULT_PARTITION__.parquet": 1, "k=0.parquet": 1666, "k=-1.parquet": 1666, "k=-2.parquet": 1667}
+    assert (found["k=7.parquet"]["min_ledger"], found["k=7.parquet"]["max_ledger"], found["k=7.parquet"]["null_ledgers"]) == (0, 24999, 0)
+    assert sorted(p.name for p in (tmp_path / "keyed").iterdir()) == sorted(found)  # no folders, no parts
+    assert parity.equal(spark.read.schema(df.drop("k").schema).parquet(path), df.drop("k"))
+    one = spark.read.parquet(f"{path}/k=-1.parquet").select("id").collect()
+    assert [r[0] for r in one] == sorted(r[0] for r in one)
+    with pytest.raises(FileExistsError):
+        corpus.write_keyed(df, path, "k", ["id"])
+    with pytest.raises(ValueError, match="whole number"):
+        corpus.write_keyed(df, path + "x", "s", ["id"])
+    monkeypatch.setattr(corpus, "GROUP_BYTES", 100)
+    batches = [pa.RecordBatch.from_pydict({"k": [1] * 20, "v": list(range(20))}), pa.RecordBatch.from_pydict({"k": [1] * 20 + [2], "v": list(range(21))})]
+    (done,) = corpus._key_files(str(tmp_path), "k")(iter(batches))
+    assert done.to_pydict() == {"name": ["k=1.parquet", "k=2.parquet"], "rows": [40, 1]}
+    assert pq.ParquetFile(tmp_path / "k=1.parquet").num_row_groups == 2 and pq.read_table(tmp_path / "k=1.parquet").to_pydict() == {"v": [*range(20), *range(20)]}
+
+
 def test_digests_of_large_files_are_streamed(spark, tmp_path):
     with open(tmp_path / "big.bin", "wb") as f:
         f.truncate(300 << 20)
