@@ -21,9 +21,10 @@ def replace_range(table: DataFrame, rows: DataFrame, seq: str, low: int, high: i
     return kept.unionByName(checked.select(*table.columns))
 
 
-def replace_keys(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with any of the given rows' keys go (null equals null), all given rows come."""
-    gone = rows.select(*keys).distinct()
+def replace_keys(table: DataFrame, rows: DataFrame, keys: list[str], gone: DataFrame | None = None) -> DataFrame:
+    """Rows with any of the given rows' keys go (null equals null), all given rows come. gone are those keys, where the caller
+    gets them at less cost than from rows."""
+    gone = (rows if gone is None else gone).select(*keys).distinct()
     return table.join(gone, same_keys(table, gone, keys), "left_anti").unionByName(rows.select(*table.columns))
 
 

@@ -602,7 +602,7 @@ def typed_load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT q AS ledger_sequence, t AS table_name, n FROM r UNION ALL SELECT 0, 'kept', 1 ORDER BY 1, 2""")
 def json_rows_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON rows replaced per (network, ledger, table): stale rows of the same keys go, a row of another key stays."""
-    b = batches(spark, sf_dir)
+    b = stage_table(batches(spark, sf_dir), "envelopes")
     schema = "id string, network_passphrase string, ledger_sequence bigint, table_name string, row_ordinal int, row_json string"
     stale = b.select(F.lit("old").alias("id"), F.col("networkPassphrase").alias("network_passphrase"), F.col("ledgerSequence").alias("ledger_sequence"), F.explode("bronzeRows.tableName").alias("table_name"), F.lit(99).alias("row_ordinal"), F.lit("{}").alias("row_json"))
     kept = spark.createDataFrame([("k", "net", 0, "kept", 0, "{}")], schema)

@@ -44,9 +44,13 @@ def upsert_relational(tables: dict[str, DataFrame], batches: DataFrame) -> dict[
 
 
 def replace_json_rows(table: DataFrame, batches: DataFrame) -> DataFrame:
-    """The table of JSON rows after a batch: what it held for the batch's (network, ledger, table) keys is replaced."""
+    """The table of JSON rows after a batch: what it held for the batch's (network, ledger, table) keys is replaced.
+
+    The keys are the names in each envelope's list; no payload is read for them.
+    """
     rows = bronze_rows(batches).select(F.col("bronze_row_id").alias("id"), F.col("networkPassphrase").alias("network_passphrase"), F.col("ledgerSequence").alias("ledger_sequence"), "table_name", "row_ordinal", "row_json")
-    return mutations.replace_keys(table, rows.select(*table.columns), ["network_passphrase", "ledger_sequence", "table_name"])
+    gone = batches.select(F.col("networkPassphrase").alias("network_passphrase"), F.col("ledgerSequence").alias("ledger_sequence"), F.explode(F.array_distinct("bronzeRows.tableName")).alias("table_name"))
+    return mutations.replace_keys(table, rows.select(*table.columns), ["network_passphrase", "ledger_sequence", "table_name"], gone)
 
 
 def materialize(store: Store, index: str, build: Callable[[int, int], DataFrame], start: int, end: int, chunk: int | None = None) -> int:

@@ -8,7 +8,7 @@ from ledgerloom.functions import columns as C
 from ledgerloom.operators import ranges, rollups, validation
 from ledgerloom.plans import loads, replica
 from ledgerloom.plans.versioned import Change, SnapshotExpired, Store
-from ledgerloom.session import work_path
+from ledgerloom.session import stage_table, work_path
 from ledgerloom.sources import corpus, envelope
 
 S = T.StructType([T.StructField("seq", T.LongType()), T.StructField("v", T.StringType())])
@@ -127,3 +127,19 @@ def test_rolling(spark):
     assert files.count() > 3 and files.agg(F.sum("rows")).first()[0] == 5000
     with pytest.raises(ValueError):
         corpus.write_rolling(df, work_path(spark, "rolling"), "seq", 60_000, 10_000)
+
+
+def test_json_rows_are_replaced_without_reading_payloads_for_keys(spark):
+    lists = "networkPassphrase string, ledgerSequence long, bronzeRows array<struct<tableName: string, rowJson: string>>"
+    b = stage_table(spark.createDataFrame([("n", 1, [("a", "{1}"), (None, "{2}"), ("a", "{3}")]), ("n", 2, None), ("n", 3, [])], lists), "envelopes")
+    schema = "id string, network_passphrase string, ledger_sequence long, table_name string, row_ordinal int, row_json string"
+    table = spark.createDataFrame([("x", "n", 1, "a", 9, "old"), ("x", "n", 1, None, 9, "old"), ("y", "n", 1, "b", 9, "stays"), ("y", "n", 2, "a", 9, "stays"), ("y", "n", 3, None, 9, "stays"), ("y", None, 1, "a", 9, "stays")], schema)
+    got = loads.replace_json_rows(table, b)
+    found = sorted((r["ledger_sequence"], r["table_name"] or "", r["row_ordinal"], r["row_json"]) for r in got.collect())
+    assert found == sorted([(1, "a", 0, "{1}"), (1, "", 0, "{2}"), (1, "a", 1, "{3}"), (1, "b", 9, "stays"), (2, "a", 9, "stays"), (3, "", 9, "stays"), (1, "a", 9, "stays")])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = loads.replace_json_rows(table, b)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("ReadSchema") == 2 and plan.count("rowJson:string") == 1
