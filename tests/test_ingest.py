@@ -154,3 +154,15 @@ def test_a_replayed_stream_ends_single_ledgers(spark):
         ingest.stream_into(store, spark.readStream.schema(schema).parquet(source), lambda b: {"t": b}, "ledger_sequence", "net", f"{name}_{source[-8:]}", work_path(spark, "offsets")).awaitTermination()
     assert ended_by_equality(store, "t") and ended_by_equality(store, "ingest_watermarks")
     assert sorted(map(tuple, store.as_of("t").collect())) == sorted(map(tuple, rows.collect())) and store.as_of("ingest_watermarks").count() == 300
+
+
+def test_a_lost_answer_ends_single_ledgers(spark):
+    store, rows, _ = replayed_store(spark, "replayed-backfill")
+    writer = ingest.Writer(store, "ledger_sequence", "net", "backfill")
+    for low, high in ((1, 200), (201, 300)):
+        part = rows.where(F.col("ledger_sequence").between(low, high))
+        writer.write({"t": part}, f"lost-{low}")
+        writer.force_replay = True
+        writer.write({"t": part.withColumn("v", F.concat("v", F.lit("!")))}, f"again-{low}")
+    assert ended_by_equality(store, "t")
+    assert sorted(map(tuple, store.as_of("t").collect())) == sorted((k, f"v{k}!") for k in range(1, 301)) and store.as_of("receipts").count() == 2
