@@ -24,6 +24,10 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 TILE = 1024
 PROBE = 16
 PER_TASK = 50_000
+#: Index entries of a fingerprint, and those that Spark may broadcast. It sizes an explode by its input, which says 67 times too
+#: little, so a larger index is kept off the driver by a hint.
+ENTRIES = sum(bits + 1 for _, bits in SEGMENTS)
+MOST_BROADCAST = 65_536
 
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -131,7 +135,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius != RADIUS:
         raise ValueError("the segments are made for a radius of 4")
     # each fingerprint becomes 67 index rows, so small inputs per task
-    fps = fps.repartition(max(1, -(-fps.count() // PER_TASK)), "fp")
+    n = fps.count()
+    fps = fps.repartition(max(1, -(-n // PER_TASK)), "fp")
     variants = _variants(fps)
     plain = (F.shiftright("key", 22) % 64) == 0
     probe = _variants(fps.where(F.pmod(F.xxhash64("fp"), F.lit(PROBE)) == 0))
@@ -140,6 +145,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     small = variants.join(hot.select("key"), "key", "left_anti") if any_hot else variants
     a = small.where("side = 0").select("key", F.col("fp").alias("u"))
     b = small.where(plain | (F.col("side") == 1)).select("key", F.col("fp").alias("v"))
+    if n * ENTRIES > MOST_BROADCAST:
+        b = b.hint("merge")
     x = F.col("u").bitwiseXOR(F.col("v"))
     earlier = F.lit(False)
     first = F.lit(False)

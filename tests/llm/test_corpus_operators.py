@@ -91,6 +91,21 @@ def test_links_reach_what_all_pairs_reach(spark, monkeypatch, tile, probe):
     assert [got.get(f, f) for f in u] == [u[k] for k in want]
 
 
+def test_a_large_index_is_not_broadcast(spark):
+    """Spark sizes the 67 entries of a fingerprint as one row, by which it would gather the whole index on the driver."""
+    from ledgerloom.session import stage_table
+
+    rng = np.random.default_rng(2)
+    fps = [int(x) for x in rng.integers(1 << 62, size=1500)]
+    fps += [f ^ 0b1000100000000001 << k for k, f in enumerate(fps[:40])]
+    links = simhash.fingerprint_links(stage_table(spark.createDataFrame([(f,) for f in fps], "fp long"), "fps"))
+    got = {frozenset(r) for r in links.collect()}
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert got == {frozenset((a, b)) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 4}
+    assert len(got) >= 40
+
+
 # --- 7
 
 
