@@ -915,6 +915,21 @@ def test_near_duplicate_stage_rows(spark):
     assert sorted(out) == [(1, a), (1, b)]
 
 
+def test_the_stage_broadcasts_no_large_index(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    seen = []
+    plain = simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda links: seen.append((links, links.count())) or plain(links))
+    spark.createDataFrame([(i, f"text {i} of its own kind {i * i} and {i * 7 % 997}", "en") for i in range(1200)], "doc_id long, text string, lang string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    corpus_pipeline.near_duplicate_stage(spark, docs, str(tmp_path)).count()
+    links = seen[0][0]
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_pipeline_against_the_stages_by_hand(spark):
     import corpus_pipeline
 
