@@ -20,8 +20,9 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 SHARD_WORDS = 500_000
 #: Bytes of text that are cut into words at once.
 SLICE_BYTES = 1 << 20
-#: Phrases that a task gathers before it packs them, and words of the corpus for each part that phrases are dealt to.
-HELD, PART_WORDS, LEAST_PARTS = 200_000, 8_000_000, 64
+#: Phrases that a task gathers before it packs them, and words of the corpus for each part that phrases are dealt to: a task sums
+#: one part at a time, in about 250 bytes for each phrase that it was sent.
+HELD, PART_WORDS, LEAST_PARTS = 200_000, 4_000_000, 64
 #: Bits of a filter of frequent words or pairs, at most (32 MB); a fuller filter lets more rare phrases through to be
 #: counted and dropped, it never loses one.
 MOST_BITS = 1 << 28
@@ -290,31 +291,43 @@ def _sums(least: int):
         t = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([(c, "sum") for c in ("n", "left_n", "right_n")])
         return t.rename_columns([c.removesuffix("_sum") for c in t.column_names])
 
-    def done(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def read(packs: list[tuple[int, int, bytes]]) -> pa.Table:
+        """Many packs are read as one, as a small one costs more than its phrases."""
+        langs, rows = np.array([p[:2] for p in packs], np.int32).T
+        raws = [zstandard.ZstdDecompressor().decompress(p[2]) for p in packs]
+        numbers = np.concatenate([np.frombuffer(raw, np.int64, 3 * n).reshape(3, n) for raw, n in zip(raws, rows.tolist(), strict=True)], axis=1)
+        phrases = pc.split_pattern(pa.array([b"\n".join(raw[24 * n :] for raw, n in zip(raws, rows.tolist(), strict=True)).decode()]), "\n").flatten()
+        return pa.table([pa.array(np.repeat(langs, rows)), phrases, *map(pa.array, numbers)], ["lang", "phrase", "n", "left_n", "right_n"])
+
+    def done(tables: list[pa.Table], names: dict[str, int]) -> Iterator[pa.RecordBatch]:
         t = whole(tables)
         t = t.filter(pc.greater_equal(t["n"], least))
+        t = t.set_column(t.column_names.index("lang"), "lang", pa.array(list(names), pa.string()).take(t["lang"].combine_chunks()))
         t = t.append_column("words", pc.add(pc.count_substring(t["phrase"], " "), 1).cast(pa.int32()))
         yield from t.select(["lang", "words", "phrase", "n", "left_n", "right_n"]).to_batches()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tables, size = None, [], 0
+        now, names, packs, tables, waiting, size, most = None, {}, [], [], 0, 0, 4 * HELD
         for b in batches:
             for part, lang, rows, payload in zip(*(b.column(c).to_pylist() for c in ("part", "lang", "rows", "payload")), strict=True):
+                if packs and (part != now or waiting >= HELD):
+                    tables.append(read(packs))
+                    size += waiting
+                    packs, waiting = [], 0
+                    if size > most:  # twice what is left then, else a part of many different phrases is summed again for each pack
+                        tables = [whole(tables)]
+                        size = len(tables[0])
+                        most = max(4 * HELD, 2 * size)
                 if tables and part != now:
-                    yield from done(tables)
-                    tables, size = [], 0
+                    yield from done(tables, names)
+                    names, tables, size, most = {}, [], 0, 4 * HELD
                 now = part
-                raw = zstandard.ZstdDecompressor().decompress(payload)
-                numbers = np.frombuffer(raw, np.int64, 3 * rows).reshape(3, rows)
-                phrases = pc.split_pattern(pa.array([raw[24 * rows :].decode()]), "\n").flatten()
-                langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(rows, np.int32)), pa.array([lang])).cast(pa.string())
-                tables.append(pa.table([langs, phrases, *map(pa.array, numbers)], ["lang", "phrase", "n", "left_n", "right_n"]))
-                size += rows
-                if size > 4 * HELD:
-                    tables = [whole(tables)]
-                    size = len(tables[0])
+                packs.append((names.setdefault(lang, len(names)), rows, payload))
+                waiting += rows
+        if packs:
+            tables.append(read(packs))
         if tables:
-            yield from done(tables)
+            yield from done(tables, names)
 
     return make
 

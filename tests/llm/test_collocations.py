@@ -81,6 +81,24 @@ def test_against_counting(spark, shard_words):
         assert mine == [(i + 1, w[1]) for i, w in enumerate(best)]
 
 
+def test_a_part_is_summed_in_linear_work(monkeypatch):
+    """Many small packs of mostly different phrases: each sum has about as many new phrases as old ones."""
+    import pyarrow as pa
+
+    rng, packs, want, summed = np.random.default_rng(3), [], Counter(), []
+    for part in (4, 9):
+        for i in range(800):
+            phrases, lang = [f"a{x} b{x % 7}" for x in rng.integers(0, 9000, 10).tolist()], f"l{i % 3}"
+            want.update((part, lang, p) for p in phrases)
+            packs.append(collocations._packed(np.full(10, part), np.zeros(10, int), [lang], pa.array(phrases), np.ones((3, 10), np.int64)))
+    monkeypatch.setattr(collocations, "HELD", 100)
+    plain = pa.concat_tables
+    monkeypatch.setattr(collocations.pa, "concat_tables", lambda ts: summed.append(sum(map(len, ts))) or plain(ts))
+    got = [tuple(r.values()) for b in collocations._sums(2)(iter(packs)) for r in b.to_pylist()]
+    assert sorted(got) == sorted((g, 2, p, n, n, n) for (_, g, p), n in want.items() if n >= 2)
+    assert sum(summed) <= 4 * 16_000
+
+
 def test_a_full_filter_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "MOST_BITS", 1 << 10)
     rows = [(f"word{i % 90} word{i % 7} word{i % 3} tail{i % 2}", "en") for i in range(3000)]
